@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spinledger.functions.rounding import half_up
+
 
 def top_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank"
@@ -118,9 +120,9 @@ def exact_row_number(df: DataFrame, order: Sequence[str], out: str) -> DataFrame
 
 def share(part: Column, total: Column, digits: int = 2) -> Column:
     """Percentage, NULL for an empty total."""
-    return F.round(F.try_divide(part * F.lit(100.0), total), digits)
+    return half_up(F.try_divide(part * F.lit(100.0), total), digits)
 
 
 def count_if_pct(condition: Column, digits: int = 1) -> Column:
     """Percentage of the group's rows that satisfy ``condition``."""
-    return F.round(F.lit(100.0) * F.count_if(condition) / F.count("*"), digits)
+    return half_up(F.lit(100.0) * F.count_if(condition) / F.count("*"), digits)

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spinledger.functions import tiers
+from spinledger.functions.rounding import half_up
 from spinledger.functions.ranking import count_if_pct, most_frequent, share, top_n
 from spinledger.functions.timeparts import add_local_time, since
 
@@ -22,7 +23,23 @@ def all_rows():
 
 
 def pct_ratio(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(part / whole * 100, digits)
+    return half_up(part / whole * 100, digits)
+
+
+def hundredths() -> Column:
+    """Sum of the two-digit track minutes in whole hundredths.
+
+    Integer sums do not depend on the order in which partitions arrive.
+    """
+    return F.sum(F.round(F.col("track_duration_minutes") * 100).cast("long"))
+
+
+def minutes_total() -> Column:
+    return half_up(hundredths() / 100, 2)
+
+
+def minutes_average() -> Column:
+    return half_up(hundredths() / (F.count("track_duration_minutes") * 100), 2)
 
 
 def unique_play_repeats(plays_unique: bool) -> Column:
@@ -30,7 +47,7 @@ def unique_play_repeats(plays_unique: bool) -> Column:
     if plays_unique:
         return F.lit(0.0)
     rows = F.count("*")
-    return F.round(F.lit(100.0) * (rows - F.countDistinct("unique_play")) / rows, 1)
+    return half_up(F.lit(100.0) * (rows - F.countDistinct("unique_play")) / rows, 1)
 
 
 def artist_summary(silver: DataFrame, artists: DataFrame) -> DataFrame:
@@ -46,8 +63,8 @@ def artist_summary(silver: DataFrame, artists: DataFrame) -> DataFrame:
             F.count("*").alias("_plays"),
             F.countDistinct("track_id").alias("_tracks"),
             F.countDistinct("album_id").alias("_albums"),
-            F.round(F.sum("track_duration_minutes"), 2).alias("total_listening_minutes"),
-            F.round(F.avg("track_popularity"), 1).alias("average_track_popularity"),
+            minutes_total().alias("total_listening_minutes"),
+            half_up(F.avg("track_popularity"), 1).alias("average_track_popularity"),
             F.min("local_timestamp").alias("first_listened"),
             F.max("local_timestamp").alias("last_listened"),
             F.min("time_of_day_category").alias("primary_time_of_day"),
@@ -102,8 +119,8 @@ def daily_summary(silver: DataFrame, top: str = "mode", plays_unique: bool = Tru
             F.countDistinct("primary_artist_id").alias("unique_artists"),
             F.countDistinct("album_id").alias("unique_albums"),
             genres.alias("unique_genres"),
-            F.round(F.sum("track_duration_minutes"), 2).alias("total_listening_minutes"),
-            F.round(F.avg("track_duration_minutes"), 2).alias("average_track_length_minutes"),
+            minutes_total().alias("total_listening_minutes"),
+            minutes_average().alias("average_track_length_minutes"),
             F.min("primary_genre").alias("top_genre"),
             pct_ratio(genres, F.count("*")).alias("genre_diversity_score"),
             count_if_pct(F.col("is_multi_genre_artist")).alias("multi_genre_artist_percentage"),
@@ -111,10 +128,10 @@ def daily_summary(silver: DataFrame, top: str = "mode", plays_unique: bool = Tru
             count_if_pct(source == "playlist").alias("playlist_play_percentage"),
             count_if_pct(source == "album").alias("album_play_percentage"),
             count_if_pct(source == "artist").alias("artist_play_percentage"),
-            F.round(track_avg, 1).alias("average_track_popularity"),
-            F.round(artist_avg, 1).alias("average_artist_popularity"),
-            F.round((track_avg + artist_avg) / 2, 1).alias("mainstream_score"),
-            F.round(F.avg("local_hour"), 0).alias("average_listening_hour"),
+            half_up(track_avg, 1).alias("average_track_popularity"),
+            half_up(artist_avg, 1).alias("average_artist_popularity"),
+            half_up((track_avg + artist_avg) / 2, 1).alias("mainstream_score"),
+            half_up(F.avg("local_hour"), 0).alias("average_listening_hour"),
             F.countDistinct(F.date_trunc("hour", "local_timestamp")).alias("listening_sessions"),
             F.max("ingested_at").alias("last_updated"),
         )
@@ -185,17 +202,17 @@ def genre_analysis(silver: DataFrame, day_label: str = "min") -> DataFrame:
         F.count("*").alias("total_plays"),
         F.countDistinct("primary_artist_id").alias("unique_artists"),
         F.countDistinct("track_id").alias("unique_tracks"),
-        F.round(F.sum("track_duration_minutes"), 2).alias("total_listening_minutes"),
-        F.round(F.avg("artist_popularity"), 1).alias("average_artist_popularity"),
-        F.round(F.avg("artist_followers"), 0).alias("average_artist_followers"),
+        minutes_total().alias("total_listening_minutes"),
+        half_up(F.avg("artist_popularity"), 1).alias("average_artist_popularity"),
+        half_up(F.avg("artist_followers"), 0).alias("average_artist_followers"),
         F.min("time_of_day_category").alias("primary_time_of_day"),
         F.min("day_name").alias("primary_day_of_week"),
-        F.round(F.avg("local_hour"), 0).alias("average_listening_hour"),
+        half_up(F.avg("local_hour"), 0).alias("average_listening_hour"),
         F.min("local_timestamp").alias("first_discovered"),
         F.max("local_timestamp").alias("last_played"),
         F.countDistinct("local_date").alias("days_active"),
-        F.round(F.avg("track_duration_minutes"), 2).alias("average_track_duration_minutes"),
-        F.round(F.avg("track_popularity"), 1).alias("average_track_popularity"),
+        minutes_average().alias("average_track_duration_minutes"),
+        half_up(F.avg("track_popularity"), 1).alias("average_track_popularity"),
         count_if_pct(F.col("track_explicit")).alias("explicit_content_percentage"),
         F.max("ingested_at").alias("last_updated"),
     )
@@ -232,19 +249,19 @@ def top_per_month(silver: DataFrame, value: str, name: str) -> DataFrame:
 def monthly_base(silver: DataFrame) -> DataFrame:
     return silver.groupBy(*MONTH, "local_quarter").agg(
         F.count("*").alias("total_plays"),
-        F.round(F.sum("track_duration_minutes") / 60, 2).alias("total_listening_hours"),
-        F.round(F.count("*") / F.countDistinct("local_date"), 2).alias("daily_average_plays"),
+        half_up(hundredths() / 6000, 2).alias("total_listening_hours"),
+        half_up(F.count("*") / F.countDistinct("local_date"), 2).alias("daily_average_plays"),
         F.countDistinct("primary_artist_id").alias("unique_artists"),
         F.countDistinct("primary_genre").alias("unique_genres"),
         count_if_pct(F.col("is_weekend")).alias("weekend_listening_percentage"),
         F.min("time_of_day_category").alias("primary_time_of_day"),
-        F.round(F.avg("track_popularity"), 1).alias("average_track_popularity"),
+        half_up(F.avg("track_popularity"), 1).alias("average_track_popularity"),
         F.max("ingested_at").alias("last_updated"),
     )
 
 
 def growth(value: str, previous: Column) -> Column:
-    return F.round(F.try_divide(F.lit(100.0) * (F.col(value) - previous), previous), 2)
+    return half_up(F.try_divide(F.lit(100.0) * (F.col(value) - previous), previous), 2)
 
 
 def monthly_insights(silver: DataFrame) -> DataFrame:
@@ -258,7 +275,7 @@ def monthly_insights(silver: DataFrame) -> DataFrame:
             "artist_discovery_rate": pct_ratio(F.col("unique_artists"), F.col("total_plays")),
             "genre_diversity_score": pct_ratio(F.col("unique_genres"), F.col("total_plays")),
             "mainstream_tendency": tiers.mainstream_tendency(F.col("average_track_popularity")),
-            "average_session_length_minutes": F.round(
+            "average_session_length_minutes": half_up(
                 F.col("total_listening_hours") * 60 / F.col("total_plays"), 2
             ),
             "plays_growth_rate": growth("total_plays", F.lag("total_plays").over(by_month)),
@@ -434,7 +451,7 @@ def hourly_patterns(plays: DataFrame) -> DataFrame:
         F.count("*").alias("total_tracks"),
         (F.avg("track_duration_ms") / 1000 / 60).alias("avg_minutes_per_hour"),
         days.alias("days_active"),
-        F.round(F.count("*") / days, 2).alias("avg_tracks_per_day"),
+        half_up(F.count("*") / days, 2).alias("avg_tracks_per_day"),
     )
 
 
@@ -474,7 +491,7 @@ def filtered_genre_stats(detail: DataFrame) -> DataFrame:
         .agg(
             F.count("track_name").alias("total_plays"),
             F.countDistinct("primary_artist_name").alias("unique_artists"),
-            F.round(F.sum("track_duration_minutes"), 2).alias("total_listening_minutes"),
+            minutes_total().alias("total_listening_minutes"),
         )
     )
     return genres.withColumn(

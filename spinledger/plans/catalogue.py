@@ -13,7 +13,7 @@ from spinledger.sources.driver_tables import Tables
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["gold"]
+MODULES = ["gold", "features", "recommend"]
 
 
 def query(name: str, oracle: str | None = None):

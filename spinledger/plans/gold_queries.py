@@ -135,11 +135,11 @@ def popularity_labels(t):
 @query(
     "f1_lookback_window",
     sql(
-        """SELECT w AS days, count(*) AS plays FROM silver CROSS JOIN asof
+        """SELECT w AS days, count(*) AS plays FROM silver CROSS JOIN last_day
   CROSS JOIN (SELECT CAST(unnest([7, 14, 30, 60, 90, 180]) AS INTEGER) AS w)
   WHERE local_date >= as_of - w GROUP BY w""",
         "silver",
-        "asof",
+        "last_day",
     ),
 )
 def lookback_window(t):
@@ -194,11 +194,11 @@ def empty_genre_rows(t):
 @query(
     "f5_stale_artists",
     sql(
-        """SELECT artist_id, artist_name, ingested_at FROM artists CROSS JOIN asof
+        """SELECT artist_id, artist_name, ingested_at FROM artists CROSS JOIN last_day
   WHERE CAST(ingested_at AS DATE) < as_of - 30 OR genre_count = 0
   ORDER BY ingested_at, artist_id LIMIT 50""",
         "artists",
-        "asof",
+        "last_day",
     ),
 )
 def stale_artists(t):
@@ -460,9 +460,9 @@ def monthly_insights(t):
     "a5_current_month",
     sql(
         f"""WITH months AS ({sql(MONTHLY_SQL, "silver_star")})
-SELECT months.* FROM months CROSS JOIN asof_star
+SELECT months.* FROM months CROSS JOIN last_day_star
 WHERE year = year(as_of) AND month = month(as_of)""",
-        "asof_star",
+        "last_day_star",
     ),
 )
 def current_month(t):
@@ -473,10 +473,10 @@ def current_month(t):
     "a6_recent_activity",
     sql(
         """SELECT unique_play, local_timestamp, track_name, primary_artist_name, primary_genre,
-  album_name, time_of_day_category, listening_source FROM silver CROSS JOIN asof
+  album_name, time_of_day_category, listening_source FROM silver CROSS JOIN last_day
 WHERE local_date >= as_of - 7 ORDER BY local_timestamp DESC, unique_play LIMIT 100""",
         "silver",
-        "asof",
+        "last_day",
     ),
 )
 def recent_activity(t):
@@ -505,11 +505,11 @@ def monthly_discoveries(t):
         f"""SELECT local_date, primary_genre, count(*) AS daily_plays,
   {half_up("100.0 * count(*) / sum(count(*)) OVER (PARTITION BY local_date)", 2)}
     AS daily_genre_percentage
-FROM silver_star CROSS JOIN asof_star
+FROM silver_star CROSS JOIN last_day_star
 WHERE local_date >= as_of - INTERVAL 6 MONTH AND primary_genre IS NOT NULL
 GROUP BY local_date, primary_genre""",
         "silver_star",
-        "asof_star",
+        "last_day_star",
     ),
 )
 def genre_timeline(t):

@@ -160,8 +160,8 @@ FROM (SELECT *, (['DJ Nova', 'Lil Drum', 'The Rock Band', 'Popsters', 'Indie Fol
   'Blue Jazz', 'City Orchestra', 'Latin Soul', 'Trap House Mix', 'Quiet Person', 'Daft Punk',
   'SZA'])[c_custkey % 12 + 1] AS word FROM customer)""",
     ),
-    "asof": (["plays"], f"SELECT CAST({local('max(played_at)')} AS DATE) AS as_of FROM plays"),
-    "asof_star": (
+    "last_day": (["plays"], f"SELECT CAST({local('max(played_at)')} AS DATE) AS as_of FROM plays"),
+    "last_day_star": (
         ["plays_star"],
         f"SELECT CAST({local('max(played_at)')} AS DATE) AS as_of FROM plays_star",
     ),
