@@ -8,12 +8,13 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spinledger.functions.rounding import half_up
 from spinledger.sources.driver_tables import Tables
 
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["gold", "features", "recommend"]
+MODULES = ["gold", "features", "recommend", "feeds"]
 
 
 def query(name: str, oracle: str | None = None):
@@ -51,7 +52,7 @@ def oracles() -> dict[str, str]:
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Round computed doubles so that summation order does not show; all doubles by default."""
     names = columns or [name for name, kind in df.dtypes if kind == "double"]
-    return df.withColumns({name: F.round(name, digits) for name in names})
+    return df.withColumns({name: half_up(F.col(name), digits) for name in names})
 
 
 def joined_text(df: DataFrame, *columns: str) -> DataFrame:

@@ -89,7 +89,7 @@ JOIN orders ON l_orderkey = o_orderkey""",
         ["landed_star"],
         """
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY unique_play
-  ORDER BY played_at DESC, track_id, primary_artist_id, user_id, track_explicit) AS rn
+  ORDER BY played_at DESC, track_id, primary_artist_id, track_explicit) AS rn
   FROM landed_star) WHERE rn = 1""",
     ),
     "catalog": (

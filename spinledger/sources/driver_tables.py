@@ -11,236 +11,228 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinledger.functions.joins import join_dimension, salted_dimension_join
-from spinledger.functions.timeparts import epoch_seconds, to_local
+from spinledger.functions.timeparts import to_local
 from spinledger.operators.silver import dedupe_plays, enrich_plays
 from spinledger.params import LOCAL_TZ
 
-CONTEXT_BY_EVENT = {
-    "view": "playlist", "click": "album", "purchase": "artist", "signup": "collection",
-}
-CONTEXT_BY_PRIORITY = {"1": "playlist", "2": "album", "3": "artist", "5": "collection"}
+# Explicit schemas, so that opening a table starts no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 NAME_WORDS = [
     "DJ Nova", "Lil Drum", "The Rock Band", "Popsters", "Indie Folk Country", "Blue Jazz",
     "City Orchestra", "Latin Soul", "Trap House Mix", "Quiet Person", "Daft Punk", "SZA",
 ]
 
-
-def case_map(value: Column, table: dict[str, str]) -> Column:
-    out = None
-    for key, name in table.items():
-        out = F.when(value == key, name) if out is None else out.when(value == key, name)
-    return out
-
-
-def track_columns() -> dict[str, Column]:
-    """Track and album attributes computed from the ``part`` columns."""
-    size = F.col("p_size")
-    year = (1980 + size % 46).cast("string")
-    return {
-        "track_name": F.col("p_name"),
-        "track_duration_ms": (60000 + size * 9000).cast("long"),
-        "track_popularity": (size * 2).cast("int"),
-        "album_id": F.col("p_brand"),
-        "album_name": F.concat(F.lit("Album "), "p_brand"),
-        "album_type": F.when(size < 10, "single").when(size > 45, "compilation").otherwise("album"),
-        "album_release_date": F.when(F.col("p_partkey") % 3 == 0, year).otherwise(
-            F.concat(year, F.lit("-06-15"))
-        ),
-        "album_total_tracks": size,
-    }
-
-
-PLAY_COLUMNS = [
-    "unique_play", "user_id", "played_at", "played_at_timestamp", "played_at_date",
-    "played_at_hour", "track_id", "track_name", "track_duration_ms", "track_popularity",
-    "track_explicit", "track_preview_url", "track_external_urls", "track_uri",
-    "primary_artist_id", "primary_artist_name", "album_id", "album_name", "album_type",
-    "album_release_date", "album_total_tracks", "context_type", "context_uri",
-    "context_external_urls", "ingested_at", "data_source",
-]
-
-
-def finish_plays(df: DataFrame, source: str) -> DataFrame:
-    no_text = F.lit(None).cast("string")
-    return (
-        df.withColumns(track_columns())
-        .withColumns(
-            {
-                "played_at_timestamp": epoch_seconds(F.col("played_at")),
-                "played_at_date": F.to_date("played_at"),
-                "played_at_hour": F.hour("played_at"),
-                "track_preview_url": no_text,
-                "track_external_urls": no_text,
-                "context_external_urls": no_text,
-                "track_uri": F.concat(F.lit("track:"), "track_id"),
-                "context_uri": F.concat("context_type", F.lit(":"), "track_id"),
-                "ingested_at": F.col("played_at") + F.expr("INTERVAL 1 HOUR"),
-                "data_source": F.lit(source),
-            }
-        )
-        .select(*PLAY_COLUMNS)
-    )
+# Track and album attributes from the columns of ``part``.
+TRACK = [
+    "p_name AS track_name",
+    "60000L + p_size * 9000 AS track_duration_ms",
+    "p_size * 2 AS track_popularity",
+    "p_brand AS album_id",
+    "'Album ' || p_brand AS album_name",
+    "CASE WHEN p_size < 10 THEN 'single' WHEN p_size > 45 THEN 'compilation' ELSE 'album' END "
+    "AS album_type",
+    "string(1980 + p_size % 46) || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '-06-15' END "
+    "AS album_release_date",
+    "p_size AS album_total_tracks",
+]
+
+# The remaining columns of a play, from its time, track and context.
+PLAY = [
+    "unique_play",
+    "user_id",
+    "played_at",
+    "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', played_at) AS played_at_timestamp",
+    "to_date(played_at) AS played_at_date",
+    "hour(played_at) AS played_at_hour",
+    "track_id",
+    "track_explicit",
+    "CAST(NULL AS string) AS track_preview_url",
+    "CAST(NULL AS string) AS track_external_urls",
+    "'track:' || track_id AS track_uri",
+    "primary_artist_id",
+    "s_name AS primary_artist_name",
+    "context_type",
+    "context_type || ':' || track_id AS context_uri",
+    "CAST(NULL AS string) AS context_external_urls",
+    "played_at + INTERVAL 1 HOUR AS ingested_at",
+    "'recently_played' AS data_source",
+]
 
 
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.opened: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self.opened:
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self.opened[name] = reader.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
 
     # -- artists ----------------------------------------------------------
 
-    def small_map(self, name: str, key: str, value: str) -> Column:
-        """Two columns of a fixed small table (25 nations, 5 regions) as a map."""
-        pairs = F.collect_list(F.struct(key, value))
-        return self.read(name).agg(F.map_from_entries(pairs)).scalar()
+    @cached_property
+    def homes(self) -> Column:
+        """Nation key to nation and region name, a map over the fixed 25 nations."""
+        named = self.read("nation").join(
+            F.broadcast(self.read("region")), F.expr("n_regionkey = r_regionkey")
+        )
+        pairs = "map_from_entries(collect_list(struct(n_nationkey, struct(n_name, r_name))))"
+        return named.agg(F.expr(pairs)).scalar()
 
     @cached_property
-    def artist_total(self) -> Column:
-        """How many of the artists have plays in ``plays_events``."""
-        return self.read("supplier").agg(F.least(F.lit(40), F.count("*"))).scalar()
+    def suppliers(self) -> Column:
+        return self.read("supplier").agg(F.count("*")).scalar()
 
     @cached_property
     def artists(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        nations = self.small_map("nation", "n_nationkey", "n_name")
-        home = self.small_map("nation", "n_nationkey", "n_regionkey")
-        regions = self.small_map("region", "r_regionkey", "r_name")
-        nation = F.element_at(nations, F.col("s_nationkey"))
-        region = F.element_at(regions, F.element_at(home, F.col("s_nationkey")))
-        named = self.read("supplier").withColumns({"_nation": nation, "_region": region})
-        genres = (
-            F.when(key % 10 == 9, F.array().cast("array<string>"))
-            .when(key % 4 == 0, F.array("_nation", "_region"))
-            .otherwise(F.array("_nation"))
-        )
-        return named.withColumn("_genres", genres).select(
-            key.cast("string").alias("artist_id"),
-            F.col("s_name").alias("artist_name"),
-            F.concat(F.lit("artist:"), key.cast("string")).alias("artist_uri"),
-            F.to_json("_genres").alias("genres"),
-            F.col("_genres").alias("genres_list"),
-            F.get("_genres", F.lit(0)).alias("primary_genre"),
-            F.size("_genres").alias("genre_count"),
-            (key * 37 % 101).cast("int").alias("popularity"),
-            self.followers("s_acctbal").alias("followers_total"),
-            F.expr(
-                "timestamp_ntz'2023-10-01 00:00:00' + make_dt_interval(int(s_suppkey % 120))"
-            ).alias("ingested_at"),
-            F.when(key % 5 == 0, "artist_api_enhanced_popularity_analysis")
-            .otherwise("artist_api")
-            .alias("data_source"),
+        home = F.element_at(self.homes, F.col("s_nationkey"))
+        genres = """CASE WHEN s_suppkey % 10 = 9 THEN CAST(array() AS array<string>)
+          WHEN s_suppkey % 4 = 0 THEN array(_home.n_name, _home.r_name)
+          ELSE array(_home.n_name) END AS genres_list"""
+        return (
+            self.read("supplier")
+            .withColumn("_home", home)
+            .selectExpr("s_suppkey", "s_name", "s_acctbal", genres)
+            .selectExpr(
+                "string(s_suppkey) AS artist_id",
+                "s_name AS artist_name",
+                "'artist:' || s_suppkey AS artist_uri",
+                "to_json(genres_list) AS genres",
+                "genres_list",
+                "get(genres_list, 0) AS primary_genre",
+                "size(genres_list) AS genre_count",
+                "int(s_suppkey * 37 % 101) AS popularity",
+                "bigint(round(greatest(s_acctbal, 0) * 1000)) AS followers_total",
+                "timestamp_ntz'2023-10-01 00:00:00' + make_dt_interval(int(s_suppkey % 120)) "
+                "AS ingested_at",
+                "CASE WHEN s_suppkey % 5 = 0 THEN 'artist_api_enhanced_popularity_analysis' "
+                "ELSE 'artist_api' END AS data_source",
+            )
         )
 
-    @staticmethod
-    def followers(balance: str) -> Column:
-        return F.round(F.greatest(F.col(balance), F.lit(0.0)) * 1000).cast("long")
-
     @cached_property
     def name_corpus(self) -> DataFrame:
-        """Artists named by customer key and a word list, a third without genres."""
-        key = F.col("c_custkey")
-        words = F.array(*[F.lit(w) for w in NAME_WORDS])
-        word = F.element_at(words, (key % len(NAME_WORDS) + 1).cast("int"))
-        name = F.when(key % 12 >= 10, word).otherwise(F.concat(word, F.lit(" "), "c_mktsegment"))
-        genres = F.when(key % 3 == 0, F.array(F.lower("c_mktsegment"))).otherwise(
-            F.array().cast("array<string>")
-        )
-        return self.read("customer").withColumn("_genres", genres).select(
-            key.cast("string").alias("artist_id"),
-            name.alias("artist_name"),
-            F.to_json("_genres").alias("genres"),
-            F.col("_genres").alias("genres_list"),
-            F.get("_genres", F.lit(0)).alias("primary_genre"),
-            F.size("_genres").alias("genre_count"),
-            F.when(key % 17 != 0, (key * 37 % 101).cast("int")).alias("popularity"),
-            self.followers("c_acctbal").alias("followers_total"),
-            F.lit("artist_api").alias("data_source"),
+        """Artists named by customer key and a word list, a third of them with a genre."""
+        words = ", ".join(f"'{w}'" for w in NAME_WORDS)
+        return (
+            self.read("customer")
+            .selectExpr(
+                "*",
+                f"element_at(array({words}), int(c_custkey % {len(NAME_WORDS)} + 1)) AS word",
+                "CASE WHEN c_custkey % 3 = 0 THEN array(lower(c_mktsegment)) "
+                "ELSE CAST(array() AS array<string>) END AS genres_list",
+            )
+            .selectExpr(
+                "string(c_custkey) AS artist_id",
+                "word || CASE WHEN c_custkey % 12 >= 10 THEN '' ELSE ' ' || c_mktsegment END "
+                "AS artist_name",
+                "to_json(genres_list) AS genres",
+                "genres_list",
+                "get(genres_list, 0) AS primary_genre",
+                "size(genres_list) AS genre_count",
+                "CASE WHEN c_custkey % 17 <> 0 THEN int(c_custkey * 37 % 101) END AS popularity",
+                "bigint(round(greatest(c_acctbal, 0) * 1000)) AS followers_total",
+                "'artist_api' AS data_source",
+            )
         )
 
     # -- plays ------------------------------------------------------------
 
+    def part(self) -> DataFrame:
+        return self.read("part").select("p_partkey", "p_name", "p_size", "p_brand")
+
+    def supplier_names(self) -> DataFrame:
+        return self.read("supplier").select("s_suppkey", "s_name")
+
     @cached_property
     def plays_events(self) -> DataFrame:
         """Deduplicated plays with spread-out times of day, from ``events``."""
-        part = self.read("part").select("p_partkey", "p_name", "p_size", "p_brand")
-        supplier = self.read("supplier").select("s_suppkey", "s_name")
-        k = F.get_json_object("props", "$.k").cast("long")
-        events = self.read("events").select(
-            F.col("event_id").cast("string").alias("unique_play"),
+        events = self.read("events").selectExpr(
+            "string(event_id) AS unique_play",
             "user_id",
-            F.col("ts").alias("played_at"),
-            k.alias("_k"),
-            (k % self.artist_total).alias("_artist"),
-            case_map(F.col("event_type"), CONTEXT_BY_EVENT).alias("context_type"),
+            "ts AS played_at",
+            "bigint(get_json_object(props, '$.k')) AS _k",
+            "CASE event_type WHEN 'view' THEN 'playlist' WHEN 'click' THEN 'album' "
+            "WHEN 'purchase' THEN 'artist' WHEN 'signup' THEN 'collection' END AS context_type",
         )
         spread = ["unique_play"]
-        joined = salted_dimension_join(events, part, "_k", "p_partkey", spread, "inner")
-        joined = salted_dimension_join(joined, supplier, "_artist", "s_suppkey", spread, "inner")
-        return finish_plays(
-            joined.withColumns(
-                {
-                    "track_id": F.col("_k").cast("string"),
-                    "primary_artist_id": F.col("_artist").cast("string"),
-                    "primary_artist_name": F.col("s_name"),
-                    "track_explicit": F.col("p_size") % 5 == 0,
-                }
-            ),
-            "recently_played",
+        joined = salted_dimension_join(events, self.part(), "_k", "p_partkey", spread, "inner")
+        artist = F.col("p_partkey") % F.least(F.lit(40), self.suppliers)
+        joined = salted_dimension_join(
+            joined.withColumn("_artist", artist),
+            self.supplier_names(),
+            "_artist",
+            "s_suppkey",
+            spread,
+            "inner",
         )
+        return joined.selectExpr(
+            "*",
+            "string(p_partkey) AS track_id",
+            "string(s_suppkey) AS primary_artist_id",
+            "p_size % 5 = 0 AS track_explicit",
+        ).selectExpr(*PLAY, *TRACK)
 
     @cached_property
-    def landed_star(self) -> DataFrame:
-        """Plays with repeated keys over 83 months, from ``lineitem``, ``part``, ``orders``."""
-        part = self.read("part").select("p_partkey", "p_name", "p_size", "p_brand")
-        supplier = self.read("supplier").select("s_suppkey", "s_name")
-        orders = self.read("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-        lines = self.read("lineitem").select(
+    def landed_lines(self) -> DataFrame:
+        """The columns of ``lineitem`` that make a play."""
+        minutes = "int((l_partkey * 37 + l_linenumber * 211) % 1440)"
+        return self.read("lineitem").selectExpr(
+            "l_orderkey || '_' || l_linenumber AS unique_play",
             "l_orderkey",
-            "l_linenumber",
             "l_partkey",
             "l_suppkey",
-            "l_extendedprice",
-            "l_returnflag",
-            "l_shipdate",
+            f"l_shipdate + make_dt_interval(0, 0, {minutes}) AS played_at",
+            "l_returnflag = 'R' AS track_explicit",
         )
-        joined = join_dimension(lines, part, F.col("l_partkey") == F.col("p_partkey"), "inner")
+
+    def star(self, lines: DataFrame) -> DataFrame:
+        orders = self.read("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+        joined = join_dimension(lines, self.part(), F.expr("l_partkey = p_partkey"), "inner")
         joined = join_dimension(
-            joined, supplier, F.col("l_suppkey") == F.col("s_suppkey"), "inner"
-        )
-        joined = join_dimension(joined, orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-        minutes = "int((l_partkey * 37 + l_linenumber * 211) % 1440)"
-        key = F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber"))
-        plays = finish_plays(
-            joined.withColumns(
-                {
-                    "played_at": F.expr(f"l_shipdate + make_dt_interval(0, 0, {minutes})"),
-                    "unique_play": key,
-                    "user_id": F.col("o_custkey"),
-                    "track_id": F.col("l_partkey").cast("string"),
-                    "primary_artist_id": F.col("l_suppkey").cast("string"),
-                    "primary_artist_name": F.col("s_name"),
-                    "track_explicit": F.col("l_returnflag") == "R",
-                    "context_type": case_map(
-                        F.substring("o_orderpriority", 1, 1), CONTEXT_BY_PRIORITY
-                    ),
-                }
-            ),
-            "recently_played",
+            joined, self.supplier_names(), F.expr("l_suppkey = s_suppkey"), "inner"
         )
-        return plays
+        joined = join_dimension(joined, orders, F.expr("l_orderkey = o_orderkey"), "inner")
+        return joined.selectExpr(
+            "*",
+            "o_custkey AS user_id",
+            "string(l_partkey) AS track_id",
+            "string(l_suppkey) AS primary_artist_id",
+            "CASE left(o_orderpriority, 1) WHEN '1' THEN 'playlist' WHEN '2' THEN 'album' "
+            "WHEN '3' THEN 'artist' WHEN '5' THEN 'collection' END AS context_type",
+        ).selectExpr(*PLAY, *TRACK)
+
+    @cached_property
+    def landed_star(self) -> DataFrame:
+        """Plays with repeated keys over 83 months, from ``lineitem``, ``part``, ``orders``."""
+        return self.star(self.landed_lines)
 
     @cached_property
     def plays_star(self) -> DataFrame:
-        order = [
-            F.desc("played_at"),
-            F.col("track_id"),
-            F.col("primary_artist_id"),
-            F.col("user_id"),
-            F.col("track_explicit"),
-        ]
-        return dedupe_plays(self.landed_star, order=order)
+        """One play per key; the narrow lines are deduplicated before they are joined."""
+        order = ["string(l_partkey)", "string(l_suppkey)", "track_explicit"]
+        latest = [F.desc("played_at"), *[F.expr(e) for e in order]]
+        return self.star(dedupe_plays(self.landed_lines, order=latest))
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -256,12 +248,13 @@ class Tables:
     def catalog(self) -> DataFrame:
         """All tracks with their artist and genre, played or not."""
         key = F.col("p_partkey")
-        everyone = self.read("supplier").agg(F.count("*")).scalar()
-        artist = F.when(key < 100, key % self.artist_total).otherwise(key % everyone)
-        tracks = self.read("part").withColumns(track_columns()).select(
-            key.cast("string").alias("track_id"),
-            artist.cast("string").alias("_artist"),
-            *track_columns(),
+        artist = F.when(key < 100, key % F.least(F.lit(40), self.suppliers)).otherwise(
+            key % self.suppliers
+        )
+        tracks = (
+            self.read("part")
+            .withColumn("_artist", artist.cast("string"))
+            .selectExpr("string(p_partkey) AS track_id", "_artist", *TRACK)
         )
         dim = self.artists.select(
             F.col("artist_id").alias("primary_artist_id"),
@@ -272,104 +265,89 @@ class Tables:
             tracks, dim, "_artist", "primary_artist_id", ["track_id"]
         ).drop("_artist")
 
+    @cached_property
     def feed_base(self) -> DataFrame:
-        key = F.col("p_partkey")
-        nations = self.small_map("nation", "n_nationkey", "n_name")
-        everyone = self.read("supplier").agg(F.count("*")).scalar()
-        tracks = self.read("part").withColumns(track_columns())
-        artist = key % everyone
-        return tracks.select(
-            key.alias("_key"),
-            "p_size",
-            key.cast("string").alias("track_id"),
-            "track_name",
-            F.concat(F.lit("Artist "), artist.cast("string")).alias("primary_artist_name"),
-            artist.cast("string").alias("primary_artist_id"),
-            "album_name",
-            "album_release_date",
-            "track_popularity",
-            "track_duration_ms",
-            F.lit(None).cast("string").alias("preview_url"),
-            F.element_at(nations, (key % 25).cast("int")).alias("seed_genre"),
-            F.expr(
-                "timestamp_ntz'2024-01-20 00:00:00' + make_dt_interval(0, int(p_partkey % 240))"
-            ).alias("discovered_at"),
+        return (
+            self.read("part")
+            .withColumns({"_artist": F.col("p_partkey") % self.suppliers, "_homes": self.homes})
+            .selectExpr(
+                "p_partkey AS _key",
+                "p_size",
+                "string(p_partkey) AS track_id",
+                "'Artist ' || _artist AS primary_artist_name",
+                "string(_artist) AS primary_artist_id",
+                "CAST(NULL AS string) AS preview_url",
+                "element_at(_homes, int(p_partkey % 25)).n_name AS seed_genre",
+                "timestamp_ntz'2024-01-20 00:00:00' + make_dt_interval(0, int(p_partkey % 240)) "
+                "AS discovered_at",
+                *TRACK,
+            )
         )
 
+    FEED = [
+        "track_id", "track_name", "primary_artist_name", "primary_artist_id", "album_name",
+        "album_release_date", "track_popularity", "track_duration_ms", "preview_url",
+    ]
+
     @cached_property
     def feed(self) -> DataFrame:
         """Search-feed discoveries."""
-        base, odd = self.feed_base(), F.col("_key") % 2 == 1
-        return base.select(
-            "track_id",
-            "track_name",
-            "primary_artist_name",
-            "primary_artist_id",
-            "album_name",
-            "album_release_date",
-            "track_popularity",
-            "track_duration_ms",
-            "preview_url",
-            F.when(odd, "artist_based").otherwise("genre_based").alias("discovery_strategy"),
-            F.when(odd, F.col("primary_artist_name")).alias("seed_artist"),
-            F.when(~odd, F.col("seed_genre")).alias("seed_genre"),
-            ((F.col("p_size") % 10) / 10).alias("preference_score"),
+        return self.feed_base.selectExpr(
+            *self.FEED,
+            "CASE WHEN _key % 2 = 1 THEN 'artist_based' ELSE 'genre_based' END "
+            "AS discovery_strategy",
+            "CASE WHEN _key % 2 = 1 THEN primary_artist_name END AS seed_artist",
+            "CASE WHEN _key % 2 = 0 THEN seed_genre END AS seed_genre",
+            "(p_size % 10) / 10 AS preference_score",
             "discovered_at",
-            (F.col("discovered_at") + F.expr("INTERVAL 1 HOUR")).alias("ingested_at"),
+            "discovered_at + INTERVAL 1 HOUR AS ingested_at",
         )
 
     @cached_property
     def ml_feed(self) -> DataFrame:
         """ML-feed discoveries, every track landed twice with different scores."""
-        base = self.feed_base().withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
-        score = (F.col("p_size") + F.col("_copy") * 3) % 50 / 50
-        later = F.expr("make_dt_interval(0, int(_copy * 5))")
-        return base.select(
-            "track_id",
-            "track_name",
-            "primary_artist_name",
-            "primary_artist_id",
-            "album_name",
-            "album_release_date",
-            "track_popularity",
-            "track_duration_ms",
-            "preview_url",
-            F.lit("ml_hybrid").alias("discovery_strategy"),
-            score.alias("ml_recommendation_score"),
-            F.lit("collaborative_filtering").alias("ml_strategies_used"),
-            (score * 0.5).alias("ml_weighted_score"),
-            F.concat(F.lit("Seed "), F.col("track_name")).alias("seed_track"),
+        copies = self.feed_base.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+        score = "(p_size + _copy * 3) % 50 / 50"
+        later = "discovered_at + make_dt_interval(_copy * 5)"
+        return copies.selectExpr(
+            *self.FEED,
+            "'ml_hybrid' AS discovery_strategy",
+            f"{score} AS ml_recommendation_score",
+            "'collaborative_filtering' AS ml_strategies_used",
+            f"{score} * 0.5D AS ml_weighted_score",
+            "'Seed ' || track_name AS seed_track",
             "seed_genre",
-            (F.col("_key") % 11 / 10).alias("genre_novelty_score"),
-            (F.col("_key") % 9 / 10).alias("artist_novelty_score"),
-            (F.col("discovered_at") + later).alias("discovered_at"),
-            (F.col("discovered_at") + later + F.expr("INTERVAL 1 HOUR")).alias("ingested_at"),
+            "_key % 11 / 10 AS genre_novelty_score",
+            "_key % 9 / 10 AS artist_novelty_score",
+            f"{later} AS discovered_at",
+            f"{later} + INTERVAL 1 HOUR AS ingested_at",
         )
 
     @cached_property
     def candidates(self) -> DataFrame:
         """Candidate tracks of the ranker, some without a popularity."""
-        feed = self.feed
-        return feed.select(
+        return self.feed.selectExpr(
             "track_id",
             "track_name",
             "primary_artist_id",
             "primary_artist_name",
-            F.when(F.col("seed_genre").isNull(), "artist_seed").otherwise("genre_seed").alias("source"),
-            F.coalesce("seed_genre", "seed_artist").alias("seed_value"),
-            F.when(F.col("track_popularity") != 50, F.col("track_popularity")).alias(
-                "track_popularity"
-            ),
+            "CASE WHEN seed_genre IS NULL THEN 'artist_seed' ELSE 'genre_seed' END AS source",
+            "coalesce(seed_genre, seed_artist) AS seed_value",
+            "nullif(track_popularity, 50) AS track_popularity",
             "album_release_date",
-            F.col("discovered_at").alias("fetched_at"),
+            "discovered_at AS fetched_at",
         )
 
     @cached_property
     def as_of(self) -> Column:
         """Latest local date of ``events``; local time never runs ahead of a later instant."""
-        last = F.max("ts")
-        return self.read("events").agg(F.to_date(to_local(last, LOCAL_TZ))).scalar()
+        return self.last_date(self.read("events"), "ts")
 
     @cached_property
     def as_of_star(self) -> Column:
-        return self.plays_star.agg(F.to_date(to_local(F.max("played_at"), LOCAL_TZ))).scalar()
+        """Latest local date of the star plays; a key's latest row is never dropped."""
+        return self.last_date(self.landed_lines, "played_at")
+
+    @staticmethod
+    def last_date(df: DataFrame, ts: str) -> Column:
+        return df.agg(F.to_date(to_local(F.max(ts), LOCAL_TZ))).scalar()
