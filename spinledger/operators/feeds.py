@@ -136,10 +136,11 @@ def first_arrival(feed: DataFrame, order: Sequence[Column], limit: int | None =
 
 def artist_shares(features: DataFrame) -> DataFrame:
     """Share of the feature tracks that each artist has."""
+    total = features.agg(F.count("*")).scalar()
     counted = features.groupBy("primary_artist_name").agg(F.count("*").alias("_n"))
     return counted.select(
         F.col("primary_artist_name").alias("_artist"),
-        (F.col("_n") / F.sum("_n").over(W.partitionBy())).alias("artist_preference_score"),
+        (F.col("_n") / total).alias("artist_preference_score"),
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spinledger.functions.ranking import most_frequent, top_n
@@ -14,8 +13,8 @@ from spinledger.params import TRACK_WINDOW
 def top_shares(liked: DataFrame, value: str, n: int) -> Column:
     """The ``n`` most frequent values with their share, as an array in a scalar subquery."""
     counted = liked.groupBy(value).agg(F.count("*").alias("_n"))
-    shares = counted.withColumn("score", F.col("_n") / F.sum("_n").over(W.partitionBy()))
-    best = top_n(shares, [F.desc("_n"), F.col(value).asc_nulls_last()], n)
+    total = liked.agg(F.count("*")).scalar()
+    best = top_n(counted.withColumn("score", F.col("_n") / total), [F.desc("_n"), F.col(value).asc_nulls_last()], n)
     item = F.struct((-F.col("_n")).alias("o"), F.col(value).alias("name"), "score")
     listed = F.sort_array(F.collect_list(item))
     return best.agg(
