@@ -113,7 +113,7 @@ def alerts(scores: DataFrame, at: Column, channel: str = "email") -> DataFrame:
 
 
 def retrain_decision(
-    scores: DataFrame, performance_threshold: float = 0.6, drift_threshold: float = 0.3
+    scores: DataFrame, performance_threshold: float = 0.7, drift_threshold: float = 0.2
 ) -> DataFrame:
     """Recommended actions per row of overall_score, drift_score and model_age_days.
 

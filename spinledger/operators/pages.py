@@ -18,9 +18,11 @@ def page_texts(pages: DataFrame) -> DataFrame:
 
 
 def link_names(pages: DataFrame) -> DataFrame:
-    """Distinct link targets of the pages, as names to look for."""
-    found = F.regexp_extract_all("html", F.lit('<a href="/([a-zA-Z]{4,})"'), F.lit(1))
-    return pages.select(F.lower(F.explode(found)).alias("name")).distinct()
+    """Names to look for: distinct link targets, and the first two words of page titles."""
+    links = F.regexp_extract_all("html", F.lit('<a href="/([a-zA-Z]+)"'), F.lit(1))
+    titles = F.regexp_extract_all("html", F.lit("<title>([a-zA-Z]+ [a-zA-Z]+)"), F.lit(1))
+    found = pages.select(F.explode(F.concat(links, titles)).alias("name"))
+    return found.select(F.lower("name").alias("name")).distinct()
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
@@ -28,34 +30,81 @@ def vocabulary(texts: DataFrame) -> DataFrame:
     return texts.select("page_id", F.explode(F.split("body", " ")).alias("word")).distinct()
 
 
-def grams(text: Column, size: int) -> Column:
-    """All substrings of a length."""
+def grams(text: Column, size: Column) -> Column:
+    """All distinct substrings of a length."""
     last = F.length(text) - (size - 1)
     starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(
-        F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
-    )
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, size)))
 
 
 def contained_names(texts: DataFrame, names: DataFrame, size: int = 4) -> DataFrame:
-    """Page and name wherever a one-word name of at least ``size`` letters is on the page.
+    """Page and name wherever the lower-cased name is a substring of the page's text.
 
-    Containment inside a blank-free name can only happen inside one word. Distinct words are
-    matched to names through shared letter runs (the name's first run), so that each word meets
-    only names that can be in it; the pages follow from the matched words.
+    A name without a blank can only lie inside one word: distinct words and names meet through
+    the name's first letters (up to ``size``). A name with a blank lies across a word border:
+    the letters around its first blank are looked up among the borders of the page, and the
+    candidates are then checked against the whole text.
     """
+    lone = names.filter(~F.col("name").contains(" ") & (F.col("name") != ""))
+    spaced = names.filter(F.col("name").contains(" "))
     words = vocabulary(texts)
-    distinct = words.select("word").distinct()
-    probes = distinct.select("word", F.explode(grams(F.col("word"), size)).alias("_gram"))
-    keyed = names.filter(F.length("name") >= size).select(
-        "name", F.substring("name", 1, size).alias("_gram")
+    return words_with(words, lone, size).unionByName(across_words(texts, spaced)).distinct()
+
+
+def words_with(words: DataFrame, names: DataFrame, size: int) -> DataFrame:
+    length = F.least(F.length("name"), F.lit(size))
+    keyed = names.select("name", length.alias("_size")).withColumn(
+        "_gram", F.substring("name", F.lit(1), F.col("_size"))
+    )
+    lengths = F.explode(F.sequence(F.lit(1), F.lit(size))).alias("_size")
+    probes = (
+        words.select("word")
+        .distinct()
+        .select("word", lengths)
+        .join(F.broadcast(keyed.select("_size").distinct()), "_size", "left_semi")
+        .select("word", "_size", F.explode(grams(F.col("word"), F.col("_size"))).alias("_gram"))
     )
     matched = (
-        probes.join(keyed, "_gram").filter(F.col("word").contains(F.col("name"))).select("word", "name")
-    ).distinct()
+        probes.join(keyed, ["_size", "_gram"])
+        .filter(F.col("word").contains(F.col("name")))
+        .select("word", "name")
+        .distinct()
+    )
     return words.join(matched, "word").select("page_id", "name").distinct()
 
 
+BORDER = 3
+
+
+def across_words(texts: DataFrame, names: DataFrame) -> DataFrame:
+    parts = F.split("name", " ")
+    keyed = names.select(
+        "name",
+        F.concat(F.right(parts[0], F.lit(BORDER)), F.lit(" "), F.left(parts[1], F.lit(BORDER))).alias(
+            "_border"
+        ),
+    )
+    words = F.split("body", " ")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(words) - 2, F.lit(0))),
+        lambda i: F.struct(F.get(words, i).alias("a"), F.get(words, i + 1).alias("b")),
+    )
+    pairs = texts.select("page_id", F.explode(F.array_distinct(pairs)).alias("_p")).filter(
+        F.col("_p.b").isNotNull()
+    )
+    borders = F.array(
+        *[
+            F.concat(F.right("_p.a", F.lit(k)), F.lit(" "), F.left("_p.b", F.lit(n)))
+            for k in range(1, BORDER + 1)
+            for n in range(1, BORDER + 1)
+        ]
+    )
+    probes = pairs.select("page_id", F.explode(F.array_distinct(borders)).alias("_border"))
+    candidates = probes.join(keyed, "_border").select("page_id", "name").distinct()
+    checked = candidates.join(texts, "page_id").filter(F.col("body").contains(F.col("name")))
+    return checked.select("page_id", "name")
+
+
 def similarity_ratio(left: Column, right: Column) -> Column:
     """1 minus the edit distance over the longer length."""
     return 1 - F.levenshtein(left, right) / F.greatest(F.length(left), F.length(right))

@@ -14,7 +14,7 @@ from spinledger.sources.driver_tables import Tables
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["gold", "features", "recommend", "feeds", "genres", "quality"]
+MODULES = ["gold", "features", "recommend", "feeds", "genres", "quality", "incremental"]
 
 
 def query(name: str, oracle: str | None = None):

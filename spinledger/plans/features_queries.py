@@ -13,20 +13,30 @@ def listens(t):
     return silver.recent_listens(t.plays_events, t.artists)
 
 
+# The layer tables that the recommendation queries share, written once per run.
+
+
 def interactions(t):
-    return features.genre_interactions(t.silver, t.as_of)
+    return t.written(
+        "interactions", lambda: features.genre_interactions(t.silver_table, t.as_of)
+    )
 
 
 def track_features(t):
-    return features.track_features(t.silver, t.catalog, t.as_of)
+    return t.written(
+        "features", lambda: features.track_features(t.silver_table, t.catalog, t.as_of)
+    )
 
 
 def patterns(t):
-    return features.temporal_patterns(t.silver, t.as_of)
+    return t.written("patterns", lambda: features.temporal_patterns(t.silver_table, t.as_of))
 
 
 def genre_matrix(t):
-    return similarity.genre_similarity(similarity.genre_sessions(t.silver, t.as_of))
+    return t.written(
+        "matrix",
+        lambda: similarity.genre_similarity(similarity.genre_sessions(t.silver_table, t.as_of)),
+    )
 
 
 def r6(expr: str) -> str:
@@ -119,7 +129,7 @@ def replaced(columns: list[str], digits: int = 6) -> str:
     sql(f"SELECT {replaced(INTERACTION_DOUBLES)} FROM interactions", "interactions"),
 )
 def genre_interactions(t):
-    return rounded(interactions(t))
+    return rounded(features.genre_interactions(t.silver, t.as_of))
 
 
 @query(
@@ -224,7 +234,7 @@ FEATURE_DOUBLES = [
 
 @query("a16_track_features", sql(f"SELECT {replaced(FEATURE_DOUBLES)} FROM features", "features"))
 def track_features_query(t):
-    return rounded(track_features(t))
+    return rounded(features.track_features(t.silver, t.catalog, t.as_of))
 
 
 define(
@@ -265,7 +275,7 @@ PATTERN_DOUBLES = [
 
 @query("a17_temporal_patterns", sql(f"SELECT {replaced(PATTERN_DOUBLES)} FROM patterns", "patterns"))
 def temporal_patterns(t):
-    return rounded(patterns(t))
+    return rounded(features.temporal_patterns(t.silver, t.as_of))
 
 
 # -- similarity -----------------------------------------------------------------------
@@ -314,7 +324,8 @@ MATRIX_DOUBLES = [
 
 @query("a18_genre_similarity", sql(f"SELECT {replaced(MATRIX_DOUBLES)} FROM matrix", "matrix"))
 def genre_similarity(t):
-    return rounded(genre_matrix(t))
+    sessions = similarity.genre_sessions(t.silver, t.as_of)
+    return rounded(similarity.genre_similarity(sessions))
 
 
 @query(

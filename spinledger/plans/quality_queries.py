@@ -699,8 +699,8 @@ def alerts(t):
     "l4_retrain_decision",
     sql(
         """SELECT version, concat_ws('|',
-  CASE WHEN overall_performance < 0.6 THEN 'retrain_model|analyze_user_feedback' END,
-  CASE WHEN o_orderkey % 10 > 3 THEN 'concept_drift_detected|incremental_update' END,
+  CASE WHEN overall_performance < 0.7 THEN 'retrain_model|analyze_user_feedback' END,
+  CASE WHEN o_orderkey % 10 > 2 THEN 'concept_drift_detected|incremental_update' END,
   CASE WHEN overall_performance > 0.8 AND o_orderkey % 10 < 1 THEN 'performance_excellent' END,
   CASE WHEN o_custkey % 30 > 14 THEN 'model_aging' END) AS recommendations
 FROM trainings JOIN orders ON version = 'v' || o_orderkey""",

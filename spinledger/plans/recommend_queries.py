@@ -285,7 +285,7 @@ WHERE genre_novelty_score > 0.5 OR artist_novelty_score > 0.5) WHERE discovery_r
 
 def discovery(t):
     known = strategies.known_genres(liked_genres(t), 0.5)
-    artists = strategies.known_artists(t.silver, t.as_of)
+    artists = strategies.known_artists(t.silver_table, t.as_of)
     return strategies.discovery(track_features(t), known, artists)
 
 
@@ -466,7 +466,7 @@ def four(t):
         strategies.DISCOVERY: strategies.discovery(
             rows,
             strategies.known_genres(likes, 0.5),
-            strategies.known_artists(t.silver, t.as_of),
+            strategies.known_artists(t.silver_table, t.as_of),
         ),
     }
 
@@ -771,7 +771,7 @@ ORDER BY round(d, 9) DESC, track_id LIMIT 20""",
     @query(f"r15_discovery_{kind}", statement)
     def discovery_kind(t):
         known = strategies.known_genres(liked_genres(t))
-        artists = strategies.known_artists(t.silver, t.as_of)
+        artists = strategies.known_artists(t.silver_table, t.as_of)
         return rounded(
             serving.discovery_recommendations(track_features(t), known, artists, kind)
         )
@@ -1010,7 +1010,7 @@ FROM b JOIN h USING (primary_genre)""",
     ),
 )
 def temporal_lookup(t):
-    return rounded(serving.temporal_lookup(patterns(t), t.silver, t.as_of, HOUR, WEEKEND))
+    return rounded(serving.temporal_lookup(patterns(t), t.silver_table, t.as_of, HOUR, WEEKEND))
 
 
 # -- analytics ------------------------------------------------------------------------

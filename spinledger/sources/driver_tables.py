@@ -5,7 +5,10 @@
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Callable
 from functools import cached_property
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from spinledger.functions.joins import join_dimension, salted_dimension_join
 from spinledger.functions.timeparts import to_local
 from spinledger.operators.silver import dedupe_plays, enrich_plays
 from spinledger.params import LOCAL_TZ
+from spinledger.sources.tables import materialise
 
 # Explicit schemas, so that opening a table starts no job.
 SCHEMAS = {
@@ -88,6 +92,27 @@ class Tables:
             self.opened[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self.opened[name]
 
+    # -- tables written for one run -------------------------------------------
+
+    @cached_property
+    def scratch(self) -> str:
+        """A new folder for this run's tables, inside the cluster's checkpoint folder."""
+        context = self.spark.sparkContext
+        shared = self.spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
+            "spark.checkpoint.dir"
+        )
+        if shared:
+            return f"{shared}/spinledger/{context.applicationId}/{uuid4().hex}"
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        return tempfile.mkdtemp(prefix="spinledger-run-")
+
+    def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A layer table that several later steps read, written once per run."""
+        if name not in self.opened:
+            self.opened[name] = materialise(build(), f"{self.scratch}/{name}")
+        return self.opened[name]
+
     # -- artists ----------------------------------------------------------
 
     @cached_property
@@ -238,6 +263,19 @@ class Tables:
     def silver(self) -> DataFrame:
         return enrich_plays(self.plays_events, self.artists)
 
+    # the columns that the feature, pattern and similarity operators read
+    ML_COLUMNS = [
+        "unique_play", "local_timestamp", "local_date", "local_hour", "is_weekend", "track_id",
+        "track_name", "track_duration_ms", "track_popularity", "primary_artist_id",
+        "primary_artist_name", "primary_genre", "album_name", "album_type",
+        "album_release_date", "album_release_year",
+    ]
+
+    @property
+    def silver_table(self) -> DataFrame:
+        """The silver plays as a written table, as the ML layer reads them."""
+        return self.written("silver", lambda: self.silver.select(*self.ML_COLUMNS))
+
     @cached_property
     def silver_star(self) -> DataFrame:
         return enrich_plays(self.plays_star, self.artists)
