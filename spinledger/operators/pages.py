@@ -84,14 +84,14 @@ def across_words(texts: DataFrame, names: DataFrame) -> DataFrame:
             "_border"
         ),
     )
-    words = F.split("body", " ")
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda i: F.struct(F.get(words, i).alias("a"), F.get(words, i + 1).alias("b")),
-    )
-    pairs = texts.select("page_id", F.explode(F.array_distinct(pairs)).alias("_p")).filter(
-        F.col("_p.b").isNotNull()
+    split = texts.select("page_id", F.split("body", " ").alias("_w"))
+    count = F.size("_w") - 1
+    pairs = F.zip_with(
+        F.slice("_w", F.lit(1), count),
+        F.slice("_w", F.lit(2), count),
+        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
     )
+    pairs = split.select("page_id", F.explode(F.array_distinct(pairs)).alias("_p"))
     borders = F.array(
         *[
             F.concat(F.right("_p.a", F.lit(k)), F.lit(" "), F.left("_p.b", F.lit(n)))

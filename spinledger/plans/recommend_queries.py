@@ -618,7 +618,7 @@ SHORT = "track_id, track_name, primary_artist_name AS artist_name, primary_genre
 @query(
     "r9_get_recommendations",
     sql(
-        f"""WITH s AS (SELECT *, final_recommendation_score * CASE
+        f"""WITH s AS (SELECT * EXCLUDE (playlist_position), final_recommendation_score * CASE
   WHEN recommendation_strategies LIKE '%temporal%' THEN 1.2 ELSE 1 END AS c FROM playlist
   WHERE round(final_recommendation_score, 9) >= 0.05)
 SELECT {SHORT}, album_name, track_popularity, {r6("c")} AS recommendation_score,

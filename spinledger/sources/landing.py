@@ -11,6 +11,7 @@ from spinledger.functions.timeparts import release_date
 
 CORRUPT = "_corrupt_record"
 BACKFILL_MAX_DAYS = 50
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_json(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:
@@ -103,6 +104,7 @@ def write_dated(df: DataFrame, path: str, at: str, mode: str = "append") -> None
         .write.mode(mode)
         .partitionBy("year", "month", "day")
         .option("compression", "gzip")
+        .option("timestampNTZFormat", MICROSECONDS)
         .json(path)
     )
 
@@ -118,7 +120,8 @@ def write_artists(artists: DataFrame, path: str, mode: str = "append") -> None:
 def write_feed(feed: DataFrame, path: str, batch: str, mode: str = "append") -> None:
     """One folder of JSON lines per batch."""
     tagged = feed.withColumn("batch_ts", F.lit(batch))
-    tagged.write.mode(mode).partitionBy("batch_ts").json(path)
+    writer = tagged.write.mode(mode).partitionBy("batch_ts")
+    writer.option("timestampNTZFormat", MICROSECONDS).json(path)
 
 
 # ---------------------------------------------------------------------------
