@@ -14,11 +14,10 @@ SALTS = 16
 
 def planned_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None where the session does not expose it."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
