@@ -134,28 +134,41 @@ TRACK_ATTRIBUTES = [
 ]
 
 
-def track_engagement(recent: DataFrame) -> DataFrame:
-    """Plays, last day and latest attributes of every recently played track.
+def track_base(silver: DataFrame, as_of: Column, window: int = TRACK_WINDOW) -> DataFrame:
+    """Plays per track spelling, in all and within the window, in one pass.
 
-    Plays are summed per track and attributes in one hash aggregate; the choice of the latest
-    attributes then runs on the few spellings of each track.
+    Popularity and duration belong to the key, so that every later average is a sum over these
+    rows. The table is as small as the library and worth writing before ``track_features``,
+    which reads it several times.
     """
-    spellings = (
-        recent.filter(F.col("track_id").isNotNull())
-        .groupBy("track_id", *TRACK_ATTRIBUTES)
+    recent = since(F.col("local_date"), as_of, window)
+    return (
+        silver.filter(F.col("track_id").isNotNull())
+        .groupBy("track_id", *TRACK_ATTRIBUTES, "album_release_year")
         .agg(
-            F.count("*").alias("_n"),
-            F.max("local_date").alias("_day"),
-            F.max("local_timestamp").alias("_at"),
+            F.count("*").alias("plays"),
+            F.count_if(recent).alias("recent_plays"),
+            F.max(F.when(recent, F.col("local_date"))).alias("last_played_date"),
+            F.max(F.when(recent, F.col("local_timestamp"))).alias("last_played_at"),
         )
     )
+
+
+def weighted_average(value: Column, weight: Column) -> Column:
+    """Average of ``value`` over ``weight`` plays; rows without a value do not count."""
+    known = F.when(value.isNotNull(), weight)
+    return F.try_divide(F.sum(value.cast("long") * weight), F.sum(known))
+
+
+def track_engagement(recent: DataFrame) -> DataFrame:
+    """Recent plays, last day and latest attributes of every recently played track."""
     track = W.partitionBy("track_id")
-    order = [F.desc("_at"), *[F.col(c) for c in TRACK_ATTRIBUTES]]
+    order = [F.desc("last_played_at"), *[F.col(c) for c in TRACK_ATTRIBUTES]]
     return (
-        spellings.withColumns(
+        recent.withColumns(
             {
-                "user_play_count": F.sum("_n").over(track),
-                "last_played_date": F.max("_day").over(track),
+                "user_play_count": F.sum("recent_plays").over(track),
+                "_day": F.max("last_played_date").over(track),
                 "_latest": F.row_number().over(track.orderBy(*order)),
             }
         )
@@ -163,31 +176,62 @@ def track_engagement(recent: DataFrame) -> DataFrame:
         .select(
             "track_id",
             "user_play_count",
-            "last_played_date",
+            F.col("_day").alias("last_played_date"),
             F.struct(*TRACK_ATTRIBUTES).alias("_latest"),
         )
     )
 
 
+def artist_statistics(recent: DataFrame) -> DataFrame:
+    plays = F.col("recent_plays")
+    return recent.groupBy("primary_artist_id").agg(
+        F.countDistinct("primary_genre").alias("artist_genre_diversity"),
+        weighted_average(F.col("track_popularity"), plays).alias("artist_avg_popularity"),
+        F.countDistinct("track_id").alias("artist_track_count"),
+        weighted_average(F.col("track_duration_ms"), plays).alias("artist_avg_duration"),
+        F.sum(plays).alias("artist_total_plays"),
+    )
+
+
+def genre_statistics(base: DataFrame, recent: DataFrame) -> DataFrame:
+    """Genre averages over all plays of the tracks heard in the window."""
+    popularity, plays = F.col("track_popularity").cast("long"), F.col("plays")
+    heard = recent.select("track_id").distinct()
+    count = F.sum(F.when(popularity.isNotNull(), plays))
+    total, squares = F.sum(popularity * plays), F.sum(popularity * popularity * plays)
+    variance = F.try_divide(squares - F.try_divide(total * total, count), count - 1)
+    year = F.coalesce("album_release_year", F.lit(2000))
+    return (
+        base.filter(F.col("primary_genre").isNotNull())
+        .join(heard, "track_id", "left_semi")
+        .groupBy("primary_genre")
+        .agg(
+            F.try_divide(total, count).alias("genre_avg_popularity"),
+            weighted_average(F.col("track_duration_ms"), plays).alias("genre_avg_duration"),
+            F.countDistinct("primary_artist_id").alias("genre_artist_count"),
+            F.countDistinct("track_id").alias("genre_track_count"),
+            F.sqrt(F.greatest(variance, F.lit(0.0))).alias("genre_popularity_variance"),
+            weighted_average(year, plays).alias("genre_avg_release_year"),
+        )
+    )
+
+
 def track_features(
-    silver: DataFrame,
+    base: DataFrame,
     catalog: DataFrame,
     as_of: Column,
-    window: int = TRACK_WINDOW,
     per_genre: int | None = TRACKS_PER_GENRE,
 ) -> DataFrame:
     """Content features, one row per track of the catalog or of the recent plays.
 
-    ``user_play_count`` counts the plays in the window and is 0 for a track not played in it,
-    whose freshness is 0. Only the ``per_genre`` best-ranked tracks of each genre are kept;
-    None keeps all. The play table is read three times, each time for one small aggregate;
-    nothing of its size is joined.
+    ``base`` is the output of ``track_base``. ``user_play_count`` counts the plays in its
+    window and is 0 for a track not played in it, whose freshness is 0. Only the ``per_genre``
+    best-ranked tracks of each genre are kept; None keeps all.
     """
-    recent = silver.filter(since(F.col("local_date"), as_of, window))
-    played = track_engagement(recent)
+    recent = base.filter("recent_plays > 0")
     tracks = (
         catalog.select("track_id", F.struct(*TRACK_ATTRIBUTES).alias("_known"))
-        .join(played, "track_id", "full")
+        .join(track_engagement(recent), "track_id", "full")
         .withColumn("_track", F.coalesce("_known", "_latest"))
         .select(
             "track_id",
@@ -204,18 +248,12 @@ def track_features(
     else:
         rank = F.row_number().over(W.partitionBy("primary_genre").orderBy(*order))
         tracks = tracks.withColumn("genre_rank", rank)
-    artists = recent.groupBy("primary_artist_id").agg(
-        F.countDistinct("primary_genre").alias("artist_genre_diversity"),
-        F.avg("track_popularity").alias("artist_avg_popularity"),
-        F.countDistinct("track_id").alias("artist_track_count"),
-        F.avg("track_duration_ms").alias("artist_avg_duration"),
-        F.count("*").alias("artist_total_plays"),
-    )
-    genres = genre_statistics(silver, recent)
-    out = join_dimension(tracks, genres, "primary_genre")
-    # at most per_genre tracks per genre are left, so the artist side decides this join
-    out = out.join(artists, "primary_artist_id", "left")
-    most_played = tracks.agg(F.greatest(F.max("user_play_count"), F.lit(1))).scalar()
+    out = join_dimension(tracks, genre_statistics(base, recent), "primary_genre", "left")
+    out = join_dimension(out, artist_statistics(recent), "primary_artist_id", "left")
+    most_played = recent.groupBy("track_id").agg(F.sum("recent_plays").alias("n"))
+    if per_genre is not None:
+        most_played = tracks.select(F.col("user_play_count").alias("n"))
+    most_played = most_played.agg(F.greatest(F.max("n"), F.lit(1))).scalar()
     days = F.datediff(as_of, F.col("last_played_date"))
     return out.withColumns(
         {
@@ -232,44 +270,6 @@ def track_features(
     )
 
 
-def genre_statistics(silver: DataFrame, recent: DataFrame) -> DataFrame:
-    """Genre averages over all plays of the tracks heard in the window.
-
-    All plays are first added up per track and genre; the semi-join on the recently heard
-    tracks then runs on those sums.
-    """
-    popularity, duration = F.col("track_popularity"), F.col("track_duration_ms")
-    year = F.coalesce("album_release_year", F.lit(2000))
-    per_track = (
-        silver.filter(F.col("primary_genre").isNotNull() & F.col("track_id").isNotNull())
-        .groupBy("primary_genre", "track_id", "primary_artist_id")
-        .agg(
-            F.count("*").alias("n"),
-            F.count(popularity).alias("np"),
-            F.sum(popularity.cast("long")).alias("sp"),
-            F.sum(popularity.cast("long") * popularity).alias("spp"),
-            F.count(duration).alias("nd"),
-            F.sum(duration).alias("sd"),
-            F.sum(year.cast("long")).alias("sy"),
-        )
-    )
-    heard = recent.select("track_id").distinct()
-    np, sp, spp = F.sum("np"), F.sum("sp"), F.sum("spp")
-    variance = F.try_divide(spp - F.try_divide(sp * sp, np), np - 1)
-    return (
-        per_track.join(heard, "track_id", "left_semi")
-        .groupBy("primary_genre")
-        .agg(
-            F.try_divide(sp, np).alias("genre_avg_popularity"),
-            F.try_divide(F.sum("sd"), F.sum("nd")).alias("genre_avg_duration"),
-            F.countDistinct("primary_artist_id").alias("genre_artist_count"),
-            F.countDistinct("track_id").alias("genre_track_count"),
-            F.sqrt(F.greatest(variance, F.lit(0.0))).alias("genre_popularity_variance"),
-            F.try_divide(F.sum("sy"), F.sum("n")).alias("genre_avg_release_year"),
-        )
-    )
-
-
 def temporal_patterns(
     silver: DataFrame, as_of: Column, window: int = TRACK_WINDOW, min_plays: int = 2
 ) -> DataFrame:

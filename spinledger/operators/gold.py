@@ -12,8 +12,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spinledger.functions import tiers
+from spinledger.functions.ranking import (
+    count_if_pct,
+    first_per_group,
+    most_frequent,
+    share,
+    top_n,
+)
 from spinledger.functions.rounding import half_up
-from spinledger.functions.ranking import count_if_pct, most_frequent, share, top_n
 from spinledger.functions.timeparts import add_local_time, since
 
 
@@ -239,11 +245,38 @@ def genre_analysis(silver: DataFrame, day_label: str = "min") -> DataFrame:
 MONTH = ["local_year", "local_month"]
 
 
-def top_per_month(silver: DataFrame, value: str, name: str) -> DataFrame:
-    """Most played value of each month and its plays."""
-    plays = silver if value != "primary_genre" else silver.filter(F.col(value).isNotNull())
-    best = most_frequent(plays, MONTH, value, f"{name}_plays")
-    return best.select(*MONTH, F.col(value).alias(name), f"{name}_plays")
+# name of the top item and the column it comes from
+MONTHLY_TOPS = {
+    "top_artist": "primary_artist_name",
+    "top_genre": "primary_genre",
+    "top_track": "track_name",
+}
+
+
+def top_per_month(silver: DataFrame) -> DataFrame:
+    """Most played artist, genre and track of each month, from one pass over the plays.
+
+    Every play yields one small row per kind of item; these are counted in the map tasks
+    before anything is shuffled.
+    """
+    items = [
+        F.struct(F.lit(name).alias("kind"), F.col(column).alias("value"))
+        for name, column in MONTHLY_TOPS.items()
+    ]
+    counted = (
+        silver.select(*MONTH, F.explode(F.array(*items)).alias("_item"))
+        .groupBy(*MONTH, F.col("_item.kind").alias("kind"), F.col("_item.value").alias("value"))
+        .agg(F.count("*").alias("plays"))
+        .filter((F.col("kind") != "top_genre") | F.col("value").isNotNull())
+    )
+    order = [F.desc("plays"), F.col("value").asc_nulls_last()]
+    best = first_per_group(counted, [*MONTH, "kind"], order)
+    columns = []
+    for name in MONTHLY_TOPS:
+        mine = F.col("kind") == name
+        columns.append(F.max(F.when(mine, F.col("value"))).alias(name))
+        columns.append(F.max(F.when(mine, F.col("plays"))).alias(f"{name}_plays"))
+    return best.groupBy(*MONTH).agg(*columns)
 
 
 def monthly_base(silver: DataFrame) -> DataFrame:
@@ -284,12 +317,7 @@ def monthly_insights(silver: DataFrame) -> DataFrame:
             ),
         }
     )
-    for value, name in (
-        ("primary_artist_name", "top_artist"),
-        ("primary_genre", "top_genre"),
-        ("track_name", "top_track"),
-    ):
-        months = months.join(top_per_month(silver, value, name), MONTH, "left")
+    months = months.join(top_per_month(silver), MONTH, "left")
     return months.select(
         F.col("local_year").alias("year"),
         F.col("local_month").alias("month"),

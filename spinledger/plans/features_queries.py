@@ -24,10 +24,14 @@ def interactions(t):
 
 def track_features(t):
     return t.written(
-        "features", lambda: features.track_features(t.silver_table, t.catalog, t.as_of)
+        "features", lambda: features.track_features(track_base(t), t.catalog, t.as_of)
     )
 
 
+def track_base(t):
+    return t.written("track_base", lambda: features.track_base(t.silver_table, t.as_of))
+
+
 def patterns(t):
     return t.written("patterns", lambda: features.temporal_patterns(t.silver_table, t.as_of))
 
@@ -234,7 +238,8 @@ FEATURE_DOUBLES = [
 
 @query("a16_track_features", sql(f"SELECT {replaced(FEATURE_DOUBLES)} FROM features", "features"))
 def track_features_query(t):
-    return rounded(features.track_features(t.silver, t.catalog, t.as_of))
+    base = t.written("track_base", lambda: features.track_base(t.silver, t.as_of))
+    return rounded(features.track_features(base, t.catalog, t.as_of))
 
 
 define(

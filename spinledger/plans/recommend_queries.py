@@ -894,8 +894,8 @@ FROM recent_star CROSS JOIN last_day_star GROUP BY track_id""",
 
 
 def star_features(t):
-    catalog = t.catalog
-    return fx.track_features(t.silver_star, catalog, t.as_of_star, per_genre=None)
+    base = t.written("star_base", lambda: fx.track_base(t.silver_star, t.as_of_star))
+    return fx.track_features(base, t.catalog, t.as_of_star, per_genre=None)
 
 
 @query(

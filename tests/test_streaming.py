@@ -75,3 +75,16 @@ def test_partition_replacement_keeps_other_dates(spark, tmp_path):
     assert sorted((r.d, r.v) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 3)]
     stored.backup(spark, path, str(tmp_path / "copy"))
     assert spark.read.parquet(str(tmp_path / "copy")).count() == 2
+
+
+def test_refresh_writes_all_layers_and_views(spark, tables, tmp_path):
+    from spinledger.plans.refresh import refresh_layers, register_views
+
+    layers = refresh_layers(tables.landed_star, tables.artists, tables.catalog, str(tmp_path))
+    assert layers["silver_plays"].count() == tables.plays_star.count()
+    register_views(layers, local_prefix="home", prefix="v_")
+    total = spark.sql("SELECT sum(total_plays) FROM v_daily_summary").head()[0]
+    dates = spark.sql("SELECT count(DISTINCT home_date) FROM v_silver_plays").head()[0]
+    assert (total, dates) == (layers["silver_plays"].count(), layers["daily_summary"].count())
+    scan = spark.sql("SELECT track_id FROM v_silver_plays WHERE home_date = DATE'1997-01-05'")
+    assert "PartitionFilters: [isnotnull(local_date" in scan._jdf.queryExecution().executedPlan().toString()
