@@ -178,7 +178,7 @@ def empty_genre_summary(t):
 
 
 @query(
-    "a27_pipeline_metrics",
+    "a27_health_metrics",
     sql(
         f"""WITH n AS (SELECT TIMESTAMP '2024-01-31 12:00:00' AS now)
 SELECT 'total_tracks_ingested' AS metric_name, CAST(count(*) AS DOUBLE) AS metric_value FROM plays
