@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinledger.llm import simhash
+from spinledger.llm import mixing, simhash
 from spinledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +25,14 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op3_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    taken = (F.col("size") * F.col("copies")).cast("long")
+    return mixing.decide(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", taken.alias("taken")
+    )
+
+
+ORACLES["op3_pareto_mix"] = mixing.ORACLE
