@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinledger.llm import mixing, simhash
+from spinledger.llm import mixing, sharding, simhash
 from spinledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,8 @@ def op3_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op3_pareto_mix"] = mixing.ORACLE
+
+
+@query
+def op4_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.digest(table(spark, folder, "documents"))
