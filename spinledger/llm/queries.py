@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinledger.llm import mixing, sharding, simhash
+from spinledger.llm import decontam, mixing, sharding, simhash
 from spinledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,13 @@ ORACLES["op3_pareto_mix"] = mixing.ORACLE
 @query
 def op4_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.digest(table(spark, folder, "documents"))
+
+
+@query
+def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    ).drop("text_hash")
+
+
+ORACLES["op9_winnowing"] = decontam.ORACLE
