@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinledger.llm import decontam, mixing, sharding, simhash
+from spinledger.llm import decontam, mixing, sharding, simhash, toxicity
 from spinledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,8 @@ def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op9_winnowing"] = decontam.ORACLE
+
+
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
