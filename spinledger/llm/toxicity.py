@@ -1,9 +1,10 @@
 """Toxicity by a lexicon trie met with Levenshtein automata, and context windows.
 
 Learning takes a bounded sample of labelled rows (``MAX_LABELLED``, chosen by a hash of the id, all
-of them where there are fewer). One half gives the lexicon: words, and stems that begin several
-words, whose document frequency among toxic rows is far above that among others. The other half
-fits a small logistic regression on what the lexicon finds in whole texts.
+of them where there are fewer). They give the lexicon: words, and stems that begin several words,
+whose document frequency among toxic rows is far above that among others. A small logistic
+regression is fitted on what a lexicon finds in whole texts, each half of the rows read with the
+lexicon of the other half, so that words that are rare by chance earn no trust.
 
 Matching: the trie of all terms, read with up to one or two edits (none before the second letter,
 none in short terms), is a nondeterministic automaton, the intersection of the word's Levenshtein
@@ -41,6 +42,8 @@ MIN_ROWS = 3
 MIN_SHARE = 0.002
 MIN_LOG_ODDS = math.log(6)
 STEM_LENGTHS = range(4, 9)
+#: A stem must occur in this many times the rows of any one word that it begins.
+SEVERAL = 1.3
 WINDOW = 5
 QUOTED = 0.3
 ADDRESSED = 1.2
@@ -100,9 +103,15 @@ def lexicon(sample: DataFrame, toxic: int, clean: int) -> list[tuple[str, bool,
         .withColumn("weight", odds)
         .filter(F.col("weight") >= MIN_LOG_ODDS)
         .orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "term", "stem")
-        .limit(MAX_TERMS)
-    )
-    return [(row.term, row.stem, row.weight) for row in found.collect()]
+        .limit(3 * MAX_TERMS)
+    ).collect()
+    words = {row.term: row.toxic for row in found if not row.stem}
+    lone: dict[str, int] = {}  # the most frequent word that a stem begins
+    for word, count in words.items():
+        for n in STEM_LENGTHS:
+            lone[word[:n]] = max(count, lone.get(word[:n], 0))
+    kept = [r for r in found if not r.stem or r.toxic >= SEVERAL * lone.get(r.term, 0)]
+    return [(row.term, row.stem, row.weight) for row in kept[:MAX_TERMS]]
 
 
 @dataclass
@@ -298,16 +307,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     if not toxic or not clean:
         odds = math.log((prior + 1e-6) / (1 - prior + 1e-6))
         return Model([], [0.0] * FEATURES + [odds])
-    first = sample.filter("half = 0").select("text", "toxic")
-    terms = lexicon(first, counts.get((0, True), 0), counts.get((0, False), 0))
-    found = sample.filter("half = 1").select("text", "toxic").mapInArrow(
-        extractor(terms), "features array<double>, toxic boolean"
-    )
-    rows = found.collect()  # at most MAX_LABELLED rows of a few numbers
-    if not rows:
-        return Model(terms, [0.0] * FEATURES + [math.log((prior + 1e-6) / (1 - prior + 1e-6))])
-    x = np.array([row.features for row in rows])
-    return Model(terms, fit(x, np.array([row.toxic for row in rows], float)))
+    pairs, found = sample.select("text", "toxic"), []
+    for own, other in ((0, 1), (1, 0)):
+        apart = lexicon(
+            sample.filter(F.col("half") == other).select("text", "toxic"),
+            counts.get((other, True), 0),
+            counts.get((other, False), 0),
+        )
+        rows = sample.filter(F.col("half") == own).select("text", "toxic")
+        # at most MAX_LABELLED rows of a few numbers in all
+        found += rows.mapInArrow(extractor(apart), "features array<double>, toxic boolean").collect()
+    x, y = np.array([row.features for row in found]), np.array([row.toxic for row in found], float)
+    return Model(lexicon(pairs, toxic, clean), fit(x, y))
 
 
 def extractor(terms: list[tuple[str, bool, float]]):
