@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinledger.llm import decontam, mixing, sharding, simhash, toxicity
+from spinledger.llm import decontam, mixing, sharding, simhash, tokens, toxicity
 from spinledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +57,9 @@ ORACLES["op9_winnowing"] = decontam.ORACLE
 @query
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op1_simple8b_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.token_table(table(spark, folder, "documents"), path)
