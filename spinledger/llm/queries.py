@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinledger.llm import decontam, mixing, sharding, simhash, tokens, toxicity
+from spinledger.llm import decontam, htmltext, mixing, sharding, simhash, tokens, toxicity
 from spinledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op1_simple8b_tokens(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return tokens.token_table(table(spark, folder, "documents"), path)
+
+
+@query
+def op10_text_density(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.extracted(table(spark, folder, "pages"))
