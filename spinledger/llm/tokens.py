@@ -25,6 +25,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spinledger.llm.common import runs, shared_folder, text_of
+from spinledger.llm.common import runs, shared_folder, small_batches, text_of
 
 END = 2
 BLOCK = 512
@@ -43,8 +44,11 @@ LANES = 60 // SLOTS
 #: Ids at or above this value are escapes in 15-bit lanes: four to a word, never fewer.
 ESCAPE_SLOTS = 4
 ESCAPE = (1 << (60 // ESCAPE_SLOTS)) - 1
+WIDTHS = np.array([max(n.bit_length(), 1) for n in range(ESCAPE + 1)], np.uint8)
 TEXT_RUN = 1 << 20
-PIECES = 300_000
+#: Pieces that an encoder remembers before it starts anew.
+PIECES = 400_000
+ROWS = 1000
 
 
 # -- Simple-8b --------------------------------------------------------------
@@ -60,7 +64,7 @@ def packed(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     end = np.minimum(begin + BLOCK, (starts + lengths)[owner])
     escape = ids >= ESCAPE
     lanes = np.where(escape, ESCAPE, ids).astype(np.uint64)
-    bits = np.maximum(np.ceil(np.log2(lanes.astype(np.float64) + 1)), 1).astype(np.int64)
+    bits = WIDTHS[lanes]
     fits = selectors(bits)
     at, words, counts = begin.copy(), [], []
     order, active = [], np.arange(len(begin))
@@ -85,7 +89,9 @@ def selectors(bits: np.ndarray) -> np.ndarray:
     best = np.full(len(bits), len(SLOTS) - 1)
     for s in range(len(SLOTS) - 1, -1, -1):
         n, wide = int(SLOTS[s]), bits > LANES[s]
-        misfits = np.r_[0, np.cumsum(wide)]
+        if len(bits) - np.count_nonzero(wide) < n:
+            continue
+        misfits = np.concatenate([[0], np.cumsum(wide, dtype=np.int32)])
         ends = np.minimum(np.arange(len(bits)) + n, len(bits))
         best[misfits[ends] == misfits[:-1]] = s
     return best
@@ -165,9 +171,10 @@ def block(payload: bytes, number: int) -> np.ndarray:
 class Encoder:
     """The tokenizers library with a bounded memory of pieces between single spaces.
 
-    A single space between two other signs always begins a pre-token of this tokenizer, so the
-    pieces are independent. Pieces with white space at an end show that a text is spaced in
-    another way; such a text is encoded whole.
+    A single space between two other signs always begins a pre-token of this tokenizer, so such
+    pieces are independent, and so are the lines of a piece. Unknown ones are encoded together,
+    one to a line. White space at an end of one shows that a text is spaced in another way; such
+    a text is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -175,12 +182,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, int] = {}
+        (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.reset()
 
     def reset(self) -> None:
-        self.known.clear()
-        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.first: dict[str, int] = {}  # pieces at the start of a text
+        self.rest: dict[str, int] = {}  # pieces behind a space, without it
+        self.ids = np.array([self.newline], np.uint32)
+        self.starts = np.array([0, 1])
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -189,56 +198,102 @@ class Encoder:
             out += [np.array(e.ids, np.uint32) for e in found]
         return out
 
-    def learn(self, pieces: list[str]) -> None:
-        found = self.plain(pieces)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
-        self.ids = np.concatenate([self.ids, *found])
-        self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(lengths)]
+    def store(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """Keep more entries; the number of the first."""
+        at = len(self.starts) - 1
+        self.ids = np.concatenate([self.ids, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        return at
+
+    def learn(self, known: dict[str, int], pieces: list[str], lead: str) -> None:
+        """Keep the ids of unknown pieces."""
+        folded = [p for p in pieces if "\n" in p]
+        plain = [p for p in pieces if "\n" not in p]
+        if len("\n".join(plain).split()) != len(plain):
+            known.update((p, ODD) for p in plain if uneven(p))
+            plain = [p for p in plain if p not in known]
+        self.learn_lines(known, plain, lead)
+        lines = {p: p.split("\n") for p in folded}
+        known.update((p, ODD) for p, own in lines.items() if any(map(uneven, own)))
+        lines = {p: own for p, own in lines.items() if p not in known}
+        heads = {own[0] for own in lines.values() if own[0] not in known}
+        self.learn_lines(known, sorted(heads), lead)
+        behind = {x for own in lines.values() for x in own[1:] if x not in self.first}
+        self.learn_lines(self.first, sorted(behind), "")
+        at = [
+            entry
+            for own in lines.values()
+            for n, x in enumerate(own)
+            for entry in ([NEWLINE, self.first[x]] if n else [known[x]])
+        ]
+        if at:
+            ids, lengths = self.gather(np.array(at))
+            counts = np.array([2 * len(own) - 1 for own in lines.values()])
+            first = self.store(ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
+            known.update(zip(lines, range(first, first + len(lines)), strict=True))
+
+    def learn_lines(self, known: dict[str, int], pieces: list[str], lead: str) -> None:
+        if not pieces:
+            return
+        (ids,) = self.plain(["\n".join([lead + p for p in pieces])])
+        breaks = np.nonzero(ids == self.newline)[0]
+        if len(breaks) == len(pieces) - 1:
+            lengths, flat = np.diff(breaks, prepend=-1, append=len(ids)) - 1, np.delete(ids, breaks)
+        else:
+            found = self.plain([lead + p for p in pieces])
+            lengths, flat = np.array([len(f) for f in found]), np.concatenate(found)
+        at = self.store(flat, lengths)
+        known.update(zip(pieces, range(at, at + len(pieces)), strict=True))
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, counts = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(counts)
+        flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - counts), counts)
+        return self.ids[flat], counts
+
+    def entries(self, pieces: list[str]) -> list[int | None]:
+        found = list(map(self.rest.get, pieces))
+        found[0] = self.first.get(pieces[0])
+        return found
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > PIECES:
+        if len(self.rest) + len(self.first) > PIECES:
             self.reset()
-        split, whole = [], []
-        for n, text in enumerate(texts):
-            pieces = text.split(" ")
-            pieces[1:] = [" " + p for p in pieces[1:]]
-            split.append(pieces)
-            if any(s in text for s in self.special):
-                whole.append(n)
-        fresh = {p for pieces in split for p in pieces if p not in self.known}
-        odd = {p for p in fresh if uneven(p)}
-        if odd:
-            whole += [n for n, pieces in enumerate(split) if not odd.isdisjoint(pieces)]
-            for n in whole:
-                split[n] = []
-            fresh = {p for pieces in split for p in pieces if p not in self.known}
-        elif whole:
-            for n in whole:
-                split[n] = []
-        if fresh:
-            self.learn(sorted(fresh))
-        out = [self.rows(pieces) for pieces in split]
-        for n, ids in zip(whole, self.plain([texts[n] for n in whole]), strict=True):
-            out[n] = ids
+        split = [text.split(" ") for text in texts]
+        found = [self.entries(pieces) for pieces in split]
+        open_at = [(n, i) for n, at in enumerate(found) if None in at for i, x in enumerate(at) if x is None]
+        if open_at:
+            self.learn(self.first, sorted({split[n][0] for n, i in open_at if not i}), "")
+            self.learn(self.rest, sorted({split[n][i] for n, i in open_at if i}), " ")
+            for n, i in open_at:
+                found[n][i] = (self.rest if i else self.first)[split[n][i]]
+        whole = [
+            n
+            for n, text in enumerate(texts)
+            if ODD in found[n] or any(s in text for s in self.special)
+        ]
+        for n in whole:
+            found[n] = []
+        sizes = np.array([len(at) for at in found])
+        ids, counts = self.gather(np.array([i for at in found for i in at], np.int64))
+        upto = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(sizes)]
+        out = np.split(ids, upto[:-1])
+        for n, own in zip(whole, self.plain([texts[n] for n in whole]), strict=True):
+            out[n] = own
         return out
 
-    def rows(self, pieces: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        first, counts = self.starts[at], self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(counts)
-        flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - counts), counts)
-        return self.ids[flat]
+
+#: The entry of a line feed, and that of a piece which depends on its neighbours.
+NEWLINE, ODD = 0, -1
 
 
-def uneven(piece: str) -> bool:
-    """White space at an end, beside the space that joins the piece to the one before."""
-    body = piece[1:] if piece.startswith(" ") else piece
-    return body == "" or body[0].isspace() or body[-1].isspace()
+def uneven(line: str) -> bool:
+    return not line or line[0].isspace() or line[-1].isspace()
 
 
 def encoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         encoder, before = Encoder(path), 0
         for batch in batches:
             texts = batch["text"].to_pylist()
@@ -273,7 +328,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str) -> None:
         .select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     )
     schema = f"shard int, doc_id {kind}, n_tokens long, first long, payload binary"
-    ordered.mapInArrow(encoding(tokenizer), schema).write.partitionBy("shard").parquet(path)
+    with small_batches(docs.sparkSession, ROWS):
+        ordered.mapInArrow(encoding(tokenizer), schema).write.partitionBy("shard").parquet(path)
 
 
 def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
