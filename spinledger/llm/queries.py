@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinledger.llm import decontam, htmltext, langid, mixing, sharding, simhash, tokens, toxicity
+from spinledger.llm import decontam, htmltext, langid, mih, mixing, sharding, simhash, tokens, toxicity
 from spinledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,8 @@ def op10_text_density(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_language_spans(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identified(table(spark, folder, "documents")).drop("spans")
+
+
+@query
+def op5_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return mih.neighbours(table(spark, folder, "embeddings"))
