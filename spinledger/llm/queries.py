@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinledger.llm import decontam, htmltext, langid, mih, mixing, sharding, simhash, tokens, toxicity
+from spinledger.llm import (
+    decontam,
+    htmltext,
+    langid,
+    maxent,
+    mih,
+    mixing,
+    sharding,
+    simhash,
+    tokens,
+    toxicity,
+)
 from spinledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +89,8 @@ def op6_language_spans(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return mih.neighbours(table(spark, folder, "embeddings"))
+
+
+@query
+def op2_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.scores(table(spark, folder, "documents"))
