@@ -83,7 +83,12 @@ def reason_by_strategies(strategies: Column) -> Column:
     )
 
 
-# Reason shown when only one strategy picked the track.
+# Reasons shown by the short and the full hybrid.
+AGREED_REASON = "Multiple algorithms agree this matches your taste"
+SHORT_CONTENT_REASON = "Similar to tracks you already love"
+DEFAULT_REASON = "ML-powered personalized recommendation"
+MANY_REASON = "Multiple ML algorithms strongly recommend this track"
+TWO_REASON = "Two ML algorithms agree this matches your taste"
 SINGLE_STRATEGY_REASONS = {
     "collaborative_filtering": "Users with similar taste love this track",
     "content_based_filtering": "Similar musical characteristics to your favorites",
@@ -93,12 +98,10 @@ SINGLE_STRATEGY_REASONS = {
 
 
 def reason_by_support(support: Column, strategies: Column) -> Column:
-    out = F.when(support >= 3, "Multiple ML algorithms strongly recommend this track").when(
-        support == 2, "Two ML algorithms agree this matches your taste"
-    )
+    out = F.when(support >= 3, MANY_REASON).when(support == 2, TWO_REASON)
     for name, text in SINGLE_STRATEGY_REASONS.items():
         out = out.when(strategies == name, text)
-    return out.otherwise("ML-powered personalized recommendation")
+    return out.otherwise(DEFAULT_REASON)
 
 
 def confidence_by_support(support: Column) -> Column:

@@ -177,10 +177,10 @@ def hybrid_two(
         .when(score > 0.6, "Medium Confidence")
         .otherwise("Single Algorithm")
         .alias("ml_confidence"),
-        F.when(support > 1, "Multiple algorithms agree this matches your taste")
-        .when(single == COLLABORATIVE, "Users with similar taste love this track")
-        .when(single == CONTENT, "Similar to tracks you already love")
-        .otherwise("ML-powered personalized recommendation")
+        F.when(support > 1, tiers.AGREED_REASON)
+        .when(single == COLLABORATIVE, tiers.SINGLE_STRATEGY_REASONS["collaborative_filtering"])
+        .when(single == CONTENT, tiers.SHORT_CONTENT_REASON)
+        .otherwise(tiers.DEFAULT_REASON)
         .alias("recommendation_reason"),
         tiers.popularity_label(F.col("track_popularity"), "long").alias("popularity_tier"),
     )

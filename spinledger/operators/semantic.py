@@ -38,8 +38,8 @@ class Entity:
         return df.groupBy(*keys).agg(*values)
 
 
-def same(names: str) -> dict[str, str]:
-    return {name: name for name in names.split()}
+def same(*names: str) -> dict[str, str]:
+    return {name: name for name in names}
 
 
 MODEL = {
@@ -50,10 +50,11 @@ MODEL = {
             ["unique_play"],
             {
                 **same(
-                    "unique_play local_date local_hour local_year local_month local_quarter "
-                    "is_weekend time_of_day_category track_name track_explicit track_id "
-                    "primary_artist_name primary_artist_id primary_genre is_multi_genre_artist "
-                    "album_name album_type album_release_year is_single listening_source"
+                    "unique_play", "local_date", "local_hour", "local_year", "local_month",
+                    "local_quarter", "is_weekend", "time_of_day_category", "track_name",
+                    "track_explicit", "track_id", "primary_artist_name", "primary_artist_id",
+                    "primary_genre", "is_multi_genre_artist", "album_name", "album_type",
+                    "album_release_year", "is_single", "listening_source",
                 ),
                 "day_of_week": "dayname(local_timestamp)",
             },
@@ -74,7 +75,9 @@ MODEL = {
         Entity(
             "daily_summary",
             ["local_date"],
-            same("local_date day_of_week is_weekend month_name quarter year"),
+            same(
+                "local_date", "day_of_week", "is_weekend", "month_name", "quarter", "year",
+            ),
             {
                 "daily_total_plays": ("total_plays", "sum"),
                 "daily_unique_tracks": ("unique_tracks", "sum"),
@@ -87,7 +90,9 @@ MODEL = {
         Entity(
             "genre_analysis",
             ["primary_genre"],
-            same("primary_genre top_artist"),
+            same(
+                "primary_genre", "top_artist",
+            ),
             {
                 "genre_total_plays": ("total_plays", "sum"),
                 "genre_unique_artists": ("unique_artists", "sum"),
@@ -100,7 +105,8 @@ MODEL = {
             "monthly_insights",
             ["year", "month"],
             same(
-                "year month month_name quarter top_artist top_genre top_track mainstream_tendency"
+                "year", "month", "month_name", "quarter", "top_artist", "top_genre", "top_track",
+                "mainstream_tendency",
             ),
             {
                 "monthly_total_plays": ("total_plays", "sum"),
@@ -114,8 +120,8 @@ MODEL = {
             "artist_summary",
             ["artist_id"],
             same(
-                "artist_id artist_name primary_genre is_multi_genre_artist first_listened "
-                "last_listened"
+                "artist_id", "artist_name", "primary_genre", "is_multi_genre_artist",
+                "first_listened", "last_listened",
             ),
             {
                 "artist_total_plays": ("total_plays", "sum"),

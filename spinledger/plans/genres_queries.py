@@ -72,11 +72,7 @@ def enhance_empty_genres(t):
 
 
 def known_sql() -> str:
-    rows = [
-        f"('{name}', '{genre}')"
-        for genre, names in genres.KNOWN_ARTISTS.items()
-        for name in names.split("|")
-    ]
+    rows = [f"('{name}', '{genre}')" for name, genre in genres.KNOWN_ARTISTS.items()]
     return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS k(kn, kg)"
 
 
@@ -97,9 +93,9 @@ def known_artists(t):
     return rows.select("artist_id", "artist_name", "known_genre")
 
 
-def score_of(words: str) -> str:
+def score_of(words: list[str]) -> str:
     return " + ".join(
-        f"CASE WHEN contains(ln, '{w}') THEN {len(w)} ELSE 0 END" for w in words.split("|")
+        f"CASE WHEN contains(ln, '{w}') THEN {len(w)} ELSE 0 END" for w in words
     )
 
 

@@ -113,14 +113,33 @@ def feed_round_trip(t):
 
 @query(
     "s8_file_inventory",
-    "SELECT true AS has_files, true AS has_bytes",
+    sql(
+        """SELECT count(*) AS rows_read, true AS all_files_listed, true AS all_bytes_counted
+FROM feed""",
+        "feed",
+    ),
 )
 def file_inventory(t):
+    """The inventory against the files that the landed rows were read from."""
     path = t.scratch + "/inventory"
     landing.write_feed(t.feed, path, "20240131")
-    files = landing.recent_files(t.spark, path, F.current_date(), 1)
-    totals = landing.file_totals(files)
-    return totals.select((F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    totals = landing.file_totals(landing.recent_files(t.spark, path, F.current_date(), 1))
+    read = (
+        t.spark.read.option("recursiveFileLookup", "true")
+        .text(path)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.count("*").alias("rows"), F.max("_metadata.file_size").alias("size"))
+        .agg(
+            F.sum("rows").alias("rows_read"),
+            F.count("*").alias("read_files"),
+            F.sum("size").alias("read_bytes"),
+        )
+    )
+    return read.select(
+        "rows_read",
+        (F.col("read_files") == totals.select("files").scalar()).alias("all_files_listed"),
+        (F.col("read_bytes") == totals.select("bytes").scalar()).alias("all_bytes_counted"),
+    )
 
 
 @query(
@@ -143,7 +162,7 @@ def after_cursor(t):
     "s9_backfill_window",
     sql(
         """SELECT unique_play, played_at FROM plays
-WHERE played_at > TIMESTAMP '2024-03-01' - INTERVAL 50 DAY""",
+WHERE played_at > TIMESTAMP '2024-03-01' - INTERVAL 90 DAY""",
         "plays",
     ),
 )
@@ -175,16 +194,21 @@ def not_processed(t):
     ),
 )
 def stream_to_silver(t):
-    """Nested JSON files through a stream: flatten, dedupe, enrich, write; then read back."""
+    """Nested JSON files through a stream, one file per batch; then read back.
+
+    Every file mixes all dates, every play comes twice in different files, and one more file
+    with a bad line is skipped whole.
+    """
     folder = t.scratch
-    nested_plays(t).repartition(4, "played_at").write.json(folder + "/raw")
-    stream = ingest.stream_raw_plays(t.spark, folder + "/raw", files_per_batch=2)
-    unique = ingest.dedupe_stream(ingest.with_play_key(stream))
-    enriched = ingest.silver_stream(unique, t.artists)
-    run = ingest.start(
-        enriched, folder + "/checkpoint", ingest.append_by_date(folder + "/silver"), "silver"
-    )
-    run.awaitTermination()
+    plays = nested_plays(t)
+    plays.repartition(4).write.json(folder + "/raw")
+    plays.repartition(2).write.mode("append").json(folder + "/raw")
+    good = plays.limit(1).select(F.to_json(F.struct(F.struct("track.*").alias("track"))).alias("value"))
+    bad = t.spark.createDataFrame([("{\"played_at\": ",)], "value string")
+    good.union(bad).coalesce(1).write.mode("append").text(folder + "/raw")
+    lines = ingest.stream_lines(t.spark, folder + "/raw", files_per_batch=1)
+    step = ingest.append_plays(folder + "/silver", t.artists)
+    ingest.start(lines, folder + "/checkpoint", step, "silver").awaitTermination()
     rows = t.spark.read.parquet(folder + "/silver")
     return rows.select("unique_play", "local_date", "primary_genre")
 

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spinledger import schema
+from spinledger.functions.joins import join_dimension
 from spinledger.functions.timeparts import release_date
 
 CORRUPT = "_corrupt_record"
-BACKFILL_MAX_DAYS = 50
 MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -18,25 +18,22 @@ def read_json(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame
     """JSON lines with a fixed schema and file lineage; a file with a bad line is left out.
 
     Lines are parsed from text, so that every field of every line is checked whatever columns
-    are read later. The list of bad files can be broadcast: it is shorter than the list of all
-    files, which the driver holds anyway.
+    are read later.
     """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return parsed(lines.select("value", F.col("_metadata.file_path").alias("file_name")), fields)
+
+
+def parsed(lines: DataFrame, fields: T.StructType) -> DataFrame:
+    """Rows of text lines (value, file_name), without the files that hold a bad line."""
     checked = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rows = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path)
-        .filter(F.trim("value") != "")
-        .select(
-            F.from_json("value", checked, options).alias("_row"),
-            F.col("_metadata.file_path").alias("file_name"),
-        )
+    rows = lines.filter(F.trim("value") != "").select(
+        F.from_json("value", checked, options).alias("_row"), "file_name"
     )
     bad = rows.filter(F.col(f"_row.{CORRUPT}").isNotNull()).select("file_name").distinct()
-    return (
-        rows.join(F.broadcast(bad), "file_name", "left_anti")
-        .select("_row.*", "file_name")
-        .drop(CORRUPT)
+    return join_dimension(rows, bad, "file_name", "left_anti").select("_row.*", "file_name").drop(
+        CORRUPT
     )
 
 
@@ -160,8 +157,7 @@ def next_cursor(plays: DataFrame, cursor: DataFrame) -> DataFrame:
 
 
 def backfill_window(plays: DataFrame, now: Column, days: int = 30) -> DataFrame:
-    """Plays of the last days, at most fifty."""
-    days = min(days, BACKFILL_MAX_DAYS)
+    """Plays of the last days."""
     return plays.filter(F.col("played_at") > now - F.expr(f"INTERVAL {days} DAYS"))
 
 

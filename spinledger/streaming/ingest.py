@@ -4,55 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spinledger import schema
+from spinledger.functions.joins import join_dimension
 from spinledger.operators.feeds import upsert_ml_discoveries
 from spinledger.operators.flatten import flatten_plays
 from spinledger.operators.gold import daily_summary
 from spinledger.operators.silver import enrich_plays, play_key
-from spinledger.sources.landing import cast_feed, not_processed
+from spinledger.sources.landing import not_processed, parsed
 from spinledger.sources.tables import replace_partitions
 
-WATERMARK = "7 days"
 
-
-def stream_json(
-    spark: SparkSession, path: str, fields: T.StructType, files_per_batch: int | None = None
-) -> DataFrame:
-    """New files of a landing folder; each is read once per checkpoint."""
-    reader = spark.readStream.schema(fields).option("recursiveFileLookup", "true")
+def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Lines (value, file_name) of the new files of a folder; each file is read once."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
-
+    return reader.text(path).select("value", F.col("_metadata.file_path").alias("file_name"))
 
-def stream_raw_plays(spark: SparkSession, path: str, **options) -> DataFrame:
-    return flatten_plays(stream_json(spark, path, schema.RAW_PLAY, **options))
 
+def with_play_key(plays: DataFrame) -> DataFrame:
+    return plays.withColumn("unique_play", play_key(F.col("played_at"), F.col("track_id")))
 
-def stream_ml_discoveries(spark: SparkSession, path: str, **options) -> DataFrame:
-    return cast_feed(stream_json(spark, path, schema.ML_DISCOVERY_TEXT, **options))
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table written by earlier batches, None before the first."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
-def with_play_key(plays: DataFrame) -> DataFrame:
-    return plays.withColumn("unique_play", play_key(F.col("played_at"), F.col("track_id")))
 
+def append_plays(path: str, artists: DataFrame) -> Callable[[DataFrame, int], None]:
+    """Batch step from landed lines to silver: parse, one row per play, enrich, append.
 
-def dedupe_stream(plays: DataFrame, key: str = "unique_play", watermark: str = WATERMARK) -> DataFrame:
-    """First row of every play key within the watermark."""
-    timed = plays.withColumn("_event_time", F.col("played_at").cast("timestamp"))
-    return timed.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark([key]).drop(
-        "_event_time"
-    )
+    A file with a bad line is skipped whole, as in a batch read. A play is new if no earlier
+    batch wrote it, however late it comes: the play key fixes the local date, so only the dates
+    of the batch are read for that. The batch's own number is left out, so that a repeated batch
+    repeats itself.
+    """
+    append = append_by_date(path)
 
+    def step(batch: DataFrame, number: int) -> None:
+        rows = parsed(batch, schema.RAW_PLAY)
+        plays = with_play_key(flatten_plays(rows.drop("file_name")))
+        silver = enrich_plays(plays.dropDuplicates(["unique_play"]), artists)
+        written = stored(batch.sparkSession, path)
+        if written is not None:
+            dates = silver.select("local_date").distinct()
+            keys = written.filter(F.col("batch") < number).select("unique_play", "local_date")
+            keys = join_dimension(keys, dates, "local_date", "left_semi")
+            silver = silver.join(keys, ["unique_play", "local_date"], "left_anti")
+        append(silver, number)
 
-def silver_stream(plays: DataFrame, artists: DataFrame) -> DataFrame:
-    """Enriched stream; the artists are a static table read again in every batch."""
-    return enrich_plays(plays, artists)
+    return step
 
 
 def start(
@@ -91,20 +102,23 @@ def refresh_days(silver_path: str, gold_path: str) -> Callable[[DataFrame, int],
     def refresh(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         dates = batch.select("local_date").distinct()
-        silver = spark.read.parquet(silver_path).join(F.broadcast(dates), "local_date", "left_semi")
+        silver = join_dimension(spark.read.parquet(silver_path), dates, "local_date", "left_semi")
         replace_partitions(daily_summary(silver), gold_path, ["local_date"])
 
     return refresh
 
 
-def silver_and_gold(silver_path: str, gold_path: str) -> Callable[[DataFrame, int], None]:
+def silver_and_gold(
+    silver_path: str, gold_path: str, artists: DataFrame
+) -> Callable[[DataFrame, int], None]:
     """Silver append followed by the refresh of the touched dates."""
-    append, refresh = append_by_date(silver_path), refresh_days(silver_path, gold_path)
+    append, refresh = append_plays(silver_path, artists), refresh_days(silver_path, gold_path)
 
     def step(batch: DataFrame, number: int) -> None:
         append(batch, number)
-        written = batch.sparkSession.read.parquet(silver_path)
-        refresh(written.filter(F.col("batch") == number), number)
+        written = stored(batch.sparkSession, silver_path)
+        if written is not None:
+            refresh(written.filter(F.col("batch") == number), number)
 
     return step
 

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from spinledger.operators import gold
@@ -8,38 +9,40 @@ from spinledger.sources import tables as stored
 from spinledger.streaming import ingest
 
 
-def test_stream_equals_batch(spark, tables, tmp_path):
+@pytest.mark.parametrize("files", [1, 2, 6])
+def test_stream_equals_batch(spark, tables, tmp_path, files):
     raw, silver, daily = (str(tmp_path / n) for n in ("raw", "silver", "gold"))
-    nested_plays(tables).repartition(3, "played_at").write.json(raw)
-    stream = ingest.stream_raw_plays(spark, raw, files_per_batch=2)
-    unique = ingest.dedupe_stream(ingest.with_play_key(stream))
-    enriched = ingest.silver_stream(unique, tables.artists)
-    step = ingest.silver_and_gold(silver, daily)
-    ingest.start(enriched, str(tmp_path / "c"), step, "s").awaitTermination()
+    plays = nested_plays(tables)
+    plays.repartition(3).write.json(raw)
+    plays.repartition(3, "track.id").write.mode("append").json(raw)  # every play once more
+    lines = ingest.stream_lines(spark, raw, files_per_batch=files)
+    step = ingest.silver_and_gold(silver, daily, tables.artists)
+    ingest.start(lines, str(tmp_path / "c"), step, "s").awaitTermination()
 
     written = spark.read.parquet(silver)
     assert written.count() == tables.silver.count()
-    assert written.select("batch").distinct().count() == 2
+    assert written.select("unique_play").distinct().count() == written.count()
     columns = ["local_date", "total_plays", "unique_tracks", "top_genre", "listening_sessions"]
     got = spark.read.parquet(daily).select(*columns).collect()
     want = gold.daily_summary(tables.silver).select(*columns).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
 
     # nothing new: a second run adds no row
-    ingest.start(enriched, str(tmp_path / "c"), step, "s").awaitTermination()
+    ingest.start(lines, str(tmp_path / "c"), step, "s").awaitTermination()
     assert spark.read.parquet(silver).count() == tables.silver.count()
 
 
-def test_stream_drops_repeated_plays(spark, tables, tmp_path):
-    raw = str(tmp_path / "raw")
-    plays = nested_plays(tables)
-    plays.union(plays).write.json(raw)
-    unique = ingest.dedupe_stream(ingest.with_play_key(ingest.stream_raw_plays(spark, raw)))
-    out = str(tmp_path / "out")
-    ingest.start(
-        unique, str(tmp_path / "c"), lambda b, n: b.write.mode("append").parquet(out), "d"
-    ).awaitTermination()
-    assert spark.read.parquet(out).count() == tables.plays_events.count()
+def test_stream_skips_files_with_a_bad_line(spark, tables, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    nested_plays(tables).limit(20).coalesce(1).write.json(str(raw))
+    good = next(raw.glob("part-*")).read_text().splitlines()
+    (raw / "part-bad.json").write_text("{broken\n" + good[0].replace("2024", "2023") + "\n")
+    step = ingest.append_plays(out, tables.artists)
+    lines = ingest.stream_lines(spark, str(raw), files_per_batch=1)
+    ingest.start(lines, str(tmp_path / "c"), step, "b").awaitTermination()
+    rows = spark.read.parquet(out)
+    assert rows.count() == 20
+    assert rows.filter("unique_play IS NULL").count() == 0
 
 
 def test_repeated_batch_changes_nothing(spark, tables, tmp_path):
