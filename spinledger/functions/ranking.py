@@ -118,6 +118,38 @@ def exact_row_number(df: DataFrame, order: Sequence[str], out: str) -> DataFrame
     )
 
 
+def rank_in_group(df: DataFrame, key: str, order: Sequence[Column], out: str) -> DataFrame:
+    """Row number within every value of ``key`` without gathering a group in one task.
+
+    Rows are range-partitioned and sorted by key and order (total within a key), and frozen by a
+    checkpoint. A row's number is its place among the rows of its key in its range, plus the
+    rows of the key in the ranges before.
+    """
+    ensure_checkpoint_dir(df)
+    frozen = (
+        df.repartitionByRange(F.col(key), *order)
+        .sortWithinPartitions(F.col(key), *order)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_id", 33))
+        .checkpoint()
+    )
+    before = W.partitionBy("_key").orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
+    # a row per key and range: a key that spans ranges has at most one per range
+    firsts = (
+        frozen.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_p"))
+        .agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .drop("_n")
+    )
+    match = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_p"))
+    number = F.col("_id") - F.col("_first") + F.col("_before") + 1
+    return (
+        frozen.join(firsts, match)
+        .withColumn(out, number.cast("int"))
+        .drop("_id", "_part", "_key", "_p", "_first", "_before")
+    )
+
+
 def share(part: Column, total: Column, digits: int = 2) -> Column:
     """Percentage, NULL for an empty total."""
     return half_up(F.try_divide(part * F.lit(100.0), total), digits)

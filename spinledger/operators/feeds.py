@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spinledger.functions import tiers
 from spinledger.functions.joins import join_dimension
-from spinledger.functions.ranking import first_per_group, top_n
+from spinledger.functions.ranking import first_per_group, rank_in_group, top_n
 from spinledger.functions.rounding import half_up
 from spinledger.functions.timeparts import since
 from spinledger.params import TRACK_LINK_PREFIX
@@ -178,32 +178,11 @@ GENRE_STEPS = [(3, 1.0), (5, 0.8)]
 
 
 def diversity_ranks(feed: DataFrame) -> DataFrame:
-    """Popularity rank of every row inside its artist and inside its seed genre.
-
-    Only the first few ranks matter to the penalties, the rest share one factor. Ranks are
-    therefore found for the first rows of each group, where map tasks cut down to those before
-    the shuffle, and every other row gets the next rank as "further back". A hot artist or
-    genre never gathers in one task.
-    """
+    """Popularity rank of every row inside its artist and inside its seed genre."""
     popular = [F.desc_nulls_last("track_popularity"), F.col("track_id")]
     out = feed.withColumn("_genre", F.coalesce("seed_genre", F.lit("unknown")))
-    for key, name, last in (
-        ("primary_artist_name", "artist_diversity_rank", ARTIST_STEPS[-1][0]),
-        ("_genre", "genre_diversity_rank", GENRE_STEPS[-1][0]),
-    ):
-        rank = F.row_number().over(W.partitionBy(key).orderBy(*popular))
-        first = (
-            out.select("track_id", key, "track_popularity")
-            .withColumn(name, rank)
-            .filter(F.col(name) <= last)
-            .select(F.col("track_id").alias("_id"), name)
-        )
-        out = (
-            out.join(first, F.col("track_id") == F.col("_id"), "left")
-            .drop("_id")
-            .withColumn(name, F.coalesce(name, F.lit(last + 1)))
-        )
-    return out.drop("_genre")
+    out = rank_in_group(out, "primary_artist_name", popular, "artist_diversity_rank")
+    return rank_in_group(out, "_genre", popular, "genre_diversity_rank").drop("_genre")
 
 
 def smart_discoveries(
@@ -216,8 +195,7 @@ def smart_discoveries(
 ) -> DataFrame:
     """Recent discoveries scored by preference with artist and genre diversity penalties.
 
-    ``artist_diversity_rank`` above 3 reads 4 and ``genre_diversity_rank`` above 5 reads 6: all
-    further ranks share one penalty. One row per track is expected; see ``upsert_discoveries``.
+    One row per track is expected; see ``upsert_discoveries``.
     """
     likes = interactions.filter(F.col("weighted_preference") > 0.1).select(
         F.lower("primary_genre").alias("_liked"), "weighted_preference"

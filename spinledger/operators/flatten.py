@@ -109,17 +109,21 @@ def flatten_artists(
 
 
 def flatten_candidates(
-    tracks: DataFrame, source: str, seed_value: str, fetched_at: Column
+    tracks: DataFrame, source: str | Column, seed_value: str | Column, fetched_at: Column
 ) -> DataFrame:
-    """Nested search results to candidate rows tagged with their source and seed."""
+    """Nested search results to candidate rows tagged with their source and seed.
+
+    Source and seed are texts for the results of one search, or columns for those of many.
+    """
+    source, seed_value = (x if isinstance(x, Column) else F.lit(x) for x in (source, seed_value))
     first_artist = F.get(F.col("artists"), F.lit(0))
     return tracks.select(
         F.col("id").alias("track_id"),
         F.col("name").alias("track_name"),
         first_artist["id"].alias("primary_artist_id"),
         first_artist["name"].alias("primary_artist_name"),
-        F.lit(source).alias("source"),
-        F.lit(seed_value).alias("seed_value"),
+        source.alias("source"),
+        seed_value.alias("seed_value"),
         F.col("popularity").alias("track_popularity"),
         F.col("album.release_date").alias("album_release_date"),
         fetched_at.alias("fetched_at"),

@@ -173,22 +173,37 @@ def model_scores(models: DataFrame, test_popularity: Column, today: Column) -> D
     )
 
 
-def compare_models(scored: DataFrame, model_a: str, model_b: str) -> DataFrame:
-    """Winner and confidence of two model names out of ``model_scores``."""
+def compare_models(
+    scored: DataFrame, model_a: tuple[str, str], model_b: tuple[str, str]
+) -> DataFrame:
+    """Winner and confidence of two models, each a (name, version), out of ``model_scores``.
+
+    One row, or none if a model is missing; a model that is listed twice is an error.
+    """
 
-    def of(name: str, alias: str) -> DataFrame:
-        return scored.filter(F.col("model_name") == name).select(
-            F.col("model_name").alias(f"{alias}_name"), F.col("overall_score").alias(alias)
+    def is_model(model: tuple[str, str]) -> Column:
+        return (F.col("model_name") == model[0]) & (F.col("version") == model[1])
+
+    def score(model: tuple[str, str]) -> Column:
+        twice = F.raise_error(F.lit(f"model {model[0]} {model[1]} is listed more than once"))
+        return F.when(F.count_if(is_model(model)) > 1, twice.cast("double")).otherwise(
+            F.max(F.when(is_model(model), F.col("overall_score")))
         )
 
-    confidence = F.abs(F.col("model_a") - F.col("model_b"))
-    # one row on either side
-    return of(model_a, "model_a").join(of(model_b, "model_b"), F.lit(True)).select(
-        "model_a_name",
-        "model_b_name",
-        F.col("model_a").alias("model_a_score"),
-        F.col("model_b").alias("model_b_score"),
-        F.when(F.col("model_a") > F.col("model_b"), "model_a").otherwise("model_b").alias("winner"),
+    sides = scored.filter(is_model(model_a) | is_model(model_b)).agg(
+        score(model_a).alias("model_a_score"), score(model_b).alias("model_b_score")
+    )
+    confidence = F.abs(F.col("model_a_score") - F.col("model_b_score"))
+    first = F.col("model_a_score") > F.col("model_b_score")
+    return sides.dropna().select(
+        *[
+            F.lit(text).alias(f"{side}_{part}")
+            for side, model in (("model_a", model_a), ("model_b", model_b))
+            for part, text in zip(("name", "version"), model, strict=True)
+        ],
+        "model_a_score",
+        "model_b_score",
+        F.when(first, "model_a").otherwise("model_b").alias("winner"),
         confidence.alias("confidence"),
         (confidence > 0.05).alias("significant"),
         F.when(confidence > 0.05, "deploy_winner").otherwise("continue_testing").alias(

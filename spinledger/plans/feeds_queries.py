@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spinledger.operators import feeds
+from spinledger.operators import feeds, flatten
 from spinledger.plans.catalogue import query, rounded
 from spinledger.plans.features_queries import interactions, r6, track_features
 from spinledger.plans.oracle import define, half_up, sql
@@ -142,7 +142,19 @@ def first_arrival(t):
     ),
 )
 def candidates(t):
-    return t.candidates.drop("primary_artist_name")
+    """Search results in their nested form, flattened."""
+    nested = t.candidates.selectExpr(
+        "track_id AS id",
+        "track_name AS name",
+        "array(struct(primary_artist_id AS id, primary_artist_name AS name)) AS artists",
+        "track_popularity AS popularity",
+        "struct(album_release_date AS release_date) AS album",
+        "source AS found_by",
+        "seed_value AS found_for",
+        "fetched_at AS at",
+    )
+    rows = flatten.flatten_candidates(nested, F.col("found_by"), F.col("found_for"), F.col("at"))
+    return rows.drop("primary_artist_name", "raw_payload")
 
 
 define(
@@ -163,8 +175,8 @@ scored AS (SELECT f.*, CASE discovery_strategy WHEN 'artist_based'
     ON lower(seed_genre) = lower(primary_genre)
   LEFT JOIN shares ON primary_artist_name = an
   WHERE CAST(discovered_at AS DATE) >= as_of - 7)
-SELECT *, CAST(least(ar, 4) AS INTEGER) AS artist_diversity_rank,
-  CAST(least(gr, 6) AS INTEGER) AS genre_diversity_rank, preference_score AS seed_preference_score,
+SELECT *, CAST(ar AS INTEGER) AS artist_diversity_rank,
+  CAST(gr AS INTEGER) AS genre_diversity_rank, preference_score AS seed_preference_score,
   raw * CASE ar WHEN 1 THEN 1 WHEN 2 THEN 0.7 WHEN 3 THEN 0.4 ELSE 0.2 END
     * CASE WHEN gr <= 3 THEN 1 WHEN gr <= 5 THEN 0.8 ELSE 0.5 END AS final_recommendation_score
 FROM scored WHERE round(raw, 9) > 0.2""",

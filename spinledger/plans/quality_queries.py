@@ -738,7 +738,13 @@ FROM orders CROSS JOIN p""",
     ),
 )
 def model_scores(t):
+    scored = scored_models(t).drop("model_name")
+    return rounded(scored.drop("model_type", "training_data_days", "n_components", "training_timestamp"))
+
+
+def scored_models(t):
     models = t.read("orders").selectExpr(
+        "'ranker' AS model_name",
         "'v' || o_orderkey AS version",
         "CASE o_orderstatus WHEN 'F' THEN 'collaborative' WHEN 'O' THEN 'content_based' "
         "ELSE 'other' END AS model_type",
@@ -748,9 +754,34 @@ def model_scores(t):
     )
     recent = silver.in_window(t.silver, t.as_of, 7)
     popularity = recent.agg(F.avg("track_popularity")).scalar()
-    today = F.lit("2001-11-30").cast("date")
-    scored = modellog.model_scores(models, popularity, today)
-    return rounded(scored.drop("model_type", "training_data_days", "n_components", "training_timestamp"))
+    return modellog.model_scores(models, popularity, F.lit("2001-11-30").cast("date"))
+
+
+@query(
+    "r27_compare_models",
+    sql(
+        f"""WITH p AS (SELECT avg(track_popularity) AS p FROM silver CROSS JOIN last_day
+  WHERE local_date >= as_of - 7),
+s AS (SELECT o_orderkey, least((o_orderkey % 360) / 180, 1.0) * 0.3
+    + least((o_orderkey % 45) / 30, 1.0) * 0.25
+    + greatest(0, 1 - (DATE '2001-11-30' - CAST(o_orderdate AS DATE)) / 30) * 0.25
+    + CASE o_orderstatus WHEN 'F' THEN 1 - abs(p - 50) / 50 WHEN 'O' THEN 0.8 ELSE 0.6 END * 0.2
+    AS score FROM orders CROSS JOIN p)
+SELECT 'ranker' AS model_a_name, 'v44' AS model_a_version, 'ranker' AS model_b_name,
+  'v170' AS model_b_version, {r6("a.score")} AS model_a_score, {r6("b.score")} AS model_b_score,
+  CASE WHEN a.score > b.score THEN 'model_a' ELSE 'model_b' END AS winner,
+  {r6("abs(a.score - b.score)")} AS confidence, abs(a.score - b.score) > 0.05 AS significant,
+  CASE WHEN abs(a.score - b.score) > 0.05 THEN 'deploy_winner' ELSE 'continue_testing' END
+    AS recommendation
+FROM s a, s b WHERE a.o_orderkey = 44 AND b.o_orderkey = 170""",
+        "silver",
+        "last_day",
+    ),
+)
+def compare_models(t):
+    return rounded(
+        modellog.compare_models(scored_models(t), ("ranker", "v44"), ("ranker", "v170"))
+    )
 
 
 @query(
