@@ -146,9 +146,11 @@ def covered(spans: Column) -> Column:
 
 def hits(docs: DataFrame, candidates: DataFrame, held: DataFrame, short: list[int]) -> DataFrame:
     """Hit words and items of the candidates: (_id, _hash, n_hit, items)."""
-    keys = candidates.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    keys = written(
+        candidates.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "candidates"
+    )
     hashed = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), "text")
-    found = with_words(hashed.join(keys, same_document(), "left_semi")).drop("text")
+    found = with_words(join_dimension(hashed, keys, same_document(), "left_semi")).drop("text")
     runs = found.select("doc_id", "text_hash", F.explode(windows([*short, WINDOW])).alias("w")).select(
         "doc_id", "text_hash", "w.*"
     )
