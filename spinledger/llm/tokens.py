@@ -28,6 +28,9 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +49,8 @@ ESCAPE_SLOTS = 4
 ESCAPE = (1 << (60 // ESCAPE_SLOTS)) - 1
 WIDTHS = np.array([max(n.bit_length(), 1) for n in range(ESCAPE + 1)], np.uint8)
 TEXT_RUN = 1 << 20
-#: Pieces that an encoder remembers before it starts anew.
-PIECES = 400_000
+#: Pieces in an encoder's memory, and as many in its old one.
+PIECES = 500_000
 ROWS = 1000
 
 
@@ -168,28 +171,50 @@ def block(payload: bytes, number: int) -> np.ndarray:
 # -- tokenizing -------------------------------------------------------------
 
 
+@dataclass
+class Store:
+    """Ids of pieces, one after the other; entry 0 is the line feed."""
+
+    ids: np.ndarray
+    starts: np.ndarray = field(default_factory=lambda: np.array([0, 1]))
+    first: dict[str, int] = field(default_factory=dict)  # pieces at the start of a text
+    rest: dict[str, int] = field(default_factory=dict)  # pieces behind a space, without it
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """Keep more entries; the number of the first."""
+        at = len(self.starts) - 1
+        self.ids = np.concatenate([self.ids, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        return at
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, counts = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(counts)
+        flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - counts), counts)
+        return self.ids[flat], counts
+
+
 class Encoder:
     """The tokenizers library with a bounded memory of pieces between single spaces.
 
     A single space between two other signs always begins a pre-token of this tokenizer, so such
     pieces are independent, and so are the lines of a piece. Unknown ones are encoded together,
     one to a line. White space at an end of one shows that a text is spaced in another way; such
-    a text is encoded whole.
+    a text is encoded whole. A full memory becomes the old one, from which pieces that are met
+    again move to the new one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.reset()
+        self.held, self.old = self.empty(), self.empty()
 
-    def reset(self) -> None:
-        self.first: dict[str, int] = {}  # pieces at the start of a text
-        self.rest: dict[str, int] = {}  # pieces behind a space, without it
-        self.ids = np.array([self.newline], np.uint32)
-        self.starts = np.array([0, 1])
+    def empty(self) -> Store:
+        return Store(np.array([self.newline], np.uint32))
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -198,43 +223,44 @@ class Encoder:
             out += [np.array(e.ids, np.uint32) for e in found]
         return out
 
-    def store(self, ids: np.ndarray, lengths: np.ndarray) -> int:
-        """Keep more entries; the number of the first."""
-        at = len(self.starts) - 1
-        self.ids = np.concatenate([self.ids, ids])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        return at
-
-    def learn(self, known: dict[str, int], pieces: list[str], lead: str) -> None:
-        """Keep the ids of unknown pieces."""
-        folded = [p for p in pieces if "\n" in p]
+    def learn(self, behind: bool, pieces: list[str]) -> None:
+        """Keep the ids of unknown pieces, at the start of a text or behind a space."""
+        known = self.held.rest if behind else self.held.first
+        before = self.old.rest if behind else self.old.first
+        again = [p for p in pieces if before.get(p, ODD) != ODD]
+        if again:
+            first = self.held.add(*self.old.gather(np.array([before[p] for p in again])))
+            known.update(zip(again, range(first, first + len(again)), strict=True))
+            pieces = [p for p in pieces if p not in known]
         plain = [p for p in pieces if "\n" not in p]
         if len("\n".join(plain).split()) != len(plain):
             known.update((p, ODD) for p in plain if uneven(p))
             plain = [p for p in plain if p not in known]
-        self.learn_lines(known, plain, lead)
-        lines = {p: p.split("\n") for p in folded}
+        self.learn_lines(behind, plain)
+        lines = {p: p.split("\n") for p in pieces if "\n" in p}
         known.update((p, ODD) for p, own in lines.items() if any(map(uneven, own)))
         lines = {p: own for p, own in lines.items() if p not in known}
         heads = {own[0] for own in lines.values() if own[0] not in known}
-        self.learn_lines(known, sorted(heads), lead)
-        behind = {x for own in lines.values() for x in own[1:] if x not in self.first}
-        self.learn_lines(self.first, sorted(behind), "")
+        self.learn_lines(behind, sorted(heads))
+        begun = self.held.first
+        follow = {x for own in lines.values() for x in own[1:] if x not in begun}
+        self.learn_lines(False, sorted(follow))
         at = [
             entry
             for own in lines.values()
             for n, x in enumerate(own)
-            for entry in ([NEWLINE, self.first[x]] if n else [known[x]])
+            for entry in ([NEWLINE, begun[x]] if n else [known[x]])
         ]
         if at:
-            ids, lengths = self.gather(np.array(at))
+            ids, lengths = self.held.gather(np.array(at))
             counts = np.array([2 * len(own) - 1 for own in lines.values()])
-            first = self.store(ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
+            first = self.held.add(ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
             known.update(zip(lines, range(first, first + len(lines)), strict=True))
 
-    def learn_lines(self, known: dict[str, int], pieces: list[str], lead: str) -> None:
+    def learn_lines(self, behind: bool, pieces: list[str]) -> None:
         if not pieces:
             return
+        known, lead = (self.held.rest, " ") if behind else (self.held.first, "")
         (ids,) = self.plain(["\n".join([lead + p for p in pieces])])
         breaks = np.nonzero(ids == self.newline)[0]
         if len(breaks) == len(pieces) - 1:
@@ -242,31 +268,34 @@ class Encoder:
         else:
             found = self.plain([lead + p for p in pieces])
             lengths, flat = np.array([len(f) for f in found]), np.concatenate(found)
-        at = self.store(flat, lengths)
+        at = self.held.add(flat, lengths)
         known.update(zip(pieces, range(at, at + len(pieces)), strict=True))
 
-    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first, counts = self.starts[at], self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(counts)
-        flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - counts), counts)
-        return self.ids[flat], counts
-
-    def entries(self, pieces: list[str]) -> list[int | None]:
-        found = list(map(self.rest.get, pieces))
-        found[0] = self.first.get(pieces[0])
-        return found
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.rest) + len(self.first) > PIECES:
-            self.reset()
+        if len(self.held.starts) > PIECES:
+            self.held, self.old = self.empty(), self.held
         split = [text.split(" ") for text in texts]
-        found = [self.entries(pieces) for pieces in split]
-        open_at = [(n, i) for n, at in enumerate(found) if None in at for i, x in enumerate(at) if x is None]
-        if open_at:
-            self.learn(self.first, sorted({split[n][0] for n, i in open_at if not i}), "")
-            self.learn(self.rest, sorted({split[n][i] for n, i in open_at if i}), " ")
-            for n, i in open_at:
-                found[n][i] = (self.rest if i else self.first)[split[n][i]]
+        found: list[list[int | None]] = []
+        open_first, open_rest = {}, {}  # unknown pieces and where they stand
+        for n, pieces in enumerate(split):
+            at = list(map(self.held.rest.get, pieces))
+            at[0] = self.held.first.get(pieces[0])
+            found.append(at)
+            if at[0] is None:
+                open_first.setdefault(pieces[0], []).append(n)
+            i = 0
+            for _ in range(at.count(None) - (at[0] is None)):
+                i = at.index(None, i + 1)
+                open_rest.setdefault(pieces[i], []).append((n, i))
+        self.learn(False, list(open_first))
+        self.learn(True, list(open_rest))
+        for piece, places in open_first.items():
+            for n in places:
+                found[n][0] = self.held.first[piece]
+        for piece, places in open_rest.items():
+            entry = self.held.rest[piece]
+            for n, i in places:
+                found[n][i] = entry
         whole = [
             n
             for n, text in enumerate(texts)
@@ -275,7 +304,8 @@ class Encoder:
         for n in whole:
             found[n] = []
         sizes = np.array([len(at) for at in found])
-        ids, counts = self.gather(np.array([i for at in found for i in at], np.int64))
+        entries = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
+        ids, counts = self.held.gather(entries)
         upto = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(sizes)]
         out = np.split(ids, upto[:-1])
         for n, own in zip(whole, self.plain([texts[n] for n in whole]), strict=True):
@@ -283,6 +313,12 @@ class Encoder:
         return out
 
 
+@cache
+def encoder_of(path: str) -> Encoder:
+    """One encoder per worker process, kept from task to task."""
+    return Encoder(path)
+
+
 #: The entry of a line feed, and that of a piece which depends on its neighbours.
 NEWLINE, ODD = 0, -1
 
@@ -293,8 +329,7 @@ def uneven(line: str) -> bool:
 
 def encoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
-        encoder, before = Encoder(path), 0
+        encoder, before = encoder_of(path), 0
         for batch in batches:
             texts = batch["text"].to_pylist()
             for low, high in runs([len(t) for t in texts], TEXT_RUN):
