@@ -176,8 +176,9 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, a hash of the text, fingerprint and component.
 
-    ``fp`` is the fingerprint as a signed long, ``component_id`` the smallest id reachable by
-    links of at most four differing bits.
+    ``fp`` is the fingerprint as a signed long, ``root`` names the component by one of its
+    fingerprints, ``component_id`` by the smallest id reachable by links of at most four
+    differing bits (where ids repeat, components may share it).
     """
     rows = written(
         docs.select(
@@ -193,17 +194,16 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(members, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    members = rooted.join(smallest, "root").select("fp", "root", "component_id")
+    return rows.join(members, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """One document of each component: the smallest id, then the smallest text hash."""
     found = near_duplicates(docs)
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("text_hash"))
-    lone = F.when(F.col("component_id").isNull(), F.col("fp"))
     kept = (
-        found.groupBy("component_id", lone.alias("lone"))
+        found.groupBy("root")
         .agg(F.min(place).alias("p"))
         .select(F.col("p.doc_id").alias("_id"), F.col("p.text_hash").alias("_hash"))
         .distinct()
