@@ -174,8 +174,10 @@ def test_shares_of_a_class_sum_to_one(spark):
     shares = 10 ** vocab.share_logs(own, np.full(len(own), kind))
     unseen = 10 ** vocab.share_logs(np.zeros(1), np.array([kind]))
     assert math.isclose(shares.sum() + unseen[0], 1, rel_tol=1e-9)
-    logs = maxent.log_softmax(maxent.first_weights(vocab), np.zeros((3, maxent.FEATURES), int))
-    assert np.allclose(np.exp(logs).sum(1), 1, atol=1e-5)
+    weights, rows = maxent.first_weights(vocab), np.zeros((maxent.CLASSES, maxent.FEATURES), np.uint16)
+    rows[:, 0] = maxent.CONSTANT
+    logs = maxent.log_probabilities(weights, rows, np.arange(maxent.CLASSES))
+    assert math.isclose(np.exp(logs).sum(), 1, abs_tol=1e-5)
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
