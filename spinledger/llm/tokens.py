@@ -26,11 +26,10 @@ columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +48,16 @@ ESCAPE_SLOTS = 4
 ESCAPE = (1 << (60 // ESCAPE_SLOTS)) - 1
 WIDTHS = np.array([max(n.bit_length(), 1) for n in range(ESCAPE + 1)], np.uint8)
 TEXT_RUN = 1 << 20
-#: Pieces in an encoder's memory, and as many in its old one.
-PIECES = 500_000
+SEGMENT = 1 << 19
+CUT = re.compile(r"\S(?= \S)")
+SPACE = 32
+#: Bytes that are hashed together.
+HASHED = 1 << 21
+#: Slots of an encoder's memory of pieces, at most half of them filled.
+SLOTS_HELD = 1 << 21
+MASK = np.uint64(SLOTS_HELD - 1)
+#: Entry of the line feed among lines, of a piece not met before, and of a dependent piece.
+NEWLINE, UNKNOWN, ODD = 0, -1, -2
 ROWS = 1000
 
 
@@ -171,27 +178,76 @@ def block(payload: bytes, number: int) -> np.ndarray:
 # -- tokenizing -------------------------------------------------------------
 
 
-@dataclass
-class Store:
-    """Ids of pieces, one after the other; entry 0 is the line feed."""
-
-    ids: np.ndarray
-    starts: np.ndarray = field(default_factory=lambda: np.array([0, 1]))
-    first: dict[str, int] = field(default_factory=dict)  # pieces at the start of a text
-    rest: dict[str, int] = field(default_factory=dict)  # pieces behind a space, without it
+class Memory:
+    """Ids of pieces by a 128-bit hash: an open table of a fixed size, filled up to one half."""
+
+    def __init__(self):
+        self.keys = np.zeros(SLOTS_HELD, np.uint64)
+        self.checks = np.zeros(SLOTS_HELD, np.uint64)
+        self.entries = np.zeros(SLOTS_HELD, np.int32)
+        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Entries of distinct pieces, UNKNOWN where there is none."""
+        out = np.full(len(keys), UNKNOWN, np.int32)
+        active, slots = np.arange(len(keys)), (keys & MASK).astype(np.int64)
+        while len(active):
+            held = self.keys[slots]
+            same = (held == keys[active]) & (self.checks[slots] == checks[active])
+            out[active[same]] = self.entries[slots[same]]
+            on = ~same & (held != 0)
+            active, slots = active[on], (slots[on] + 1) & int(MASK)
+        return out
 
-    def add(self, ids: np.ndarray, lengths: np.ndarray) -> int:
-        """Keep more entries; the number of the first."""
-        at = len(self.starts) - 1
+    def add(self, keys: np.ndarray, checks: np.ndarray, entries: np.ndarray) -> None:
+        active, slots = np.arange(len(keys)), (keys & MASK).astype(np.int64)
+        while len(active):
+            free = self.keys[slots] == 0
+            at = slots[free]
+            self.keys[at], self.checks[at] = keys[active[free]], checks[active[free]]
+            # of several pieces for one slot the last stays, the others go on
+            placed = free & (self.keys[slots] == keys[active]) & (self.checks[slots] == checks[active])
+            self.entries[slots[placed]] = entries[active[placed]]
+            active, slots = active[~placed], (slots[~placed] + 1) & int(MASK)
+
+    def keep(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Store the ids of new pieces; their entries."""
+        first = len(self.starts) - 1
         self.ids = np.concatenate([self.ids, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        return at
+        return np.arange(first, first + len(lengths), dtype=np.int32)
+
+
+def gathered_ids(ids: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first, counts = starts[at], starts[at + 1] - starts[at]
+    ends = np.cumsum(counts)
+    flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - counts), counts)
+    return ids[flat], counts
+
+
+@cache
+def hash_tables() -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each hash: a number per byte, and powers of an odd base and of its inverse."""
+    rng, out = np.random.default_rng(11), []
+    for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        powers = np.full(HASHED + 1, base, np.uint64)
+        back = np.full(HASHED + 1, pow(base, -1, 1 << 64), np.uint64)
+        powers[0] = back[0] = 1
+        numbers = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+        out.append((numbers, np.cumprod(powers), np.cumprod(back)))
+    return out
 
-    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first, counts = self.starts[at], self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(counts)
-        flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - counts), counts)
-        return self.ids[flat], counts
+
+def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of every piece, as differences of running sums."""
+    found = []
+    for numbers, powers, back in hash_tables():
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(numbers[data] * powers[: len(data)], out=sums[1:])
+        h = (sums[ends] - sums[starts]) * back[starts]
+        found.append((h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
+    found[0] ^= found[0] >> np.uint64(29)
+    return [np.maximum(found[0], np.uint64(1)), found[1] ^ (ends - starts).astype(np.uint64)]
 
 
 class Encoder:
@@ -200,8 +256,7 @@ class Encoder:
     A single space between two other signs always begins a pre-token of this tokenizer, so such
     pieces are independent, and so are the lines of a piece. Unknown ones are encoded together,
     one to a line. White space at an end of one shows that a text is spaced in another way; such
-    a text is encoded whole. A full memory becomes the old one, from which pieces that are met
-    again move to the new one.
+    a text is encoded whole. Long texts are cut into segments at such spaces.
     """
 
     def __init__(self, path: str):
@@ -211,10 +266,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.held, self.old = self.empty(), self.empty()
-
-    def empty(self) -> Store:
-        return Store(np.array([self.newline], np.uint32))
+        self.memory = Memory()
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -223,106 +275,119 @@ class Encoder:
             out += [np.array(e.ids, np.uint32) for e in found]
         return out
 
-    def learn(self, behind: bool, pieces: list[str]) -> None:
-        """Keep the ids of unknown pieces, at the start of a text or behind a space."""
-        known = self.held.rest if behind else self.held.first
-        before = self.old.rest if behind else self.old.first
-        again = [p for p in pieces if before.get(p, ODD) != ODD]
-        if again:
-            first = self.held.add(*self.old.gather(np.array([before[p] for p in again])))
-            known.update(zip(again, range(first, first + len(again)), strict=True))
-            pieces = [p for p in pieces if p not in known]
-        plain = [p for p in pieces if "\n" not in p]
-        if len("\n".join(plain).split()) != len(plain):
-            known.update((p, ODD) for p in plain if uneven(p))
-            plain = [p for p in plain if p not in known]
-        self.learn_lines(behind, plain)
-        lines = {p: p.split("\n") for p in pieces if "\n" in p}
-        known.update((p, ODD) for p, own in lines.items() if any(map(uneven, own)))
-        lines = {p: own for p, own in lines.items() if p not in known}
-        heads = {own[0] for own in lines.values() if own[0] not in known}
-        self.learn_lines(behind, sorted(heads))
-        begun = self.held.first
-        follow = {x for own in lines.values() for x in own[1:] if x not in begun}
-        self.learn_lines(False, sorted(follow))
-        at = [
-            entry
-            for own in lines.values()
-            for n, x in enumerate(own)
-            for entry in ([NEWLINE, begun[x]] if n else [known[x]])
-        ]
-        if at:
-            ids, lengths = self.held.gather(np.array(at))
-            counts = np.array([2 * len(own) - 1 for own in lines.values()])
-            first = self.held.add(ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
-            known.update(zip(lines, range(first, first + len(lines)), strict=True))
-
-    def learn_lines(self, behind: bool, pieces: list[str]) -> None:
-        if not pieces:
-            return
-        known, lead = (self.held.rest, " ") if behind else (self.held.first, "")
-        (ids,) = self.plain(["\n".join([lead + p for p in pieces])])
+    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and lengths of unknown pieces, and which of them are not independent."""
+        lines: dict[str, int] = {}
+        at, counts = [], []
+        for piece in pieces:
+            own = piece.split("\n") if "\n" in piece else (piece,)
+            if any(uneven(x[x.startswith(" ") and not n :]) for n, x in enumerate(own)):
+                counts.append(0)
+                continue
+            for n, line in enumerate(own):
+                if n:
+                    at.append(NEWLINE)
+                at.append(1 + lines.setdefault(line, len(lines)))
+            counts.append(2 * len(own) - 1)
+        ids, lengths = self.lines_of(list(lines))
+        store = np.concatenate([[self.newline], ids]).astype(np.uint32)
+        starts = np.concatenate([[0, 1], 1 + np.cumsum(lengths)])
+        flat, sizes = gathered_ids(store, starts, np.array(at, np.int64))
+        upto, counts = np.concatenate([[0], np.cumsum(sizes)]), np.array(counts)
+        ends = np.cumsum(counts)
+        return flat, upto[ends] - upto[ends - counts], counts == 0
+
+    def lines_of(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not lines:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        (ids,) = self.plain(["\n".join(lines)])
         breaks = np.nonzero(ids == self.newline)[0]
-        if len(breaks) == len(pieces) - 1:
-            lengths, flat = np.diff(breaks, prepend=-1, append=len(ids)) - 1, np.delete(ids, breaks)
-        else:
-            found = self.plain([lead + p for p in pieces])
-            lengths, flat = np.array([len(f) for f in found]), np.concatenate(found)
-        at = self.held.add(flat, lengths)
-        known.update(zip(pieces, range(at, at + len(pieces)), strict=True))
+        if len(breaks) == len(lines) - 1:
+            return np.delete(ids, breaks), np.diff(breaks, prepend=-1, append=len(ids)) - 1
+        found = self.plain(lines)
+        return np.concatenate(found), np.array([len(f) for f in found])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.held.starts) > PIECES:
-            self.held, self.old = self.empty(), self.held
-        split = [text.split(" ") for text in texts]
-        found: list[list[int | None]] = []
-        open_first, open_rest = {}, {}  # unknown pieces and where they stand
-        for n, pieces in enumerate(split):
-            at = list(map(self.held.rest.get, pieces))
-            at[0] = self.held.first.get(pieces[0])
-            found.append(at)
-            if at[0] is None:
-                open_first.setdefault(pieces[0], []).append(n)
-            i = 0
-            for _ in range(at.count(None) - (at[0] is None)):
-                i = at.index(None, i + 1)
-                open_rest.setdefault(pieces[i], []).append((n, i))
-        self.learn(False, list(open_first))
-        self.learn(True, list(open_rest))
-        for piece, places in open_first.items():
-            for n in places:
-                found[n][0] = self.held.first[piece]
-        for piece, places in open_rest.items():
-            entry = self.held.rest[piece]
-            for n, i in places:
-                found[n][i] = entry
-        whole = [
-            n
-            for n, text in enumerate(texts)
-            if ODD in found[n] or any(s in text for s in self.special)
-        ]
-        for n in whole:
-            found[n] = []
-        sizes = np.array([len(at) for at in found])
-        entries = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
-        ids, counts = self.held.gather(entries)
-        upto = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(sizes)]
-        out = np.split(ids, upto[:-1])
+        parts, owners = [], []
+        for n, text in enumerate(texts):
+            own = segments(text)
+            parts += own
+            owners += [n] * len(own)
+        found: list[np.ndarray] = []
+        for low, high in runs([len(p) for p in parts], TEXT_RUN):
+            found += self.encode_parts(parts[low:high])
+        if len(parts) == len(texts):
+            return found
+        by_text: list[list[np.ndarray]] = [[] for _ in texts]
+        for n, ids in zip(owners, found, strict=True):
+            by_text[n].append(ids)
+        return [np.concatenate(own) for own in by_text]
+
+    def encode_parts(self, texts: list[str]) -> list[np.ndarray]:
+        raw = [t.encode() for t in texts]
+        sizes = np.array([len(r) for r in raw])
+        joined = b"".join(raw)
+        data, first = np.frombuffer(joined, np.uint8), np.cumsum(sizes) - sizes
+        if len(data) > HASHED:
+            if len(texts) == 1:
+                return self.plain(texts)  # one unbroken run of signs, longer than the tables
+            half = len(texts) // 2
+            return self.encode_parts(texts[:half]) + self.encode_parts(texts[half:])
+        begins = data == SPACE
+        begins[first[sizes > 0]] = True
+        starts = np.nonzero(begins)[0]
+        ends = np.append(starts[1:], len(data))
+        keys, checks = piece_hashes(data, starts, ends)
+        keys, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        checks = checks[at]
+        if len(self.memory.starts) + len(keys) > SLOTS_HELD // 2:
+            self.memory = Memory()
+        entries = self.memory.find(keys, checks)
+        fresh = np.nonzero(entries == UNKNOWN)[0]
+        if len(fresh):
+            spans = zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist(), strict=True)
+            ids, lengths, odd = self.learn([joined[a:b].decode() for a, b in spans])
+            entries[fresh] = np.where(odd, ODD, self.memory.keep(ids, lengths))
+            self.memory.add(keys[fresh], checks[fresh], entries[fresh])
+        per_piece = entries[inverse]
+        ids, counts = gathered_ids(self.memory.ids, self.memory.starts, np.maximum(per_piece, 0))
+        upto, bounds = np.concatenate([[0], np.cumsum(counts)]), np.searchsorted(starts, first)
+        out = np.split(ids, upto[bounds[1:]])
+        odd_at = np.searchsorted(first, starts[per_piece == ODD], side="right") - 1
+        special = [n for n, t in enumerate(texts) if any(s in t for s in self.special)]
+        whole = sorted({*owners_of(odd_at, sizes, first), *special})
         for n, own in zip(whole, self.plain([texts[n] for n in whole]), strict=True):
             out[n] = own
         return out
 
 
+def owners_of(at: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> list[int]:
+    """Texts by the last of those that begin at one place, as empty ones before it do."""
+    return [n for n in np.unique(at).tolist() if sizes[n]] if len(first) else []
+
+
+def segments(text: str) -> list[str]:
+    """Cut a long text at single spaces between other signs."""
+    out, low = [], 0
+    while len(text) - low > SEGMENT:
+        cut = CUT.search(text, low + SEGMENT)
+        if cut is None:
+            break
+        out.append(text[low : cut.end()])
+        low = cut.end()
+    return [*out, text[low:]]
+
+
+def uneven(line: str) -> bool:
+    return not line or line[0].isspace() or line[-1].isspace()
+
+
 @cache
 def encoder_of(path: str) -> Encoder:
     """One encoder per worker process, kept from task to task."""
     return Encoder(path)
 
 
-#: The entry of a line feed, and that of a piece which depends on its neighbours.
-NEWLINE, ODD = 0, -1
-
-
 def uneven(line: str) -> bool:
     return not line or line[0].isspace() or line[-1].isspace()
 

@@ -36,7 +36,7 @@ def test_pieces_encode_like_whole_texts():
     texts = [
         "", " ", "a", "a b  c", " lead", "trail ", "tab\t x", "line\nnext line\n\nblank", "\n", "a \n b",
         "don't we'll I'm", "12 34,56 ---- x", "é ü ß   z", "<|endoftext|> in <|endoftext|>",
-        "x\r\ny", "日本語 のテキスト", "a\x1cb c\x1f d", "word,\nword. word;", "'s 't",
+        "  ".join(["two spaces"] * 3), " \n", "end ", "x\r\ny", "日本語 のテキスト", "a\x1cb c\x1f d", "word,\nword. word;", "'s 't",
     ]
     encoder = tokens.Encoder(PATH)
     for batch in (texts, texts[::-1], [t + " " + t for t in texts]):
@@ -44,6 +44,27 @@ def test_pieces_encode_like_whole_texts():
         assert [ids.tolist() for ids in encoder.encode(batch)] == want
 
 
+def test_long_texts_are_cut_at_safe_places(monkeypatch):
+    plain = Tokenizer.from_file(PATH)
+    monkeypatch.setattr(tokens, "SEGMENT", 50)
+    monkeypatch.setattr(tokens, "HASHED", 400)
+    encoder = tokens.Encoder(PATH)
+    texts = ["word, and  two\nlines. " * 40, "x" * 300, "日本語 " * 90, "", "a b " * 100 + "\n\n"]
+    for _ in range(2):
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids.tolist() for ids in encoder.encode(texts)] == want
+
+
+def test_full_memory_starts_anew(monkeypatch):
+    plain = Tokenizer.from_file(PATH)
+    monkeypatch.setattr(tokens, "SLOTS_HELD", 64)
+    monkeypatch.setattr(tokens, "MASK", np.uint64(63))
+    encoder = tokens.Encoder(PATH)
+    for n in range(30):
+        text = " ".join(f"w{n * k % 37}x{k}" for k in range(20))
+        assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_files_hold_every_document(odd, none, clashing):
     plain = Tokenizer.from_file(PATH)
     rows = sorted(
