@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spinledger.functions.joins import join_dimension
+from spinledger.functions.ranking import ensure_checkpoint_dir, rank_in_group, top_per_group
 from spinledger.functions.timeparts import hour_bucket, since
 from spinledger.params import TRACK_WINDOW
 
@@ -205,6 +207,59 @@ def artist_similarity(profile: DataFrame, min_score: float = 0.95, salts: int =
     return score_artist_pairs(pairs).filter(F.col("artist_similarity_score") >= min_score)
 
 
+def artist_neighbours(profile: DataFrame, k: int = 20) -> DataFrame:
+    """The ``k`` most similar artists of every artist in each of its genres, without pairing all.
+
+    Within a genre and a genre count the score falls with the distance of popularities, so the
+    best of each such list are among the k before and the k after an artist in its order.
+    Places are found by range-partitioned ranks: the number of list rows up to an artist is its
+    rank among list rows and artists together less its rank among the artists alone. The lists
+    are then read at those places by an equi-join on unique keys. The work is artists times
+    genre counts times k. Ties go to the smaller artist id; artists without popularity have no
+    score and take no part.
+    """
+    ensure_checkpoint_dir(profile)
+    rows = profile.dropna(subset=["primary_genre", "avg_popularity"]).checkpoint()
+    listed = rows.withColumn("_list", F.struct("primary_genre", "genre_count"))
+    up, ident = F.col("avg_popularity"), F.col("primary_artist_id")
+    listed = rank_in_group(listed, "_list", [up.asc(), ident.asc()], "_up")
+    listed = rank_in_group(listed, "_list", [up.asc(), ident.desc()], "_down")
+    counts = rows.select(F.col("primary_genre").alias("_genre"), F.col("genre_count").alias("_count"))
+    asked = join_dimension(
+        side(rows, 1), counts.distinct(), F.col("primary_genre") == F.col("_genre"), "inner"
+    ).withColumn("_list", F.struct(F.col("primary_genre"), F.col("_count").alias("genre_count")))
+    asked = asked.drop("_genre", "_count").withColumns(
+        {"avg_popularity": F.col("artist_1_avg_popularity"), "primary_artist_id": F.col("artist_1_id")}
+    )
+    asked = rank_in_group(asked, "_list", [up.asc(), ident.asc()], "_nth")
+    places = rows.select(
+        F.struct("primary_genre", "genre_count").alias("_list"), up, ident, F.lit(0).alias("_asks")
+    ).union(asked.select("_list", "avg_popularity", "primary_artist_id", F.lit(1)))
+    places = rank_in_group(places, "_list", [up.asc(), F.col("_asks").asc(), ident.asc()], "_all")
+    places = places.filter("_asks = 1").select(
+        F.col("_list").alias("_l"), F.col("primary_artist_id").alias("_id"), "_all"
+    )
+    upto = F.col("_all") - F.col("_nth")
+    asked = asked.join(
+        places, (F.col("_list") == F.col("_l")) & (F.col("artist_1_id") == F.col("_id"))
+    ).drop("_l", "_id", "avg_popularity", "primary_artist_id")
+    near = []
+    for place, first, last in (("_down", upto - k, upto), ("_up", upto + 1, upto + k)):
+        other = side(listed, 2, "_list", place).drop("primary_genre")
+        wanted = asked.withColumn(place, F.explode(F.sequence(first, last)))
+        near.append(wanted.join(other, ["_list", place]).drop(place))
+    pairs = near[0].unionByName(near[1]).filter("artist_1_id != artist_2_id")
+    scored = score_artist_pairs(pairs).withColumn("_order", F.round("artist_similarity_score", 9))
+    best = top_per_group(
+        scored.withColumn("_genre", F.col("shared_genres")[0]),
+        ["artist_1_id", "_genre"],
+        [F.desc("_order"), F.col("artist_2_id")],
+        k,
+        "similarity_rank",
+    )
+    return best.drop("_order", "_genre")
+
+
 def similar_to_artists(profile: DataFrame, names: list[str]) -> DataFrame:
     """Scored pairs whose first artist is one of ``names``; only those genres are met.
 

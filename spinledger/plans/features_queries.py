@@ -391,9 +391,26 @@ def artist_profile(t):
     return similarity.artist_genre_profile(t.silver_star, t.as_of_star)
 
 
-@query("a19_artist_similarity", artist_pairs_sql("score >= 0.98"))
+NEIGHBOURS = 3
+
+
+@query(
+    "a19_artist_similarity",
+    sql(
+        f"""WITH one_way AS ({ARTIST_PAIRS}),
+pairs AS (SELECT * FROM one_way UNION ALL SELECT artist_2_id, artist_2_name, artist_1_id,
+  artist_1_name, shared_genres, shared_genre_count, artist_2_genre_count, artist_1_genre_count,
+  genre_jaccard_similarity, popularity_similarity, score FROM one_way),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY artist_1_id, shared_genres
+  ORDER BY round(score, 9) DESC, artist_2_id) AS INTEGER) AS similarity_rank
+  FROM pairs WHERE score IS NOT NULL)
+SELECT * EXCLUDE (score), {r6("score")} AS artist_similarity_score
+FROM ranked WHERE similarity_rank <= {NEIGHBOURS}""",
+        "artist_profile",
+    ),
+)
 def artist_similarity(t):
-    pairs = similarity.artist_similarity(artist_profile(t), min_score=0.98)
+    pairs = similarity.artist_neighbours(artist_profile(t), NEIGHBOURS)
     return rounded(joined_text(pairs, "shared_genres"))
 
 

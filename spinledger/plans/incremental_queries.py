@@ -287,3 +287,23 @@ def discovery_landing(t):
     landing.write_feed(t.feed, path, "20240131")
     rows = feeds.first_arrival(landing.read_discoveries(t.spark, path), [F.col("discovered_at")])
     return rows.select("track_id", "discovery_strategy", "preference_score", "discovered_at")
+
+
+@query(
+    "s10_genre_dictionary",
+    sql(
+        """SELECT artist_name, primary_genre AS genre FROM artists
+QUALIFY row_number() OVER (PARTITION BY artist_name ORDER BY artist_id DESC) = 1""",
+        "artists",
+    ),
+)
+def genre_dictionary(t):
+    """Two CSV files in which every artist stands twice; the later line counts."""
+    path = t.scratch + "/dictionary"
+    rows = t.artists.select(
+        F.concat(F.lit(" "), "artist_name").alias("artist_name"), F.col("primary_genre").alias("genre"), "artist_id"
+    )
+    first = rows.withColumn("genre", F.lit("outdated")).orderBy("artist_id").drop("artist_id")
+    first.coalesce(1).write.csv(path + "/a", header=True)
+    rows.orderBy("artist_id").drop("artist_id").coalesce(1).write.csv(path + "/b", header=True)
+    return landing.read_genre_dictionary(t.spark, path + "/*")

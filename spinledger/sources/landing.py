@@ -162,13 +162,21 @@ def backfill_window(plays: DataFrame, now: Column, days: int = 30) -> DataFrame:
 
 
 def read_genre_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """Artist-genre CSV with trimmed values; the last line of an artist counts."""
-    rows = spark.read.csv(path, header=True).withColumn("_at", F.monotonically_increasing_id())
-    trimmed = rows.select(*[F.trim(c).alias(c) for c in rows.columns if c != "_at"], "_at")
-    key = trimmed.columns[0]
-    others = [c for c in trimmed.columns if c not in (key, "_at")]
-    last = F.max_by(F.struct(*others), F.col("_at"))
-    return trimmed.groupBy(key).agg(last.alias("_row")).select(key, "_row.*")
+    """Artist-genre CSV with trimmed values; the last line of an artist counts.
+
+    Lines are ordered by file name, then by block of the file, then by place in the block,
+    however the files are dealt to tasks.
+    """
+    rows = spark.read.csv(path, header=True)
+    names = rows.columns
+    at = F.struct(
+        F.col("_metadata.file_path"),
+        F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    trimmed = rows.select(*[F.trim(c).alias(c) for c in names], at.alias("_at"))
+    last = F.max_by(F.struct(*names[1:]), F.col("_at"))
+    return trimmed.groupBy(names[0]).agg(last.alias("_row")).select(names[0], "_row.*")
 
 
 def not_processed(artists: DataFrame, processed: DataFrame, key: str = "artist_id") -> DataFrame:
