@@ -283,13 +283,14 @@ def simple_union(collaborative: DataFrame, content: DataFrame, found: DataFrame)
 
 
 def first_non_empty(sources: Sequence[DataFrame]) -> DataFrame:
-    """Rows of the first source that has any, decided inside the plan."""
-    tagged = None
-    for priority, rows in enumerate(sources):
-        arm = rows.withColumn("_priority", F.lit(priority))
-        tagged = arm if tagged is None else tagged.unionByName(arm)
-    chosen = tagged.agg(F.min("_priority")).scalar()
-    return tagged.filter(F.col("_priority") == chosen).drop("_priority")
+    """The first source that has a row, or the last one.
+
+    Sources are probed in turn while the query is built, so the plan holds the chosen one only.
+    """
+    for rows in sources[:-1]:
+        if not rows.isEmpty():
+            return rows
+    return sources[-1]
 
 
 # ---------------------------------------------------------------------------

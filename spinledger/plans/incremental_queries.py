@@ -218,13 +218,38 @@ def cosine_neighbours(t):
     return vectors.neighbours_of_favourites(track_features(t))
 
 
-@query("r24_genre_factors")
+@query(
+    "r24_genre_factors",
+    sql(
+        """SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS users_above_limit,
+  CAST(0 AS BIGINT) AS negative_scores, CAST(0 AS BIGINT) AS unknown_genres
+FROM silver WHERE primary_genre IS NOT NULL AND user_id IS NOT NULL""",
+        "silver",
+    ),
+)
 def genre_factors(t):
+    """Facts of the factorisation: users covered, limits kept."""
     from spinledger.functions.timeparts import add_local_time
 
     plays = add_local_time(silver.with_artist(t.plays_events, t.artists))
     likes = genre_interactions(plays, t.as_of, user="user_id", min_plays=1)
-    return vectors.factorise(likes, rank=8, iterations=5)
+    factors = vectors.factorise(likes, rank=8, iterations=5, n=5)
+    known = likes.select(F.col("primary_genre").alias("genre"), F.lit(1).alias("known")).distinct()
+    return (
+        factors.join(known, "genre", "left")
+        .groupBy("user_id")
+        .agg(
+            F.count("*").alias("genres"),
+            F.count_if(F.col("score") < 0).alias("negative"),
+            F.count_if(F.col("known").isNull()).alias("unknown"),
+        )
+        .agg(
+            F.count("*").alias("users"),
+            F.count_if(F.col("genres") > 5).alias("users_above_limit"),
+            F.sum("negative").alias("negative_scores"),
+            F.sum("unknown").alias("unknown_genres"),
+        )
+    )
 
 
 @query(
