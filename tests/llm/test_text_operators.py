@@ -180,6 +180,20 @@ def test_shares_of_a_class_sum_to_one(spark):
     assert math.isclose(np.exp(logs).sum(), 1, abs_tol=1e-5)
 
 
+def test_language_model_follows_the_vocabulary():
+    assert maxent.CLASSES >= 128
+    none = np.zeros(maxent.CLASSES)
+
+    def rows(distinct):
+        vocab = maxent.Vocabulary(9, distinct, {}, none[:0], {}, none, none, none)
+        buckets = np.arange(200_000, dtype=np.int64)
+        found = maxent.features(buckets % 9, buckets, np.array([len(buckets)]), vocab.bits)
+        assert found.max() < len(maxent.first_weights(vocab))
+        return len(np.unique(found[:, 2]))
+
+    assert rows(100) <= 1 << 13 < rows(400_000) < rows(2_000_000)
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
 <header><h1>Site</h1></header><nav><a href="/">Home</a><a href="/a">About us and more</a></nav>
 <div class="wrap"><div class="post"><h2>Title &amp; more</h2>
