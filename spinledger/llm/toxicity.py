@@ -6,10 +6,12 @@ whose document frequency among toxic rows is far above that among others. A smal
 regression is fitted on what a lexicon finds in whole texts, each half of the rows read with the
 lexicon of the other half, so that words that are rare by chance earn no trust.
 
-Matching: the trie of all terms, read with up to one or two edits (none before the second letter,
-none in short terms), is a nondeterministic automaton, the intersection of the word's Levenshtein
-automaton with the trie. Its state sets are made deterministic as they are met and remembered, so
-that a word costs one step per letter and stops where no term is near. Every hit is weighed by its
+Matching: the trie of all terms, read with up to one or two edits anywhere in a word (a letter
+more, less or another, or two neighbours swapped; none in terms below four letters), is a
+nondeterministic automaton, the intersection of the word's Levenshtein automaton with the trie. Its
+state sets are made deterministic as they are met and remembered. Only words that share a string
+with a term after as many deletions as the term allows edits, which all words near a term do, are
+read by it. An edit in a term of four letters counts ``SHORT`` of one in a longer term. Every hit is weighed by its
 window: quotation marks around it and words of reporting near it speak for quotation, direct
 address speaks for abuse.
 
@@ -47,6 +49,7 @@ SEVERAL = 1.3
 WINDOW = 5
 QUOTED = 0.3
 ADDRESSED = 1.2
+SHORT = 0.5
 CACHE = 400_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 QUOTES = "\"“”„«»‹›"
@@ -119,10 +122,13 @@ class Automaton:
     """The lexicon's trie read with edits; deterministic states are made when first met."""
 
     terms: list[tuple[str, bool, float]]
+    anywhere: bool = False  # edits of the first letter too, and swaps as one edit
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     reach: list[int] = field(default_factory=lambda: [0])  # edits allowed below a node
     whole: dict[int, tuple[float, int]] = field(default_factory=dict)
     stems: dict[int, float] = field(default_factory=dict)
+    short: set[int] = field(default_factory=set)  # ends of terms of four letters
+    shortened: dict[str, int] = field(default_factory=dict)  # terms less letters; most edits allowed
 
     def __post_init__(self):
         for term, stem, weight in self.terms:
@@ -138,62 +144,89 @@ class Automaton:
                 self.stems[node] = weight
             else:
                 self.whole[node] = (weight, edits)
-        self.states = [((0, 0),)]
+                if len(term) == 4:
+                    self.short.add(node)
+                if self.anywhere:
+                    self.reach[0] = max(self.reach[0], edits)
+                for less in without(term, edits):
+                    self.shortened[less] = max(edits, self.shortened.get(less, 0))
+        self.longest = max((len(t) for t, stem, _ in self.terms if not stem), default=0) + 2
+        self.most = max(self.shortened.values(), default=0)
+        start: dict[tuple[int, str], int] = {(0, ""): 0}
+        if self.anywhere:
+            for child in self.children[0].values():
+                self.add(start, child, 1)
+        self.states = [tuple(sorted(start.items()))]
+        self.items = len(start)
         self.numbers = {self.states[0]: 0}
         self.steps: list[dict[str, int]] = [{}]
         self.words: dict[str, tuple[float, int] | None] = {}
 
-    def step(self, state: int, letter: str) -> int:
-        best: dict[int, int] = {}
-
-        def add(node: int, edits: int) -> None:
-            if edits <= self.reach[node] and edits < best.get(node, 9):
-                best[node] = edits
-                for child in self.children[node].values():  # a letter left out
-                    add(child, edits + 1)
+    def add(self, best: dict[tuple[int, str], int], node: int, edits: int) -> None:
+        if edits <= self.reach[node] and edits < best.get((node, ""), 9):
+            best[node, ""] = edits
+            for child in self.children[node].values():  # a letter left out
+                self.add(best, child, edits + 1)
 
-        for node, edits in self.states[state]:
+    def step(self, state: int, letter: str) -> int:
+        """States hold (node, letter to come): edits; the letter is the second of a swapped pair."""
+        best: dict[tuple[int, str], int] = {}
+        for (node, due), edits in self.states[state]:
+            if due:
+                if due == letter:
+                    self.add(best, node, edits)
+                continue
             if letter in self.children[node]:
                 child = self.children[node][letter]
                 if edits == 0 or edits <= self.reach[child]:
-                    best[child] = min(edits, best.get(child, 9))
+                    best[child, ""] = min(edits, best.get((child, ""), 9))
                     for below in self.children[child].values():
-                        add(below, edits + 1)
-            if node:
-                add(node, edits + 1)  # a letter too many
-                for child in self.children[node].values():  # another letter
-                    add(child, edits + 1)
+                        self.add(best, below, edits + 1)
+            if node or self.anywhere:
+                self.add(best, node, edits + 1)  # a letter too many
+                for first, child in self.children[node].items():  # another letter
+                    self.add(best, child, edits + 1)
+                    swapped = self.children[child].get(letter) if self.anywhere else None
+                    if swapped and edits < self.reach[swapped]:
+                        best[swapped, first] = min(edits + 1, best.get((swapped, first), 9))
         key = tuple(sorted(best.items()))
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
             self.states.append(key)
+            self.items += len(key)
             self.steps.append({})
         return self.numbers[key]
 
     def match(self, word: str) -> tuple[float, int] | None:
-        """(weight, kind) of the best term near a word; kind: edits, or 3 for a stem."""
+        """(weight, kind) of the best term near a word; kind: edits, 3 for a stem, 4 for a short term."""
         if len(self.words) > CACHE:
             self.words.clear()
-        if len(self.states) > CACHE:
+        if self.items > CACHE:
             self.__post_init__()
-        state, stem = 0, None
-        for letter in word:
-            after = self.steps[state].get(letter)
-            if after is None:
-                after = self.steps[state][letter] = self.step(state, letter)
-            state = after
-            if not self.states[state]:
+        found = stem = None
+        node = 0
+        for letter in word if self.stems else "":
+            node = self.children[node].get(letter)
+            if node is None:
                 break
-            for node, edits in self.states[state] if self.stems else ():
-                if not edits and node in self.stems:
-                    stem = (self.stems[node], 3)
-        near = [
-            (edits, -self.whole[node][0])
-            for node, edits in self.states[state]
-            if node in self.whole and edits <= self.whole[node][1]
-        ]
-        exact = min(near, default=None)
-        found = (-exact[1], exact[0]) if exact else None
+            if node in self.stems:
+                stem = (self.stems[node], 3)
+        if len(word) <= self.longest and any(less in self.shortened for less in without(word, self.most)):
+            state = 0
+            for letter in word:
+                after = self.steps[state].get(letter)
+                if after is None:
+                    after = self.steps[state][letter] = self.step(state, letter)
+                state = after
+                if not self.states[state]:
+                    break
+            near = []
+            for (node, due), edits in self.states[state]:
+                if not due and node in self.whole and edits <= self.whole[node][1]:
+                    low = edits > 0 and node in self.short
+                    near.append((edits, -self.whole[node][0] * (SHORT if low else 1), 4 if low else edits))
+            best = min(near, default=None)
+            found = (-best[1], best[2]) if best else None
         if stem and (found is None or found[1]):
             found = stem
         self.words[word] = found
@@ -209,7 +242,20 @@ class Automaton:
 
 
 def allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
+
+
+def without(word: str, n: int) -> Iterator[str]:
+    """A word less up to ``n`` (2 at most) of its letters."""
+    yield word
+    if not n:
+        return
+    once = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    yield from once
+    if n > 1:
+        for less in once:
+            for i in range(len(less)):
+                yield less[:i] + less[i + 1 :]
 
 
 # -- scores -----------------------------------------------------------------
@@ -244,7 +290,8 @@ def features(text: str, automaton: Automaton) -> list[float]:
         elif not ADDRESS.isdisjoint(near):
             context = ADDRESSED
         weights.append(weight * context)
-        kinds["exact" if kind == 0 else "stem" if kind == 3 else "near"] += context
+        name = "exact" if kind == 0 else "stem" if kind == 3 else "near"
+        kinds[name] += context * (SHORT if kind == 4 else 1)
     return [
         math.log1p(sum(weights)),
         max(weights),
@@ -323,7 +370,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
 def extractor(terms: list[tuple[str, bool, float]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(terms)
+        automaton = Automaton(terms, anywhere=True)
         for batch in batches:
             rows = [features(t, automaton) for t in batch[0].to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -338,7 +385,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     kept: dict[str, Automaton] = {}
 
     def run(texts: pa.Array) -> pa.Array:
-        automaton = kept.setdefault("", None) or Automaton(model.terms)
+        automaton = kept.setdefault("", None) or Automaton(model.terms, anywhere=True)
         kept[""] = automaton
         rows = np.array([features(t, automaton) for t in texts.to_pylist()])
         return pa.array(model.scores(rows.reshape(-1, FEATURES)))

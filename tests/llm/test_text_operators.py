@@ -92,6 +92,41 @@ def test_automaton_matches_brute_force():
         assert bool(automaton.match(word)) == bool(own), word
 
 
+def test_automaton_edits_anywhere():
+    def distance(a, b):
+        rows = [list(range(len(b) + 1))]
+        for i, x in enumerate(a, 1):
+            rows.append([i])
+            for j, y in enumerate(b, 1):
+                best = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (x != y))
+                if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                    best = min(best, rows[i - 2][j - 2] + 1)
+                rows[i].append(best)
+        return rows[-1][-1]
+
+    terms = ["idiot", "stupid", "moron", "scum", "disgusting", "ass"]
+    automaton = toxicity.Automaton([(t, False, 1.0) for t in terms], anywhere=True)
+    found = "ldiot ztupid xmoron tupid scun skum scuum cusm dsigustnig isgustin sutpid".split()
+    assert [w for w in found if not automaton.match(w)] == ["cusm"]
+    assert automaton.match("scun") == (toxicity.SHORT, 4) and automaton.match("idito") == (1.0, 1)
+    rng = np.random.default_rng(6)
+    for term in terms * 200:
+        letters = list(term)
+        for _ in range(rng.integers(0, 4)):
+            at, kind = rng.integers(0, max(len(letters), 1)), rng.integers(0, 4)
+            if kind == 0:
+                letters[at : at + 1] = "abcdistu"[rng.integers(0, 8)]
+            elif kind == 1:
+                del letters[at : at + 1]
+            elif kind == 2:
+                letters[at : at + 2] = letters[at : at + 2][::-1]
+            else:
+                letters.insert(at, "abcdistu"[rng.integers(0, 8)])
+        word = "".join(letters)
+        near = any(distance(word, t) <= toxicity.allowed(t) for t in terms)
+        assert bool(automaton.match(word)) == near, word
+
+
 def test_stems_and_quotes():
     automaton = toxicity.Automaton([("idiot", False, 5.0), ("achlich", True, 3.0)])
     assert automaton.match("achlichung") == (3.0, 3)
