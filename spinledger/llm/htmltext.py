@@ -1,9 +1,13 @@
 """Main text of web pages by composite text density.
 
 The page is read into a tree of elements. Parts that are named as something else (menus, page
-headers and footers, sidebars, notices, adverts, forms, scripts, comments, hidden parts) are left
-out. Every remaining node has its characters and tags and those of its links, and from them a
-composite density: characters per tag, raised where little of them is link text. The node whose
+headers and footers, sidebars, notices, adverts, scripts, comments, hidden parts) are left out. A
+name that is only a piece of a class or id, and a form, may also stand around the article: these are
+measured with the rest, and left out only where they do not hold its core; pieces of names inside
+the core also only where their density is below the threshold. A page of which nothing is left is
+read again with all names taken as pieces. Every remaining node has its characters and tags and
+those of its links, and from them a composite density: characters per tag, raised where little of
+them is link text. The node whose
 children's densities have the greatest sum is the core of the article; the least density on the
 path from the body down to it is the threshold that its surroundings must reach to belong to the
 article as well. An ``article`` or ``main`` element around the core bounds the article.
@@ -21,7 +25,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -159,23 +163,29 @@ def ended(node: Node, tag: str) -> Node:
     return node
 
 
-def dropped(node: Node) -> bool:
+def dropped(node: Node, names: set[str]) -> bool:
+    """By its tag, or by these of its names."""
     if node.tag in KEPT_ANYWAY:
-        return node.tag == "article" and not named_words(node).isdisjoint({"comment", "comments", "reply"})
-    if node.tag in DROPPED or hidden(node.attributes):
+        return node.tag == "article" and not names.isdisjoint({"comment", "comments", "reply"})
+    if node.tag in DROPPED and node.tag != "form" or hidden(node.attributes):
         return True
-    header = node.tag == "header" or "header" in named_words(node)
+    header = node.tag == "header" or "header" in names
     if header and in_article(node) and titled(node):
         return False  # the article's own head
-    return header or not named_words(node).isdisjoint(NAMED)
+    return header or not names.isdisjoint(NAMED)
 
 
-def named_words(node: Node) -> set[str]:
+def names_of(node: Node, between: str = r"\s+") -> set[str]:
+    """Whole class names, id and roles, or their pieces."""
     a = node.attributes
     if not a:
         return set()
     text = f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}".lower()
-    return set(re.split(r"[^a-z]+", text))
+    return set(re.split(between, text))
+
+
+def pieces_of(node: Node) -> set[str]:
+    return names_of(node, "[^a-z]+")
 
 
 def hidden(attributes: dict[str, str]) -> bool:
@@ -196,17 +206,48 @@ def titled(node: Node) -> bool:
     return any(c.tag in HEADINGS or titled(c) for c in node.children())
 
 
-def pruned(root: Node) -> list[Node]:
+def pruned(root: Node, out: Callable[[Node], bool]) -> list[Node]:
     """Take out what is named as something else; the nodes left, parents first."""
     kept, waiting = [], [root]
     while waiting:
         node = waiting.pop()
         kept.append(node)
-        node.parts = [p for p in node.parts if isinstance(p, str) or not dropped(p)]
+        node.parts = [p for p in node.parts if isinstance(p, str) or not out(p)]
         waiting.extend(reversed(list(node.children())))
     return kept
 
 
+def article_nodes(page: str) -> list[Node]:
+    """The measured nodes of a page without what surely, or by its density, is something else."""
+    root = parse(page)
+    nodes = pruned(root, lambda n: dropped(n, names_of(n)))
+    measure(nodes)
+    if not root.chars:
+        root = parse(page)
+        nodes = pruned(root, lambda n: dropped(n, set()))
+        measure(nodes)
+    doubtful = {n for n in nodes[1:] if n.tag == "form" or dropped(n, pieces_of(n))}
+    inner = [n for n in nodes if n.tag not in ("html", "body") and n.chars]
+    if not doubtful or not inner:
+        return nodes
+    best = max(inner, key=lambda n: n.total)
+    path = {best, *best.above()}
+    threshold = min(n.density for n in path if n.tag not in ("html", "body"))
+    inside = {best}
+    for node in nodes:  # parents first
+        if node.parent in inside:
+            inside.add(node)
+
+    def other(node: Node) -> bool:
+        if node not in doubtful or node in path:
+            return False
+        return node.tag == "form" or node not in inside or node.density < threshold
+
+    nodes = pruned(root, other)
+    measure(nodes)
+    return nodes
+
+
 def measure(nodes: list[Node]) -> None:
     """Characters, tags, link characters and link tags; then densities and their sums."""
     for node in reversed(nodes):
@@ -280,8 +321,7 @@ def blocks(node: Node | str, out: list[list[str]]) -> None:
 
 
 def main_text(page: str) -> str:
-    nodes = pruned(parse(page))
-    measure(nodes)
+    nodes = article_nodes(page)
     out: list[list[str]] = [[]]
     for node in core(nodes):
         blocks(node, out)

@@ -250,6 +250,20 @@ def test_article_without_surroundings():
     ]
 
 
+def test_names_around_the_article_keep_it():
+    text = "A long sentence of the page, with many words in it and no link at all."
+    inner = f"<article><h1>Title</h1><p>{text}</p><p>{text}</p></article>"
+    sides = '<div class="site-footer">Foot</div><div class="sidebar"><p>Side</p></div>'
+    for name in ("layout has-sidebar", "page-header-fixed", "no-ads", "post share-enabled", "related-work", "search"):
+        for tag in ("div", "form"):
+            page = f'<body><{tag} class="{name}">{inner}</{tag}>{sides}</body>'
+            if name == "search":
+                page = f'<body><{tag} class="{name}">{inner}</{tag}></body>'
+            assert htmltext.main_text(page) == f"Title\n{text}\n{text}", page
+    page = f'<body><div id="search-results">{inner.replace("article", "div")}</div>{sides}</body>'
+    assert htmltext.main_text(page) == f"Title\n{text}\n{text}"
+
+
 def test_article_is_kept_whole():
     page = "<body><nav>x</nav><article><h1>A&lt;b</h1><p>One.<br>Two &amp three<ul><li>x<li>y</ul></article>"
     assert htmltext.main_text(page) == "A<b\nOne.\nTwo & three\nx\ny"
