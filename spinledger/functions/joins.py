@@ -42,6 +42,19 @@ def join_dimension(
     return facts.join(F.broadcast(dim) if fits_broadcast(dim, max_bytes) else dim, on, how)
 
 
+def hot_keys(facts: DataFrame, key: str, pieces: int) -> DataFrame:
+    """Keys (_hot, _salts) that hold more than ``1 / pieces`` of the facts, from counted rows.
+
+    ``_salts`` is the number of pieces of that size. At most ``pieces`` keys qualify, whatever
+    the data, so the result may be broadcast. NULL meets nothing in a join and is left out.
+    """
+    counts = facts.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
+    piece = F.greatest(F.ceil(facts.agg(F.count("*")).scalar() / pieces), F.lit(1))
+    return counts.filter((F.col("_rows") > piece) & F.col("_hot").isNotNull()).select(
+        "_hot", F.ceil(F.col("_rows") / piece).cast("int").alias("_salts")
+    )
+
+
 def salted_dimension_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -49,20 +62,36 @@ def salted_dimension_join(
     dim_key: str,
     spread_by: Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
+    salts: int | None = None,
     max_bytes: int | None = None,
 ) -> DataFrame:
     """Left or inner join where one key may hold a large share of the facts.
 
-    A small dimension is broadcast. A large one is copied once per salt, and each fact goes
-    to the salt given by a hash of its own columns, so a hot key (NULL included) is spread
-    over ``salts`` tasks. The hash is of data, not random, so a re-run task repeats it.
+    A small dimension is broadcast. For a large one the facts per key are counted first, by map
+    tasks that read the key alone, and every hot key gets salts by its count: ``SALTS`` pieces
+    per shuffle partition share all facts, and a key goes to as many as it fills. Only the hot
+    keys' dimension rows are copied, once per salt; cold keys meet their one row. A fact's salt
+    is a hash of its own columns (``spread_by``), not random, so a re-run task repeats it. NULL
+    keys, which match nothing, are spread over all pieces. ``salts`` fixes the number of pieces.
     """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins can be salted on the right side")
     if fits_broadcast(dim, max_bytes):
         return facts.join(F.broadcast(dim), F.col(fact_key) == F.col(dim_key), how)
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    copies = dim.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = salts or SALTS * partitions
+    hot = F.broadcast(hot_keys(facts, fact_key, pieces))
+    own = F.when(F.col(fact_key).isNull(), F.lit(pieces)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted_facts = (
+        facts.join(hot, F.col(fact_key) == F.col("_hot"), "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*spread_by), own).cast("int"))
+        .drop("_hot", "_salts")
+    )
+    copied = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copies = (
+        dim.join(hot, F.col(dim_key) == F.col("_hot"), "left")
+        .withColumn("_copy", F.explode(copied))
+        .drop("_hot", "_salts")
+    )
     match = (F.col(fact_key) == F.col(dim_key)) & (F.col("_salt") == F.col("_copy"))
     return salted_facts.join(copies, match, how).drop("_salt", "_copy")

@@ -1,8 +1,9 @@
 """Summary marts over the silver plays.
 
-Distinct counts are left to Catalyst: it shuffles on (group, value), so that a group holding
-much of the data is still spread over all tasks. The windows without a partition run over
-aggregated rows only (one per genre or month).
+The daily, monthly and genre marts are finished from the states of ``marts``, which need one pass
+over the plays. Other distinct counts are left to Catalyst. Both shuffle on (group, value), so
+that a group holding much of the data is still spread over all tasks. The windows without a
+partition run over aggregated rows only (one per genre or month).
 """
 
 from __future__ import annotations
@@ -14,13 +15,13 @@ from pyspark.sql import functions as F
 from spinledger.functions import tiers
 from spinledger.functions.ranking import (
     count_if_pct,
-    first_per_group,
     most_frequent,
     share,
     top_n,
 )
 from spinledger.functions.rounding import half_up
 from spinledger.functions.timeparts import add_local_time, since
+from spinledger.operators import marts
 
 
 def all_rows():
@@ -44,16 +45,9 @@ def minutes_total() -> Column:
     return half_up(hundredths() / 100, 2)
 
 
-def minutes_average() -> Column:
-    return half_up(hundredths() / (F.count("track_duration_minutes") * 100), 2)
-
-
-def unique_play_repeats(plays_unique: bool) -> Column:
-    """Share of rows that repeat a play key; silver guarantees unique keys, so it is 0 there."""
-    if plays_unique:
-        return F.lit(0.0)
-    rows = F.count("*")
-    return half_up(F.lit(100.0) * (rows - F.countDistinct("unique_play")) / rows, 1)
+def minutes_per_play() -> Column:
+    """Average track minutes from summed hundredths and the number of plays that have a length."""
+    return half_up(F.try_divide(F.col("hundredths"), F.col("timed") * 100), 2)
 
 
 def artist_summary(silver: DataFrame, artists: DataFrame) -> DataFrame:
@@ -107,48 +101,35 @@ def artist_summary(silver: DataFrame, artists: DataFrame) -> DataFrame:
 
 
 def daily_summary(silver: DataFrame, top: str = "mode", plays_unique: bool = True) -> DataFrame:
-    """Daily listening summary.
+    """Daily listening summary, from one pass over the plays.
 
     ``top="mode"`` takes the most played genre of the day, ``top="min"`` the alphabetically
     first. ``new_artists_discovered`` and ``new_tracks_discovered`` repeat the day's distinct
     counts; see ``monthly_discoveries`` for first-seen artists.
     """
-    source = F.col("listening_source")
-    track_avg, artist_avg = F.avg("track_popularity"), F.avg("artist_popularity")
-    genres = F.countDistinct("primary_genre")
-    days = (
-        silver.filter(F.col("local_date").isNotNull())
-        .groupBy("local_date", "is_weekend", "local_quarter", "local_year")
-        .agg(
-            F.count("*").alias("total_plays"),
-            F.countDistinct("track_id").alias("unique_tracks"),
-            F.countDistinct("primary_artist_id").alias("unique_artists"),
-            F.countDistinct("album_id").alias("unique_albums"),
-            genres.alias("unique_genres"),
-            minutes_total().alias("total_listening_minutes"),
-            minutes_average().alias("average_track_length_minutes"),
-            F.min("primary_genre").alias("top_genre"),
-            pct_ratio(genres, F.count("*")).alias("genre_diversity_score"),
-            count_if_pct(F.col("is_multi_genre_artist")).alias("multi_genre_artist_percentage"),
-            unique_play_repeats(plays_unique).alias("repeat_play_percentage"),
-            count_if_pct(source == "playlist").alias("playlist_play_percentage"),
-            count_if_pct(source == "album").alias("album_play_percentage"),
-            count_if_pct(source == "artist").alias("artist_play_percentage"),
-            half_up(track_avg, 1).alias("average_track_popularity"),
-            half_up(artist_avg, 1).alias("average_artist_popularity"),
-            half_up((track_avg + artist_avg) / 2, 1).alias("mainstream_score"),
-            half_up(F.avg("local_hour"), 0).alias("average_listening_hour"),
-            F.countDistinct(F.date_trunc("hour", "local_timestamp")).alias("listening_sessions"),
-            F.max("ingested_at").alias("last_updated"),
-        )
+    mart = marts.DAY if plays_unique else marts.DAY_WITH_KEYS
+    return day_rows(mart.states(silver), top, plays_unique)
+
+
+def day_rows(states: DataFrame, top: str = "mode", plays_unique: bool = True) -> DataFrame:
+    """Daily summary from merged states of ``marts.DAY``."""
+    best = marts.most_played("genre")["value"]
+    if top == "min":
+        best = F.min(F.when(F.col("kind") == "genre", F.col("value")))
+    keys = F.col("total_plays") if plays_unique else F.col("_keys")
+    days = states.groupBy(*marts.DAY.group).agg(
+        marts.all_plays().alias("total_plays"),
+        marts.distinct("track").alias("unique_tracks"),
+        marts.distinct("artist").alias("unique_artists"),
+        marts.distinct("album").alias("unique_albums"),
+        marts.distinct("genre").alias("unique_genres"),
+        marts.distinct("play").alias("_keys"),
+        marts.bits("all").alias("listening_sessions"),
+        best.alias("top_genre"),
+        *[marts.measure(name) for name in marts.DAY.measures],
     )
-    if top == "mode":
-        played = silver.filter(
-            F.col("local_date").isNotNull() & F.col("primary_genre").isNotNull()
-        )
-        best = most_frequent(played, ["local_date"], "primary_genre")
-        best = best.select("local_date", F.col("primary_genre").alias("top_genre"))
-        days = days.drop("top_genre").join(best, "local_date", "left")
+    track_avg, artist_avg = marts.average("track_popularity"), marts.average("artist_popularity")
+    plays = F.col("total_plays")
     return days.select(
         "local_date",
         F.dayname("local_date").alias("day_of_week"),
@@ -161,21 +142,21 @@ def daily_summary(silver: DataFrame, top: str = "mode", plays_unique: bool = Tru
         "unique_artists",
         "unique_albums",
         "unique_genres",
-        "total_listening_minutes",
-        "average_track_length_minutes",
+        half_up(F.col("hundredths") / 100, 2).alias("total_listening_minutes"),
+        minutes_per_play().alias("average_track_length_minutes"),
         "top_genre",
-        "genre_diversity_score",
-        "multi_genre_artist_percentage",
+        pct_ratio(F.col("unique_genres"), plays).alias("genre_diversity_score"),
+        share(F.col("multi_genre"), plays, 1).alias("multi_genre_artist_percentage"),
         F.col("unique_artists").alias("new_artists_discovered"),
         F.col("unique_tracks").alias("new_tracks_discovered"),
-        "repeat_play_percentage",
-        "playlist_play_percentage",
-        "album_play_percentage",
-        "artist_play_percentage",
-        "average_track_popularity",
-        "average_artist_popularity",
-        "mainstream_score",
-        "average_listening_hour",
+        share(plays - keys, plays, 1).alias("repeat_play_percentage"),
+        share(F.col("from_playlist"), plays, 1).alias("playlist_play_percentage"),
+        share(F.col("from_album"), plays, 1).alias("album_play_percentage"),
+        share(F.col("from_artist"), plays, 1).alias("artist_play_percentage"),
+        half_up(track_avg, 1).alias("average_track_popularity"),
+        half_up(artist_avg, 1).alias("average_artist_popularity"),
+        half_up((track_avg + artist_avg) / 2, 1).alias("mainstream_score"),
+        half_up(marts.average("hour"), 0).alias("average_listening_hour"),
         "listening_sessions",
         "last_updated",
     )
@@ -196,100 +177,97 @@ def top_track_per_genre(silver: DataFrame) -> DataFrame:
 
 
 def genre_analysis(silver: DataFrame, day_label: str = "min") -> DataFrame:
-    """Genre totals, rank and share, with the genre's most played artist.
+    """Genre totals, rank and share, with the genre's most played artist, from one pass.
 
     ``day_label="min"`` takes the alphabetically first day part and weekday, ``"mode"`` the
     most frequent ones.
     """
-    plays = silver.filter(F.col("primary_genre").isNotNull()).withColumn(
-        "day_name", F.dayname("local_timestamp")
-    )
-    genres = plays.groupBy("primary_genre").agg(
-        F.count("*").alias("total_plays"),
-        F.countDistinct("primary_artist_id").alias("unique_artists"),
-        F.countDistinct("track_id").alias("unique_tracks"),
-        minutes_total().alias("total_listening_minutes"),
-        half_up(F.avg("artist_popularity"), 1).alias("average_artist_popularity"),
-        half_up(F.avg("artist_followers"), 0).alias("average_artist_followers"),
-        F.min("time_of_day_category").alias("primary_time_of_day"),
-        F.min("day_name").alias("primary_day_of_week"),
-        half_up(F.avg("local_hour"), 0).alias("average_listening_hour"),
-        F.min("local_timestamp").alias("first_discovered"),
-        F.max("local_timestamp").alias("last_played"),
-        F.countDistinct("local_date").alias("days_active"),
-        minutes_average().alias("average_track_duration_minutes"),
-        half_up(F.avg("track_popularity"), 1).alias("average_track_popularity"),
-        count_if_pct(F.col("track_explicit")).alias("explicit_content_percentage"),
-        F.max("ingested_at").alias("last_updated"),
-    )
-    if day_label == "mode":
-        for value, name in (
-            ("time_of_day_category", "primary_time_of_day"),
-            ("day_name", "primary_day_of_week"),
-        ):
-            best = most_frequent(plays, ["primary_genre"], value)
-            best = best.select("primary_genre", F.col(value).alias(name))
-            genres = genres.drop(name).join(best, "primary_genre")
-    order = W.orderBy(F.desc("total_plays"), "primary_genre")
-    ranked = genres.withColumns(
-        {
-            "genre_rank": F.row_number().over(order),
-            "percentage_of_total_listening": share(
-                F.col("total_plays"), F.sum("total_plays").over(all_rows())
-            ),
-        }
-    )
-    return ranked.join(top_artist_per_genre(silver), "primary_genre", "left")
-
+    mart = marts.GENRE if day_label == "min" else marts.GENRE_WITH_DAYS
+    return ranked_genres(genre_rows(mart.states(silver), day_label))
 
-MONTH = ["local_year", "local_month"]
 
+def genre_rows(states: DataFrame, day_label: str = "min") -> DataFrame:
+    """Totals and top artist of every genre from merged states of ``marts.GENRE``."""
+    if day_label == "mode":
+        part, weekday = (marts.most_played(k)["value"] for k in ("day_part_name", "weekday_name"))
+        labels = [part.alias("primary_time_of_day"), weekday.alias("primary_day_of_week")]
+    else:
+        labels = [
+            marts.named(marts.DAY_PARTS, marts.measure("day_part")).alias("primary_time_of_day"),
+            marts.named(marts.WEEKDAYS, marts.measure("weekday")).alias("primary_day_of_week"),
+        ]
+    genres = states.groupBy("primary_genre").agg(
+        marts.all_plays().alias("total_plays"),
+        marts.distinct("artist").alias("unique_artists"),
+        marts.distinct("track").alias("unique_tracks"),
+        marts.bits("month").alias("days_active"),
+        marts.most_played("artist_name", nulls=True).alias("_artist"),
+        *labels,
+        *[marts.measure(name) for name in marts.GENRE.measures],
+    )
+    return genres.select(
+        "primary_genre",
+        "total_plays",
+        "unique_artists",
+        "unique_tracks",
+        half_up(F.col("hundredths") / 100, 2).alias("total_listening_minutes"),
+        half_up(marts.average("artist_popularity"), 1).alias("average_artist_popularity"),
+        half_up(marts.average("artist_followers"), 0).alias("average_artist_followers"),
+        "primary_time_of_day",
+        "primary_day_of_week",
+        half_up(marts.average("hour"), 0).alias("average_listening_hour"),
+        "first_discovered",
+        "last_played",
+        "days_active",
+        minutes_per_play().alias("average_track_duration_minutes"),
+        half_up(marts.average("track_popularity"), 1).alias("average_track_popularity"),
+        share(F.col("explicit"), F.col("total_plays"), 1).alias("explicit_content_percentage"),
+        "last_updated",
+        F.col("_artist.value").alias("top_artist"),
+        (-F.col("_artist.n")).alias("top_artist_plays"),
+    )
 
-# name of the top item and the column it comes from
-MONTHLY_TOPS = {
-    "top_artist": "primary_artist_name",
-    "top_genre": "primary_genre",
-    "top_track": "track_name",
-}
 
+def ranked_genres(genres: DataFrame) -> DataFrame:
+    """Rank and share of every genre; a row per genre meets in one task."""
+    order = W.orderBy(F.desc("total_plays"), "primary_genre")
+    all_plays = F.sum("total_plays").over(all_rows())
+    tops = ["top_artist", "top_artist_plays"]
+    return genres.select(
+        *[name for name in genres.columns if name not in tops],
+        F.row_number().over(order).alias("genre_rank"),
+        share(F.col("total_plays"), all_plays).alias("percentage_of_total_listening"),
+        *tops,
+    )
 
-def top_per_month(silver: DataFrame) -> DataFrame:
-    """Most played artist, genre and track of each month, from one pass over the plays.
 
-    Every play yields one small row per kind of item; these are counted in the map tasks
-    before anything is shuffled.
-    """
-    items = [
-        F.struct(F.lit(name).alias("kind"), F.col(column).alias("value"))
-        for name, column in MONTHLY_TOPS.items()
-    ]
-    counted = (
-        silver.select(*MONTH, F.explode(F.array(*items)).alias("_item"))
-        .groupBy(*MONTH, F.col("_item.kind").alias("kind"), F.col("_item.value").alias("value"))
-        .agg(F.count("*").alias("plays"))
-        .filter((F.col("kind") != "top_genre") | F.col("value").isNotNull())
+def month_rows(states: DataFrame) -> DataFrame:
+    """Totals and top items of every month from merged states of ``marts.MONTH``."""
+    tops = {"top_artist": ("artist_name", True), "top_genre": ("genre", False), "top_track": ("track_name", True)}
+    months = states.groupBy(*marts.MONTH.group).agg(
+        marts.all_plays().alias("total_plays"),
+        marts.distinct("artist").alias("unique_artists"),
+        marts.distinct("genre").alias("unique_genres"),
+        marts.bits("all").alias("_days"),
+        *[marts.most_played(kind, nulls).alias(name) for name, (kind, nulls) in tops.items()],
+        *[marts.measure(name) for name in marts.MONTH.measures],
     )
-    order = [F.desc("plays"), F.col("value").asc_nulls_last()]
-    best = first_per_group(counted, [*MONTH, "kind"], order)
-    columns = []
-    for name in MONTHLY_TOPS:
-        mine = F.col("kind") == name
-        columns.append(F.max(F.when(mine, F.col("value"))).alias(name))
-        columns.append(F.max(F.when(mine, F.col("plays"))).alias(f"{name}_plays"))
-    return best.groupBy(*MONTH).agg(*columns)
-
-
-def monthly_base(silver: DataFrame) -> DataFrame:
-    return silver.groupBy(*MONTH, "local_quarter").agg(
-        F.count("*").alias("total_plays"),
-        half_up(hundredths() / 6000, 2).alias("total_listening_hours"),
-        half_up(F.count("*") / F.countDistinct("local_date"), 2).alias("daily_average_plays"),
-        F.countDistinct("primary_artist_id").alias("unique_artists"),
-        F.countDistinct("primary_genre").alias("unique_genres"),
-        count_if_pct(F.col("is_weekend")).alias("weekend_listening_percentage"),
-        F.min("time_of_day_category").alias("primary_time_of_day"),
-        half_up(F.avg("track_popularity"), 1).alias("average_track_popularity"),
-        F.max("ingested_at").alias("last_updated"),
+    best = []
+    for name in tops:
+        best.append(F.col(name)["value"].alias(name))
+        best.append((-F.col(name)["n"]).alias(f"{name}_plays"))
+    return months.select(
+        *marts.MONTH.group,
+        "total_plays",
+        half_up(F.col("hundredths") / 6000, 2).alias("total_listening_hours"),
+        half_up(F.try_divide(F.col("total_plays"), F.col("_days")), 2).alias("daily_average_plays"),
+        "unique_artists",
+        "unique_genres",
+        share(F.col("weekend"), F.col("total_plays"), 1).alias("weekend_listening_percentage"),
+        marts.named(marts.DAY_PARTS, F.col("day_part")).alias("primary_time_of_day"),
+        half_up(marts.average("track_popularity"), 1).alias("average_track_popularity"),
+        "last_updated",
+        *best,
     )
 
 
@@ -300,10 +278,15 @@ def growth(value: str, previous: Column) -> Column:
 def monthly_insights(silver: DataFrame) -> DataFrame:
     """Monthly totals, growth against the previous row, and the month's top items.
 
-    ``average_session_length_minutes`` is listening time over plays.
+    ``average_session_length_minutes`` is listening time over plays. One pass over the plays.
     """
+    return grown_months(month_rows(marts.MONTH.states(silver)))
+
+
+def grown_months(months: DataFrame) -> DataFrame:
+    """Rates and growth of every month; a row per month meets in one task."""
     by_month = W.orderBy("local_year", "local_month")
-    months = monthly_base(silver).withColumns(
+    months = months.withColumns(
         {
             "artist_discovery_rate": pct_ratio(F.col("unique_artists"), F.col("total_plays")),
             "genre_diversity_score": pct_ratio(F.col("unique_genres"), F.col("total_plays")),
@@ -317,7 +300,6 @@ def monthly_insights(silver: DataFrame) -> DataFrame:
             ),
         }
     )
-    months = months.join(top_per_month(silver), MONTH, "left")
     return months.select(
         F.col("local_year").alias("year"),
         F.col("local_month").alias("month"),

@@ -84,6 +84,30 @@ def test_salted_join_equals_plain_join(spark):
         assert sorted(salted.collect(), key=str) == sorted(plain.collect(), key=str)
 
 
+def test_hot_key_is_spread_by_its_count_and_cold_keys_are_not_copied(spark):
+    facts = spark.range(60_000).selectExpr(
+        "string(id) AS play", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 10 = 1 THEN NULL "
+        "ELSE string(id % 20000) END AS k"
+    )
+    dim = spark.range(20_000).selectExpr("string(id) AS key").union(
+        spark.createDataFrame([("hot",)], "key string")
+    )
+    hot = {r["_hot"]: r["_salts"] for r in joins.hot_keys(facts, "k", 128).collect()}
+    assert hot == {"hot": 43}
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")
+    try:
+        joined = joins.salted_dimension_join(facts, dim, "k", "key", ["play"], max_bytes=0)
+        rows = joined.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+        assert rows.sum() == 60_000 and rows.max() <= 2 * rows.median()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_large_dimension_is_not_broadcast(spark):
     dim = spark.range(1000).selectExpr("id AS key")
     assert joins.fits_broadcast(dim)

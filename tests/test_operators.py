@@ -308,3 +308,13 @@ def test_deploy_rollback_history(spark):
     assert states == ["replaced", "rolled_back", "active_rollback"]
     other = back.withColumn("model_name", F.lit("unknown"))
     assert modellog.rollback(log, other).count() == 0
+
+
+def test_marts_scan_the_plays_once_and_expand_nothing(spark, tables):
+    from spinledger.operators import gold
+
+    plays = tables.silver_table
+    for mart in (gold.daily_summary, gold.genre_analysis):
+        rows = mart(spark.createDataFrame([], tables.silver.schema).unionByName(plays, allowMissingColumns=True))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and plan.count("FileScan parquet") == 1
