@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from spinledger.operators import feeds, flatten, silver, vectors
 from spinledger.operators.features import genre_interactions
 from spinledger.plans.catalogue import joined_text, query
 from spinledger.plans.features_queries import track_features
-from spinledger.plans.oracle import sql
-from spinledger.sources import landing
+from spinledger.plans.oracle import half_up, sql
+from spinledger.sources import landing, tables
 from spinledger.streaming import ingest
 
 
@@ -269,24 +270,185 @@ def known_keys(t):
 @query(
     "st4_batch_upsert",
     sql(
-        """SELECT track_id, count(*) AS discovery_count,
+        """SELECT track_id, count(*) + 2 * (track_id IN ('1', '2'))::INTEGER AS discovery_count,
   max(ml_recommendation_score) AS ml_recommendation_score FROM ml_feed GROUP BY 1""",
         "ml_feed",
     ),
 )
 def batch_upsert(t):
-    """Two batches through the batch step of the upsert stream."""
+    """Batches through the step of the upsert stream: two halves, two tracks again, a repeat."""
     path = t.scratch + "/upsert"
     now = F.lit("2024-02-01").cast("timestamp_ntz")
     step = ingest.upsert_ml(path, now)
     split = F.col("discovered_at") < F.lit("2024-01-26").cast("timestamp_ntz")
     rows = t.ml_feed.drop("ingested_at").withColumn("batch_timestamp", F.lit("x"))
-    step(rows.filter(split), 0)
+    for number, batch in enumerate((split, ~split, F.col("track_id").isin("1", "2"))):
+        step(rows.filter(batch), number)
     step(rows.filter(~split), 1)
-    table = t.spark.read.parquet(path + "/v2")
+    table = t.spark.read.parquet(path)
     return table.select("track_id", "discovery_count", "ml_recommendation_score")
 
 
+@query(
+    "st4_partial_upsert",
+    sql(
+        """SELECT count(DISTINCT track_id) AS tracks, true AS few_partitions_rewritten,
+  true AS others_untouched FROM ml_feed""",
+        "ml_feed",
+    ),
+)
+def partial_upsert(t):
+    """A batch of two tracks rewrites the partitions of these two and no other."""
+    path = t.scratch + "/partial"
+    step = ingest.upsert_ml(path, F.lit("2024-02-01").cast("timestamp_ntz"))
+    rows = t.ml_feed.drop("ingested_at").withColumn("batch_timestamp", F.lit("x"))
+    step(rows, 0)
+    few = F.col("track_id").isin("1", "2")
+    step(rows.filter(few), 1)
+    table = t.spark.read.parquet(path)
+    return table.agg(
+        F.count("*").alias("tracks"),
+        (F.count_distinct(F.when(F.col("batch") == 1, F.col("part"))) <= 2).alias(
+            "few_partitions_rewritten"
+        ),
+        (F.count_distinct(F.when(F.col("batch") == 0, F.col("part"))) > 2).alias("others_untouched"),
+    )
+
+
+MART_SQL = f"""
+WITH plays_once AS (SELECT * FROM silver QUALIFY row_number() OVER (
+    PARTITION BY strftime(played_at, '%Y%m%d_%H%M%S_') || track_id ORDER BY unique_play) = 1),
+tops AS (
+  SELECT * FROM (
+    SELECT 'day' AS mart, CAST(local_date AS VARCHAR) AS part, primary_genre AS top, count(*) AS n
+    FROM plays_once WHERE primary_genre IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 'genre', primary_genre, primary_artist_name, count(*)
+    FROM plays_once WHERE primary_genre IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 'month', local_year || '-' || local_month, track_name, count(*)
+    FROM plays_once GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY mart, part ORDER BY n DESC, top) = 1),
+sums AS (
+  SELECT 'day' AS mart, CAST(local_date AS VARCHAR) AS part, count(*) AS total_plays,
+    count(DISTINCT primary_artist_id) AS artists, count(DISTINCT track_id) AS others,
+    count(DISTINCT date_trunc('hour', local_timestamp))::DOUBLE AS span,
+    {half_up("avg(track_popularity)", 1)} AS popularity
+  FROM plays_once GROUP BY ALL
+  UNION ALL SELECT 'genre', primary_genre, count(*), count(DISTINCT primary_artist_id),
+    count(DISTINCT track_id), count(DISTINCT local_date)::DOUBLE,
+    {half_up("avg(track_popularity)", 1)}
+  FROM plays_once WHERE primary_genre IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT 'month', local_year || '-' || local_month, count(*),
+    count(DISTINCT primary_artist_id), count(DISTINCT primary_genre),
+    {half_up("count(*) / count(DISTINCT local_date)", 2)}, {half_up("avg(track_popularity)", 1)}
+  FROM plays_once GROUP BY ALL)
+SELECT sums.*, top FROM sums LEFT JOIN tops USING (mart, part)"""
+
+
+def streamed_plays(t, folder: str) -> None:
+    """Nested JSON files in which every play comes twice, in different files."""
+    plays = nested_plays(t)
+    plays.repartition(3).write.json(folder)
+    plays.repartition(3, "track.id").write.mode("append").json(folder)
+
+
+@query("st5_incremental_marts", sql(MART_SQL, "silver"))
+def incremental_marts(t):
+    """Six batches through the listening cycle; the daily, genre and monthly marts it keeps."""
+    folder = t.scratch
+    streamed_plays(t, folder + "/marts_raw")
+    lines = ingest.stream_lines(t.spark, folder + "/marts_raw", files_per_batch=1)
+    step = ingest.silver_and_gold(folder + "/marts_silver", folder + "/marts", t.artists)
+    ingest.start(lines, folder + "/marts_checkpoint", step, "marts").awaitTermination()
+    tables = ingest.open_marts(t.spark, folder + "/marts")
+    days = tables["daily_summary"].selectExpr(
+        "'day' AS mart", "string(local_date) AS part", "total_plays", "unique_artists AS artists",
+        "unique_tracks AS others", "double(listening_sessions) AS span",
+        "average_track_popularity AS popularity", "top_genre AS top",
+    )
+    genres = tables["genre_analysis"].selectExpr(
+        "'genre' AS mart", "primary_genre AS part", "total_plays", "unique_artists AS artists",
+        "unique_tracks AS others", "double(days_active) AS span",
+        "average_track_popularity AS popularity", "top_artist AS top",
+    )
+    months = tables["monthly_insights"].selectExpr(
+        "'month' AS mart", "year || '-' || month AS part", "total_plays",
+        "unique_artists AS artists", "unique_genres AS others", "daily_average_plays AS span",
+        "average_track_popularity AS popularity", "top_track AS top",
+    )
+    return days.unionByName(genres).unionByName(months)
+
+
+@query(
+    "st8_listening_cycle",
+    sql(
+        """SELECT strftime(played_at, '%Y%m%d_%H%M%S_') || track_id AS unique_play,
+  min(local_date) AS local_date, min(primary_genre) AS primary_genre,
+  CAST(1 AS BIGINT) AS failed_batches, CAST(1 AS BIGINT) AS quarantined_files,
+  CAST(3 AS BIGINT) AS attempts FROM silver GROUP BY 1""",
+        "silver",
+    ),
+)
+def listening_cycle(t):
+    """A cycle of files with a broken one and a batch that fails once, then compacted.
+
+    The broken file comes first and is tried with three batches.
+    """
+    folder = t.scratch + "/cycle"
+    raw, silver_path, files = folder + "/raw", folder + "/silver", folder + "/quarantine"
+    bad = t.spark.createDataFrame([('{"played_at": ',)], "value string")
+    bad.coalesce(1).write.text(raw)
+    lines = ingest.stream_lines(t.spark, raw, files_per_batch=1)
+    step, failed = ingest.append_plays(silver_path, t.artists, files), []
+
+    def once_failing(batch, number):
+        step(batch, number)
+        if number == 2 and not failed:
+            failed.append(number)
+            raise RuntimeError("the batch is lost after it was written")
+
+    ingest.run_cycle(lines, folder + "/checkpoint", once_failing, "cycle", target=silver_path)
+    plays = nested_plays(t)
+    plays.repartition(3).write.mode("append").json(raw)
+    ingest.run_cycle(lines, folder + "/checkpoint", once_failing, "cycle", target=silver_path)
+    ingest.compact(t.spark, silver_path)
+    ingest.vacuum(t.spark, silver_path)
+    kept = ingest.quarantined(t.spark, files).agg(
+        F.count("*").alias("quarantined_files"), F.max("attempts").alias("attempts")
+    )
+    rows = ingest.live_plays(t.spark, silver_path)
+    return rows.select(
+        "unique_play",
+        "local_date",
+        "primary_genre",
+        F.lit(len(failed)).cast("long").alias("failed_batches"),
+        kept.select("quarantined_files").scalar().alias("quarantined_files"),
+        kept.select("attempts").scalar().alias("attempts"),
+    )
+
+
+@query(
+    "s12_backup",
+    sql(
+        """SELECT artist_id, primary_genre, false AS changed, true AS second_refused FROM artists""",
+        "artists",
+    ),
+)
+def backup_and_read_back(t):
+    """A table is backed up, overwritten, and read back from its backup, which stays as it was."""
+    path, copy = t.scratch + "/live", t.scratch + "/backup"
+    tables.materialise(t.artists.select("artist_id", "primary_genre"), path)
+    tables.backup(t.spark, path, copy)
+    tables.materialise(t.artists.select("artist_id", F.lit("changed").alias("primary_genre")), path)
+    try:
+        tables.backup(t.spark, path, copy)
+        refused = False
+    except AnalysisException:
+        refused = True
+    rows = t.spark.read.parquet(copy)
+    changed = F.coalesce(F.col("primary_genre") == "changed", F.lit(False))
+    return rows.withColumns({"changed": changed, "second_refused": F.lit(refused)})
+
+
 @query(
     "s2_artist_landing",
     sql(

@@ -5,10 +5,8 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from functools import cached_property
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +15,7 @@ from spinledger.functions.joins import join_dimension, salted_dimension_join
 from spinledger.functions.timeparts import to_local
 from spinledger.operators.silver import dedupe_plays, enrich_plays
 from spinledger.params import LOCAL_TZ
-from spinledger.sources.tables import materialise
+from spinledger.sources.tables import materialise, scratch_folder
 
 # Explicit schemas, so that opening a table starts no job.
 SCHEMAS = {
@@ -97,15 +95,7 @@ class Tables:
     @cached_property
     def scratch(self) -> str:
         """A new folder for this run's tables, inside the cluster's checkpoint folder."""
-        context = self.spark.sparkContext
-        shared = self.spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-            "spark.checkpoint.dir"
-        )
-        if shared:
-            return f"{shared}/spinledger/{context.applicationId}/{uuid4().hex}"
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        return tempfile.mkdtemp(prefix="spinledger-run-")
+        return scratch_folder(self.spark)
 
     def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A layer table that several later steps read, written once per run."""

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from spinledger import schema
 from spinledger.functions.joins import join_dimension
 from spinledger.functions.timeparts import release_date
+from spinledger.sources.tables import materialise, scratch_folder
 
 CORRUPT = "_corrupt_record"
 MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -17,26 +18,41 @@ MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def read_json(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:
     """JSON lines with a fixed schema and file lineage; a file with a bad line is left out.
 
-    Lines are parsed from text, so that every field of every line is checked whatever columns
-    are read later.
+    Lines are parsed once, from text, so that every field of every line is checked whatever
+    columns are read later. The parsed rows are kept as a columnar table, in which a bad file is
+    known by its marked rows.
     """
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return parsed(lines.select("value", F.col("_metadata.file_path").alias("file_name")), fields)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file_name"))
+    return good_files(staged(lines, fields, scratch_folder(spark) + "/staged"))
 
 
-def parsed(lines: DataFrame, fields: T.StructType) -> DataFrame:
-    """Rows of text lines (value, file_name), without the files that hold a bad line."""
+def staged(lines: DataFrame, fields: T.StructType, path: str) -> DataFrame:
+    """Text lines (value, file_name), parsed once into a table; bad lines keep their text in
+    ``_corrupt_record``."""
     checked = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     rows = lines.filter(F.trim("value") != "").select(
         F.from_json("value", checked, options).alias("_row"), "file_name"
     )
-    bad = rows.filter(F.col(f"_row.{CORRUPT}").isNotNull()).select("file_name").distinct()
-    return join_dimension(rows, bad, "file_name", "left_anti").select("_row.*", "file_name").drop(
-        CORRUPT
+    return materialise(rows.select("_row.*", "file_name"), path)
+
+
+def bad_files(rows: DataFrame) -> DataFrame:
+    """Files (file_name, reason, bad_lines) of a staged table that hold a bad line."""
+    bad = rows.filter(F.col(CORRUPT).isNotNull())
+    return bad.groupBy("file_name").agg(
+        F.min(F.concat(F.lit("not a row: "), F.substring(CORRUPT, 1, 80))).alias("reason"),
+        F.count("*").alias("bad_lines"),
     )
 
 
+def good_files(rows: DataFrame) -> DataFrame:
+    """The rows of a staged table without the files that hold a bad line."""
+    bad = rows.filter(F.col(CORRUPT).isNotNull()).select("file_name").distinct()
+    return join_dimension(rows, bad, "file_name", "left_anti").drop(CORRUPT)
+
+
 def read_plays(spark: SparkSession, path: str) -> DataFrame:
     """Landed flat plays."""
     return read_json(spark, path, schema.PLAY)
