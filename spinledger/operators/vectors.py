@@ -1,16 +1,14 @@
-"""Scaled feature vectors with cosine neighbours, and non-negative factorisation by ALS."""
+"""Scaled feature vectors with cosine neighbours."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinledger.functions.joins import join_dimension
-from spinledger.functions.ranking import exact_row_number, top_per_group
+from spinledger.functions.ranking import top_per_group
 from spinledger.operators.strategies import favourite_tracks
 
 # The features that describe a track.
@@ -85,38 +83,3 @@ def similar_by_vector(vectors: DataFrame, seed_ids: DataFrame, n: int = 10) -> D
 def neighbours_of_favourites(features: DataFrame, seeds: int = 10, n: int = 10) -> DataFrame:
     vectors = track_vectors(features)
     return similar_by_vector(vectors, favourite_tracks(features, n=seeds), n)
-
-
-def numbered(df: DataFrame, name: str, out: str) -> DataFrame:
-    """Every distinct value with a dense number from 0, worked out on the cluster."""
-    number = (F.col(out) - 1).cast("int")
-    return exact_row_number(df.select(name).distinct(), [name], out).withColumn(out, number)
-
-
-def factorise(
-    interactions: DataFrame, rank: int = 20, iterations: int = 10, reg: float = 0.1, n: int = 10
-) -> DataFrame:
-    """Top genres per user from a non-negative factorisation of user by genre preferences.
-
-    Alternating least squares spreads users and genres over the cluster. The scores are not
-    those of other solvers.
-    """
-    named = interactions.filter(
-        F.col("primary_genre").isNotNull() & F.col("user_id").isNotNull()
-    ).select(F.col("user_id").cast("string").alias("user_id"), "primary_genre", "weighted_preference")
-    users, genres = numbered(named, "user_id", "_user"), numbered(named, "primary_genre", "_genre")
-    indexed = join_dimension(named.join(users, "user_id"), genres, "primary_genre", "inner")
-    als = ALS(
-        rank=rank, maxIter=iterations, regParam=reg, implicitPrefs=True, nonnegative=True, seed=42,
-        userCol="_user", itemCol="_genre", ratingCol="weighted_preference",
-    )
-    model = als.fit(indexed)
-    top = model.recommendForAllUsers(n).select("_user", F.explode("recommendations").alias("r"))
-    flat = top.select("_user", F.col("r._genre").alias("_genre"), F.col("r.rating").alias("score"))
-    named = join_dimension(flat, genres, "_genre", "inner").join(users, "_user")
-    return named.select(
-        "user_id",
-        F.col("primary_genre").alias("genre"),
-        F.col("score").cast("double").alias("score"),
-        F.lit("collaborative_filtering").alias("recommendation_type"),
-    )

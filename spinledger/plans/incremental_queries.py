@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from spinledger.operators import feeds, flatten, silver, vectors
+from spinledger.operators import factors, feeds, flatten, silver, vectors
 from spinledger.operators.features import genre_interactions
-from spinledger.plans.catalogue import joined_text, query
+from spinledger.plans.catalogue import joined_text, query, rounded
 from spinledger.plans.features_queries import track_features
 from spinledger.plans.oracle import half_up, sql
 from spinledger.sources import landing, tables
@@ -219,37 +219,97 @@ def cosine_neighbours(t):
     return vectors.neighbours_of_favourites(track_features(t))
 
 
+RANK, UPDATES = 3, 4
+
+
+def likings(t):
+    from spinledger.functions.timeparts import add_local_time
+
+    plays = add_local_time(silver.with_artist(t.plays_events, t.artists))
+    return genre_interactions(plays, t.as_of, user="user_id", min_plays=1)
+
+
+def updates_sql() -> str:
+    """The multiplicative updates as relations: w and h with a number from the iteration."""
+    start = "0.5 + CAST('0x' || left(md5({} || ':' || f), 4) AS INTEGER) / 65536.0"
+    parts = [
+        f"fs AS (SELECT unnest(range({RANK})) AS f)",
+        """v AS MATERIALIZED (SELECT CAST(user_id AS VARCHAR) AS u, primary_genre AS g,
+  count(*) * exp(-avg(date_diff('day', local_date, as_of)) / 30.0) AS x
+  FROM silver CROSS JOIN last_day WHERE primary_genre IS NOT NULL AND user_id IS NOT NULL
+    AND local_date >= as_of - 180 GROUP BY ALL)""",
+        """sizes AS (SELECT count(DISTINCT g) * 0.05 AS lw, count(DISTINCT u) * 0.05 AS lh FROM v)""",
+        f"w0 AS (SELECT u, f, {start.format('u')} AS x FROM (SELECT DISTINCT u FROM v), fs)",
+        f"h0 AS (SELECT g, f, {start.format('g')} AS x FROM (SELECT DISTINCT g FROM v), fs)",
+    ]
+    for i in range(UPDATES):
+        parts += [
+            f"hh{i} AS (SELECT a.f AS f, b.f AS e, sum(a.x * b.x) AS x FROM h{i} a JOIN h{i} b USING (g) GROUP BY ALL)",
+            f"""w{i + 1} AS MATERIALIZED (SELECT w.u, w.f, w.x * n.x / (d.x + lw + lw * w.x) AS x
+  FROM w{i} w CROSS JOIN sizes
+  JOIN (SELECT u, f, sum(v.x * h.x) AS x FROM v JOIN h{i} h USING (g) GROUP BY ALL) n USING (u, f)
+  JOIN (SELECT u, hh.e AS f, sum(w.x * hh.x) AS x FROM w{i} w JOIN hh{i} hh USING (f) GROUP BY ALL) d
+    USING (u, f))""",
+            f"ww{i} AS (SELECT a.f AS f, b.f AS e, sum(a.x * b.x) AS x FROM w{i + 1} a JOIN w{i + 1} b USING (u) GROUP BY ALL)",
+            f"""h{i + 1} AS MATERIALIZED (SELECT h.g, h.f, h.x * n.x / (d.x + lh + lh * h.x) AS x
+  FROM h{i} h CROSS JOIN sizes
+  JOIN (SELECT g, f, sum(v.x * w.x) AS x FROM v JOIN w{i + 1} w USING (u) GROUP BY ALL) n USING (g, f)
+  JOIN (SELECT g, ww.e AS f, sum(h.x * ww.x) AS x FROM h{i} h JOIN ww{i} ww USING (f) GROUP BY ALL) d
+    USING (g, f))""",
+        ]
+    return "WITH " + ",\n".join(parts) + "\n"
+
+
+@query(
+    "r24_factor_rows",
+    sql(
+        updates_sql()
+        + f"""SELECT 'user' AS side, u AS name, CAST(f AS INTEGER) AS factor, {half_up("x", 6)} AS value
+FROM w{UPDATES} UNION ALL SELECT 'genre', g, CAST(f AS INTEGER), {half_up("x", 6)} FROM h{UPDATES}""",
+        "silver",
+        "last_day",
+    ),
+)
+def factor_rows(t):
+    """Factors of all users and genres after a few updates from the fixed start."""
+    found = factors.factorise(likings(t), RANK, UPDATES)
+    sides = [
+        rows.select(F.lit(side).alias("side"), F.col(name).alias("name"), F.posexplode("factors").alias("factor", "value"))
+        for side, name, rows in (("user", "user_id", found.users), ("genre", "genre", found.genres))
+    ]
+    return rounded(sides[0].union(sides[1]), "value")
+
+
 @query(
     "r24_genre_factors",
     sql(
-        """SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS users_above_limit,
-  CAST(0 AS BIGINT) AS negative_scores, CAST(0 AS BIGINT) AS unknown_genres
-FROM silver WHERE primary_genre IS NOT NULL AND user_id IS NOT NULL""",
+        """SELECT count(DISTINCT user_id) AS users,
+  count(DISTINCT user_id) * least(5, count(DISTINCT primary_genre)) AS recommended,
+  CAST(0 AS BIGINT) AS lost_pairs, CAST(0 AS BIGINT) AS negative_scores, true AS objective_falls
+FROM silver CROSS JOIN last_day WHERE primary_genre IS NOT NULL AND user_id IS NOT NULL
+  AND local_date >= as_of - 180""",
         "silver",
+        "last_day",
     ),
 )
 def genre_factors(t):
-    """Facts of the factorisation: users covered, limits kept."""
-    from spinledger.functions.timeparts import add_local_time
+    """Facts of a longer factorisation.
 
-    plays = add_local_time(silver.with_artist(t.plays_events, t.artists))
-    likes = genre_interactions(plays, t.as_of, user="user_id", min_plays=1)
-    factors = vectors.factorise(likes, rank=8, iterations=5, n=5)
-    known = likes.select(F.col("primary_genre").alias("genre"), F.lit(1).alias("known")).distinct()
-    return (
-        factors.join(known, "genre", "left")
-        .groupBy("user_id")
-        .agg(
-            F.count("*").alias("genres"),
-            F.count_if(F.col("score") < 0).alias("negative"),
-            F.count_if(F.col("known").isNull()).alias("unknown"),
-        )
-        .agg(
-            F.count("*").alias("users"),
-            F.count_if(F.col("genres") > 5).alias("users_above_limit"),
-            F.sum("negative").alias("negative_scores"),
-            F.sum("unknown").alias("unknown_genres"),
-        )
+    A lost pair is a user and a genre listened to of which one has no factors.
+    """
+    liked = likings(t).select("user_id", "primary_genre", "weighted_preference")
+    found = factors.factorise(liked, rank=8, iterations=10)
+    best = factors.best_genres(found, n=5)
+    pairs = liked.dropna().select(F.col("user_id").cast("string").alias("user_id"), F.col("primary_genre").alias("genre"))
+    kept = pairs.join(found.users, "user_id").join(found.genres, "genre").select("user_id", "genre")
+    falls = all(b <= a for a, b in zip(found.objective, found.objective[1:]))
+    lost = pairs.join(kept, ["user_id", "genre"], "left_anti").agg(F.count("*")).scalar()
+    return best.agg(
+        F.count_distinct("user_id").alias("users"),
+        F.count("*").alias("recommended"),
+        F.max(lost).alias("lost_pairs"),
+        F.count_if(F.col("score") < 0).alias("negative_scores"),
+        F.lit(falls).alias("objective_falls"),
     )
 
 

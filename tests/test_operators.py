@@ -318,3 +318,38 @@ def test_marts_scan_the_plays_once_and_expand_nothing(spark, tables):
         rows = mart(spark.createDataFrame([], tables.silver.schema).unionByName(plays, allowMissingColumns=True))
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert "Expand" not in plan and plan.count("FileScan parquet") == 1
+
+
+def test_factorisation_follows_the_updates_and_falls(spark):
+    import numpy as np
+
+    from spinledger.operators import factors
+
+    rng = np.random.default_rng(2)
+    v = rng.gamma(1.0, 5.0, (60, 7)) * (rng.random((60, 7)) < 0.5)
+    v[0] = 0
+    v[0, 6] = 1.0
+    rows = [(str(u), f"g{g}", float(v[u, g])) for u in range(60) for g in range(7) if v[u, g] > 0]
+    rows += [(None, "g1", 1.0), ("1", None, 1.0), ("2", "g1", None)]
+    schema = "user_id string, primary_genre string, weighted_preference double"
+    likes = spark.createDataFrame(rows, schema)
+    found = factors.factorise(likes, rank=4, iterations=6)
+    users = sorted({u for u, g, x in rows if u and g and x})
+    v = v[[int(u) for u in users]]
+    names = [f"g{g}" for g in range(7)]
+    w, h = factors.first_factors(users, 4), factors.first_factors(names, 4).T
+    lw, lh, objective = 0.05 * 7, 0.05 * len(users), []
+    for _ in range(6):
+        w = w * (v @ h.T) / (w @ h @ h.T + lw + lw * w)
+        loss = ((v - w @ h) ** 2).sum() / 2
+        objective.append(loss + lw * (w.sum() + (w**2).sum() / 2) + lh * (h.sum() + (h**2).sum() / 2))
+        h = h * (w.T @ v) / (w.T @ w @ h + lh + lh * h)
+    assert np.allclose(found.objective, objective, rtol=1e-6)
+    assert all(b < a for a, b in zip(found.objective, found.objective[1:]))
+    got = {r.user_id: r.factors for r in found.users.collect()}
+    assert sorted(got) == users and np.allclose([got[u] for u in users], w)
+    best = factors.best_genres(found, 3).filter("user_id = '0'").orderBy("rank").collect()
+    order = np.argsort(-(w[users.index("0")] @ h), kind="stable")[:3]
+    assert [r.genre for r in best] == [names[i] for i in order]
+    empty = factors.factorise(spark.createDataFrame([], schema), 2, 2)
+    assert factors.best_genres(empty).count() == 0
