@@ -2,42 +2,47 @@
 
 A phrase of two to four words is a candidate if it occurs ``MIN_COUNT`` times in its language.
 A sample of the documents proposes phrases, level by level. One pass over all documents then
-counts, exactly, every proposed phrase and the negative border: phrases that were not proposed
-although both phrases of one word less inside them were (all words are border or proposed). A
-border phrase that turns out frequent is a failure; it may have longer frequent phrases that
-nobody counted. Failures join the proposals, and further passes count what is new inside the
-wider border, until no failure is left. Then every frequent phrase has been counted, whatever
-the sample was; a bad sample costs passes (four at most, one per length), never results.
+counts every proposed phrase and the negative border: phrases that were not proposed although
+both phrases of one word less inside them were (all words are proposed or border). A border
+phrase that turns out frequent is a failure; it may have longer frequent phrases that nobody
+counted. Failures join the proposals, and further passes count what is new inside the wider
+border, until no failure is left. Then every frequent phrase has been counted, whatever the
+sample was; a bad sample costs passes (four at most, one per length), never results.
+
+Nearly all of the border is rare, so these passes count 64-bit hashes of phrases. Phrases that
+share a hash can only seem more frequent. A last pass counts the texts of all phrases whose hash
+is frequent, and these counts, per language and text, are the result: exact for any hash.
 
 The tasks must know the proposals, whose number grows with the corpus. They get a Bloom filter of
 at most ``FILTER_BITS`` bits. A false positive only makes a task count a phrase more than it had
-to; counts are sums per phrase text, so they stay exact. The border is never listed: a task
-counts an occurrence where the two shorter phrases pass the filter. The filter only gains bits
-from pass to pass, so that a pass knows which phrases earlier ones have counted.
+to. The border is never listed: a task counts an occurrence where the two shorter phrases pass
+the filter. The filter only gains bits from pass to pass, so that a pass knows which phrases
+earlier ones have counted.
 
-Batches are counted with numpy inside the tasks, then summed by Spark on (language, phrase),
-which spreads a hot language; candidates meet the counts of their parts in joins that adaptive
-execution may split.
+Batches are counted with numpy inside the tasks, then summed by Spark per hash or (language,
+phrase), which spreads a hot language; candidates meet the counts of their parts in joins that
+adaptive execution may split.
 
 Defined cases: a null language is ``und``; null and empty texts have no words; equal rows count
 as often as they occur; ties in a cut's score go to the shorter first part, in rank to the
-phrase; an empty table gives no rows; columns other than text and language are not read.
+phrase; an empty table gives no rows; columns other than doc_id (which only deals the sample),
+text and language are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spinledger.functions.ranking import top_per_group
 from spinledger.llm.common import small_batches, text_of, written
-from spinledger.llm.words import byte_class, column, cut, gathered
+from spinledger.llm.words import Words, byte_class, byte_hashes, column, cut, gathered
 
 MIN_COUNT = 30
 LONGEST = 4
@@ -49,10 +54,11 @@ SAMPLE_COUNT = 2
 FILTER_BITS = 1 << 28
 BITS_PER_PHRASE = 24
 #: Bytes of text that a task counts at once.
-RUN_BYTES = 16 << 20
+RUN_BYTES = 8 << 20
 
 BREAKS = byte_class(*[(ord(c), ord(c)) for c in ".,;:!?"], (0x0A, 0x0D))
 BLANKS = byte_class((0x20, 0x20), (0x09, 0x09))
+HASHED = "h long, n long"
 COUNTED = "lang string, phrase string, words int, n long"
 
 
@@ -67,15 +73,18 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def levelled(h: np.ndarray, level: int) -> np.ndarray:
+    """Hashes that hold the number of words, less one, in their last two bits."""
+    return (h & ~np.uint64(3)) | np.uint64(level - 1)
+
+
 def word_hashes(words: pa.Array, lang: str) -> np.ndarray:
-    seed = xxhash.xxh64_intdigest(lang) & 0xFFFF_FFFF
-    values = (xxhash.xxh64_intdigest(w, seed) for w in words.cast(pa.large_binary()).to_pylist())
-    return np.fromiter(values, np.uint64, len(words))
+    return levelled(mixed(byte_hashes(words, zlib.crc32(lang.encode()))), 1)
 
 
-def longer(shorter: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hashes of phrases with one word more at the end."""
-    return mixed(shorter * np.uint64(3) + word)
+def longer(shorter: np.ndarray, word: np.ndarray, level: int) -> np.ndarray:
+    """Hashes of phrases of ``level`` words, from those of one word less and the last word."""
+    return levelled(mixed(shorter * np.uint64(3) + word), level)
 
 
 class Filter:
@@ -98,49 +107,28 @@ class Filter:
         return found
 
 
-def phrase_hashes(phrases: pa.Array, lang: str) -> np.ndarray:
-    """Hashes of phrase texts, equal to those of their occurrences."""
-    words = cut(phrases, BLANKS)
-    if not len(words.ids):
-        return np.zeros(0, np.uint64)
-    h = word_hashes(words.distinct, lang)[words.ids]
-    first = np.flatnonzero(np.r_[True, words.row[1:] != words.row[:-1]])
-    size = np.diff(np.r_[first, len(h)])
-    out = h[first]
-    for i in range(1, LONGEST):
-        more = size > i
-        out[more] = longer(out[more], h[first[more] + i])
-    return out
-
-
-def filter_of(phrases: DataFrame, bits: int, before: Filter | None) -> Filter:
-    """Filter of the phrases (lang, phrase) and of all that an earlier filter holds.
+def filter_of(hashes: DataFrame, bits: int, before: Filter | None) -> Filter:
+    """Filter of the hashes (h) and of all that an earlier filter holds.
 
-    The tasks OR the bits of their phrases; at most ``bits / 64`` words reach the driver.
+    The tasks OR the bits of their hashes; at most ``bits / 64`` words reach the driver.
     """
     mask = np.uint64(bits - 1)
 
     def set_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in gathered(batches, "phrase", RUN_BYTES):
-            langs = column(table, "lang")
-            for lang in langs.unique().to_pylist():
-                texts = column(table.filter(pc.equal(langs, lang)).combine_chunks(), "phrase")
-                places = np.concatenate([*Filter.places(phrase_hashes(texts, lang), mask)])
-                if not len(places):
-                    continue
-                places = np.unique(places)
-                word = (places >> np.uint64(6)).astype(np.int64)
-                first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-                held = np.bitwise_or.reduceat(np.uint64(1) << (places & np.uint64(63)), first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(word[first]), pa.array(held.view(np.int64))], ["word", "held"]
-                )
-
-    rows = phrases.select("lang", "phrase").mapInArrow(set_bits, "word long, held long")
+        for batch in batches:
+            h = batch.column("h").to_numpy().view(np.uint64)
+            places = np.unique(np.concatenate([*Filter.places(h, mask)]))
+            word = (places >> np.uint64(6)).astype(np.int64)
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])[: len(word)]
+            held = np.bitwise_or.reduceat(np.uint64(1) << (places & np.uint64(63)), first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word[first]), pa.array(held.view(np.int64))], ["word", "held"]
+            )
+
+    rows = hashes.select("h").mapInArrow(set_bits, "word long, held long")
     found = rows.groupBy("word").agg(F.bit_or("held").alias("held")).toArrow()
     words = np.zeros(bits // 64, np.uint64) if before is None else before.bits.view(np.uint64).copy()
-    place = found.column("word").to_numpy()
-    words[place] |= found.column("held").to_numpy().view(np.uint64)
+    words[found.column("word").to_numpy()] |= found.column("held").to_numpy().view(np.uint64)
     return Filter(words.view(np.uint8))
 
 
@@ -186,51 +174,78 @@ def rows_of(lang: str, phrases: pa.Array, words: int, counts: np.ndarray) -> pa.
     )
 
 
-def counted_in(
-    texts: pa.Array, lang: str, known: Filter | None, before: Filter | None, levels: tuple[int, ...]
-) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases of one language in some texts.
+def places_of(
+    words: Words, hashes: np.ndarray, known: Filter, before: Filter | None, last: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, places, hashes) of the phrases of two to ``last`` words to count.
 
     A phrase of k words counts where both phrases of k - 1 words inside it pass ``known`` and not
-    both passed ``before``. A row of zero words holds the number of all words.
+    both passed ``before``.
     """
-    words = cut(texts, BREAKS | BLANKS, BREAKS)
-    distinct, total = len(words.distinct), len(words.ids)
-    if 1 in levels:
-        yield rows_of(lang, pa.array([""]), 0, np.array([total]))
-        if total:
-            yield rows_of(lang, words.distinct, 1, np.bincount(words.ids, minlength=distinct))
-    if not total or known is None:
-        return
-    hashes = word_hashes(words.distinct, lang)
-    inside = known.holds(hashes)[words.ids]
-    earlier = np.zeros(total, bool) if before is None else before.holds(hashes)[words.ids]
-    held = hashes[words.ids]
-    single = held
-    for k in range(2, max(levels) + 1):
+    inside, single = known.holds(hashes)[words.ids], hashes[words.ids]
+    earlier = np.zeros(len(inside), bool) if before is None else before.holds(hashes)[words.ids]
+    held = single
+    for k in range(2, last + 1):
         inside[:-1] &= inside[1:] & words.joined[:-1]
         earlier[:-1] &= earlier[1:] & words.joined[:-1]
         inside[-1] = earlier[-1] = False
         places = np.flatnonzero(inside)
-        if not len(places):
-            return
-        if k in levels:
-            new = places[~earlier[places]]
-            if len(new):
-                found, counts = told_apart([words.ids[new + i] for i in range(k)], distinct)
-                texts_of = [words.distinct.take(pa.array(ids)) for ids in found]
-                yield rows_of(lang, pc.binary_join_element_wise(*texts_of, pa.scalar(" ", pa.large_string())), k, counts)
-        if k < max(levels):
-            now = np.zeros(total, np.uint64)
-            now[places] = longer(held[places], single[places + k - 1])
-            held = now
+        now = np.zeros(len(inside), np.uint64)
+        now[places] = longer(held[places], single[places + k - 1], k)
+        held, new = now, places[~earlier[places]]
+        yield k, new, held[new]
+        if k < last:
             inside[places] = known.holds(held[places])
             if before is not None:
                 old = np.flatnonzero(earlier)
                 earlier[old] = before.holds(held[old])
 
 
-def count_phrases(
+def hashed_counts(
+    texts: pa.Array, lang: str, known: Filter | None, before: Filter | None, levels: tuple[int, ...]
+) -> Iterator[pa.RecordBatch]:
+    """Rows (h, n) of the phrases of one language in some texts."""
+    words = cut(texts, BREAKS | BLANKS, BREAKS)
+    if not len(words.ids):
+        return
+    hashes = word_hashes(words.distinct, lang)
+    if 1 in levels:
+        counts = np.bincount(words.ids, minlength=len(hashes))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["h", "n"])
+    if known is None:
+        return
+    for k, _, own in places_of(words, hashes, known, before, max(levels)):
+        if k in levels and len(own):
+            h, counts = np.unique(own, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(counts)], ["h", "n"])
+
+
+def text_counts(texts: pa.Array, lang: str, frequent: Filter) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, phrase, words, n) of the phrases whose hash passes, and of all words as zero
+    words."""
+    words = cut(texts, BREAKS | BLANKS, BREAKS)
+    yield rows_of(lang, pa.array([""]), 0, np.array([len(words.ids)]))
+    if not len(words.ids):
+        return
+    hashes, distinct = word_hashes(words.distinct, lang), len(words.distinct)
+    known, counts = np.flatnonzero(frequent.holds(hashes)), np.bincount(words.ids, minlength=distinct)
+    yield rows_of(lang, words.distinct.take(pa.array(known)), 1, counts[known])
+    for k, places, own in places_of(words, hashes, frequent, None, LONGEST):
+        places = places[frequent.holds(own)]
+        if len(places):
+            found, counts = told_apart([words.ids[places + i] for i in range(k)], distinct)
+            parts = [words.distinct.take(pa.array(ids)) for ids in found]
+            joined = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
+            yield rows_of(lang, joined, k, counts)
+
+
+def by_language(table: pa.Table) -> Iterator[tuple[str, pa.Array]]:
+    langs = column(table, "lang")
+    for lang in langs.unique().to_pylist():
+        yield lang, column(table.filter(pc.equal(langs, lang)).combine_chunks(), "text")
+
+
+def count_hashes(
     docs: DataFrame,
     known: Filter | None,
     before: Filter | None,
@@ -238,23 +253,37 @@ def count_phrases(
     least: int,
     name: str,
 ) -> DataFrame:
-    """Written rows (lang, phrase, words, n) of the phrases that occur ``least`` times, and of
-    zero words."""
+    """Written rows (h, n) of the phrases that occur ``least`` times."""
     spark = docs.sparkSession
     filters = spark.sparkContext.broadcast((known, before))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, before = filters.value
         for table in gathered(batches, "text", RUN_BYTES):
-            langs = column(table, "lang")
-            for lang in langs.unique().to_pylist():
-                texts = column(table.filter(pc.equal(langs, lang)).combine_chunks(), "text")
-                yield from counted_in(texts, lang, known, before, levels)
+            for lang, texts in by_language(table):
+                yield from hashed_counts(texts, lang, known, before, levels)
+
+    with small_batches(spark, 1000):
+        sums = docs.mapInArrow(count, HASHED).groupBy("h").agg(F.sum("n").alias("n"))
+        return written(sums.filter(F.col("n") >= least), name)
+
+
+def count_texts(docs: DataFrame, frequent: Filter, least: int) -> DataFrame:
+    """Written rows (lang, phrase, words, n) of phrases that occur ``least`` times, and of zero
+    words."""
+    spark = docs.sparkSession
+    handed = spark.sparkContext.broadcast(frequent)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = handed.value
+        for table in gathered(batches, "text", RUN_BYTES):
+            for lang, texts in by_language(table):
+                yield from text_counts(texts, lang, frequent)
 
     with small_batches(spark, 1000):
         rows = docs.mapInArrow(count, COUNTED)
         sums = rows.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-        return written(sums.filter((F.col("n") >= least) | (F.col("words") == 0)), name)
+        return written(sums.filter((F.col("n") >= least) | (F.col("words") == 0)), "frequent")
 
 
 def frequent_phrases(
@@ -273,35 +302,30 @@ def frequent_phrases(
 
     proposed, known, bits = None, None, 1 << 16
     for level in range(1, LONGEST):  # phrases of LONGEST words are counted, never extended
-        found = count_phrases(sample, known, None, (level,), lowered, f"proposed{level}")
-        found = found.filter("words > 0")
+        found = count_hashes(sample, known, None, (level,), lowered, f"proposed{level}")
         proposed = found if proposed is None else proposed.union(found)
-        size = found.count()
         if level == 1:
             # room for the longer phrases and for failures; the size stays for all passes
-            while bits < min(FILTER_BITS, 8 * BITS_PER_PHRASE * size):
+            size = min(FILTER_BITS, 8 * BITS_PER_PHRASE * found.count())
+            while bits < size:
                 bits *= 2
         known = filter_of(found, bits, known)
-        if not size:
-            break
 
-    counted = count_phrases(rows, known, None, tuple(range(1, LONGEST + 1)), least, "pass1")
-    news, done = counted, proposed
-    for number in range(2, LONGEST + 2):
-        extendable = news.filter(F.col("words").between(1, LONGEST - 1))
-        failures = written(
-            extendable.join(done.select("lang", "phrase"), ["lang", "phrase"], "left_anti"), "failures"
-        )
+    everything = tuple(range(1, LONGEST + 1))
+    counted = news = count_hashes(rows, known, None, everything, least, "pass1")
+    done = proposed.select("h")
+    while True:
+        shorter = news.filter(F.col("h").bitwiseAND(F.lit(3)) < LONGEST - 1)
+        failures = written(shorter.join(done, "h", "left_anti"), "failures")
         missed = failures.count()
         if passes is not None:
             passes.append(missed)
         if not missed:
             break
         wider = filter_of(failures, bits, known)
-        news = count_phrases(rows, wider, known, tuple(range(2, LONGEST + 1)), least, f"pass{number}")
-        known, done = wider, done.unionByName(failures)
-        counted = counted.unionByName(news)
-    return counted
+        news = count_hashes(rows, wider, known, everything[1:], least, "more")
+        known, done, counted = wider, done.union(failures.select("h")), counted.union(news)
+    return count_texts(rows, filter_of(counted, bits, None), least)
 
 
 # ---------------------------------------------------------------------------

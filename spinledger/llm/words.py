@@ -65,15 +65,32 @@ def cut(texts: pa.Array, separators: np.ndarray, breaks: np.ndarray | None = Non
         len(starts), pa.py_buffer(kept), pa.py_buffer(raw[inside])
     )
     encoded = array.dictionary_encode()
-    row = np.searchsorted(offsets, starts, "right") - 1
-    joined = np.zeros(len(starts), dtype=bool)
-    joined[:-1] = row[1:] == row[:-1]
+    firsts = np.searchsorted(starts, offsets)
+    row = np.repeat(np.arange(len(texts)), np.diff(firsts))
+    joined = np.ones(len(starts) + 1, dtype=bool)
+    joined[firsts] = False  # no word follows in the same piece where another text begins
     if breaks is not None:
-        before = np.searchsorted(np.flatnonzero(breaks[raw]), starts)
-        joined[:-1] &= before[1:] == before[:-1]
+        joined[np.searchsorted(starts, np.flatnonzero(breaks[raw]))] = False
+    joined = joined[1:].copy()
+    joined[-1:] = False
     return Words(encoded.indices.to_numpy().astype(np.int64), encoded.dictionary, row, joined)
 
 
+def byte_hashes(words: pa.Array, seed: int) -> np.ndarray:
+    """A polynomial 64-bit hash of each non-empty word, for uses that survive collisions."""
+    _, offsets, data = words.cast(pa.large_string()).buffers()
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    sizes = np.diff(offsets)
+    place = np.arange(len(raw)) - np.repeat(offsets[:-1] - offsets[0], sizes)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(sizes.max(), 0x9E3779B97F4A7C15, np.uint64))
+        sums = np.add.reduceat((raw + np.uint64(seed)) * powers[place], offsets[:-1] - offsets[0])
+    return sums
+
+
 def gathered(
     batches: Iterable[pa.RecordBatch], column: str, limit: int
 ) -> Iterator[pa.Table]:
