@@ -2,18 +2,20 @@
 
 Learning takes a bounded sample of labelled rows (``MAX_LABELLED``, chosen by a hash of the id, all
 of them where there are fewer). They give the lexicon: words, and stems that begin several words,
-whose document frequency among toxic rows is far above that among others. A small logistic
+whose document frequency among toxic rows is far above that among others; it is bounded by this
+evidence in the sample alone. A small logistic
 regression is fitted on what a lexicon finds in whole texts, each half of the rows read with the
 lexicon of the other half, so that words that are rare by chance earn no trust.
 
 Matching: the trie of all terms, read with up to one or two edits anywhere in a word (a letter
 more, less or another, or two neighbours swapped; none in terms below four letters), is a
 nondeterministic automaton, the intersection of the word's Levenshtein automaton with the trie. Its
-state sets are made deterministic as they are met and remembered. Only words that share a string
-with a term after as many deletions as the term allows edits, which all words near a term do, are
-read by it. An edit in a term of four letters counts ``SHORT`` of one in a longer term. Every hit is weighed by its
-window: quotation marks around it and words of reporting near it speak for quotation, direct
-address speaks for abuse.
+state sets are made deterministic as they are met and remembered by the worker from task to task.
+It reads only words that may share a string with a term after as many deletions as the term allows
+edits, which all words near a term do; these are found for whole batches of new words at once, by
+hashes of all their shortened forms. A false hit only costs the automaton's reading. An edit in a term of four letters counts ``SHORT`` of one in a longer term. Every hit is weighed
+by its window: quotation marks around it and words of reporting near it speak for quotation,
+direct address speaks for abuse.
 
 Defined cases: a null text is an empty one and scores as a text without hits; null ids and labels
 do not train; repeated rows score alike; with no toxic or no other labelled row every score is the
@@ -35,11 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spinledger.functions.joins import join_dimension
-from spinledger.llm.common import crc_remainder, text_of, written
+from spinledger.llm.common import crc_remainder, runs, text_of, written
 
 FOLDS = 5
 MAX_LABELLED = 20_000
-MAX_TERMS = 600
 MIN_ROWS = 3
 MIN_SHARE = 0.002
 MIN_LOG_ODDS = math.log(6)
@@ -51,6 +52,11 @@ QUOTED = 0.3
 ADDRESSED = 1.2
 SHORT = 0.5
 CACHE = 400_000
+#: Places of the table of shortened terms, and shortest words with two edits from a term of nine.
+PLACES = 22
+TWICE = 7
+#: Bytes of text whose words are looked up together.
+RUN = 1 << 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 QUOTES = "\"“”„«»‹›"
 REPORTING = frozenset(
@@ -95,26 +101,69 @@ def flushed(counts: dict[tuple[str, bool], list[int]]) -> pa.RecordBatch:
 
 
 def lexicon(sample: DataFrame, toxic: int, clean: int) -> list[tuple[str, bool, float]]:
-    """At most ``MAX_TERMS`` terms (text, is a stem, weight) from rows (text, toxic)."""
+    """Terms (text, is a stem, weight) from rows (text, toxic).
+
+    A stem that a single word accounts for is no term. Every term needs its rows in the bounded
+    sample, which bounds their number.
+    """
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     least = max(MIN_ROWS, math.ceil(MIN_SHARE * toxic))
-    found = (
+    terms = written(
         sample.mapInArrow(frequencies, "term string, stem boolean, clean long, toxic long")
         .groupBy("term", "stem")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter(F.col("toxic") >= least)
         .withColumn("weight", odds)
-        .filter(F.col("weight") >= MIN_LOG_ODDS)
-        .orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "term", "stem")
-        .limit(3 * MAX_TERMS)
-    ).collect()
-    words = {row.term: row.toxic for row in found if not row.stem}
-    lone: dict[str, int] = {}  # the most frequent word that a stem begins
-    for word, count in words.items():
-        for n in STEM_LENGTHS:
-            lone[word[:n]] = max(count, lone.get(word[:n], 0))
-    kept = [r for r in found if not r.stem or r.toxic >= SEVERAL * lone.get(r.term, 0)]
-    return [(row.term, row.stem, row.weight) for row in kept[:MAX_TERMS]]
+        .filter(F.col("weight") >= MIN_LOG_ODDS),
+        "terms",
+    )
+    begun = F.explode(F.array(*[F.substring("term", 1, n) for n in STEM_LENGTHS])).alias("term")
+    lone = terms.filter("NOT stem").select(begun, "toxic").groupBy("term").agg(F.max("toxic").alias("_lone"))
+    several = F.col("toxic") >= SEVERAL * F.coalesce("_lone", F.lit(0))
+    kept = terms.join(lone, "term", "left").filter(~F.col("stem") | several)
+    order = [F.desc(F.col("weight") * F.sqrt("toxic")), "term", "stem"]
+    return [(row.term, row.stem, row.weight) for row in kept.orderBy(*order).collect()]
+
+
+def shortened(words: list[str], most: int) -> Iterator[np.ndarray]:
+    """Hashes of words of one length less up to ``most`` letters, a row per choice of letters.
+
+    Equal strings have equal hashes: with P ** k at the k-th letter kept, what follows a letter
+    left out moves down by one power, which three prefix sums per word give for every choice.
+    """
+    size = len(words[0])
+    letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+    letters = letters.reshape(len(words), size).T.astype(np.uint64) + np.uint64(1)
+    powers = np.cumprod(np.full(size + 3, 0x9E3779B97F4A7C15, np.uint64))[:, None]
+    kept = []
+    for moved in range(3):
+        sums = np.zeros((size + 1, len(words)), np.uint64)
+        np.cumsum(letters * powers[2 - moved : 2 - moved + size], axis=0, out=sums[1:])
+        kept.append(sums)
+    whole, once, twice = kept
+    yield whole[size]
+    if most:
+        for i in range(size):
+            yield whole[i] + once[size] - once[i + 1]
+    if most > 1:
+        for i in range(size - 1):
+            before = whole[i] - once[i + 1] + twice[size]
+            for j in range(i + 1, size):
+                yield before + once[j] - twice[j + 1]
+
+
+def places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of the table for each hash."""
+    spread = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    second = (spread >> np.uint64(64 - 2 * PLACES)) & np.uint64((1 << PLACES) - 1)
+    return (spread >> np.uint64(64 - PLACES)).astype(np.int64), second.astype(np.int64)
+
+
+def by_length(words: list[str]) -> dict[int, list[str]]:
+    out: dict[int, list[str]] = {}
+    for word in words:
+        out.setdefault(len(word), []).append(word)
+    return out
 
 
 @dataclass
@@ -122,13 +171,11 @@ class Automaton:
     """The lexicon's trie read with edits; deterministic states are made when first met."""
 
     terms: list[tuple[str, bool, float]]
-    anywhere: bool = False  # edits of the first letter too, and swaps as one edit
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     reach: list[int] = field(default_factory=lambda: [0])  # edits allowed below a node
     whole: dict[int, tuple[float, int]] = field(default_factory=dict)
     stems: dict[int, float] = field(default_factory=dict)
     short: set[int] = field(default_factory=set)  # ends of terms of four letters
-    shortened: dict[str, int] = field(default_factory=dict)  # terms less letters; most edits allowed
 
     def __post_init__(self):
         for term, stem, weight in self.terms:
@@ -146,27 +193,36 @@ class Automaton:
                 self.whole[node] = (weight, edits)
                 if len(term) == 4:
                     self.short.add(node)
-                if self.anywhere:
-                    self.reach[0] = max(self.reach[0], edits)
-                for less in without(term, edits):
-                    self.shortened[less] = max(edits, self.shortened.get(less, 0))
-        self.longest = max((len(t) for t, stem, _ in self.terms if not stem), default=0) + 2
-        self.most = max(self.shortened.values(), default=0)
+                self.reach[0] = max(self.reach[0], edits)
+        terms = [t for t, stem, _ in self.terms if not stem]
+        self.longest = max(map(len, terms), default=0) + 2
+        self.tables = [np.zeros(1 << PLACES, bool) for _ in range(2)]  # of one edit at most, of two
+        for group in by_length(terms).values():
+            edits = allowed(group[0])
+            for hashes in shortened(group, edits):
+                for at in places(hashes):
+                    self.tables[edits > 1][at] = True
+        self.words: dict[str, tuple[float, int] | None] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Start again with the first state; what is known of words stays."""
         start: dict[tuple[int, str], int] = {(0, ""): 0}
-        if self.anywhere:
-            for child in self.children[0].values():
-                self.add(start, child, 1)
+        for child in self.children[0].values():
+            self.add(start, child, 1)
         self.states = [tuple(sorted(start.items()))]
         self.items = len(start)
         self.numbers = {self.states[0]: 0}
         self.steps: list[dict[str, int]] = [{}]
-        self.words: dict[str, tuple[float, int] | None] = {}
 
     def add(self, best: dict[tuple[int, str], int], node: int, edits: int) -> None:
-        if edits <= self.reach[node] and edits < best.get((node, ""), 9):
+        most = self.reach[node]
+        if edits <= most and edits < best.get((node, ""), 9):
             best[node, ""] = edits
-            for child in self.children[node].values():  # a letter left out
-                self.add(best, child, edits + 1)
+            if edits < most:  # no more edits are allowed below a node than at it
+                for child in self.children[node].values():  # a letter left out
+                    if edits < self.reach[child]:
+                        self.add(best, child, edits + 1)
 
     def step(self, state: int, letter: str) -> int:
         """States hold (node, letter to come): edits; the letter is the second of a swapped pair."""
@@ -178,17 +234,23 @@ class Automaton:
                 continue
             if letter in self.children[node]:
                 child = self.children[node][letter]
-                if edits == 0 or edits <= self.reach[child]:
+                most = self.reach[child]
+                if edits == 0 or edits <= most:
                     best[child, ""] = min(edits, best.get((child, ""), 9))
-                    for below in self.children[child].values():
-                        self.add(best, below, edits + 1)
-            if node or self.anywhere:
-                self.add(best, node, edits + 1)  # a letter too many
-                for first, child in self.children[node].items():  # another letter
-                    self.add(best, child, edits + 1)
-                    swapped = self.children[child].get(letter) if self.anywhere else None
-                    if swapped and edits < self.reach[swapped]:
-                        best[swapped, first] = min(edits + 1, best.get((swapped, first), 9))
+                    if edits < most:
+                        for below in self.children[child].values():
+                            if edits < self.reach[below]:
+                                self.add(best, below, edits + 1)
+            if edits >= self.reach[node]:
+                continue
+            self.add(best, node, edits + 1)  # a letter too many
+            for first, child in self.children[node].items():  # another letter
+                if edits >= self.reach[child]:
+                    continue
+                self.add(best, child, edits + 1)
+                swapped = self.children[child].get(letter)
+                if swapped and edits < self.reach[swapped]:
+                    best[swapped, first] = min(edits + 1, best.get((swapped, first), 9))
         key = tuple(sorted(best.items()))
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
@@ -197,12 +259,29 @@ class Automaton:
             self.steps.append({})
         return self.numbers[key]
 
-    def match(self, word: str) -> tuple[float, int] | None:
-        """(weight, kind) of the best term near a word; kind: edits, 3 for a stem, 4 for a short term."""
+    def may_be_near(self, words: list[str]) -> np.ndarray:
+        """For words of one length, whether any may be near a term; never false for one that is."""
+        size, found = len(words[0]), np.zeros(len(words), bool)
+        if size > self.longest:
+            return found
+        for table, most in zip(self.tables, (1, 2 if size >= TWICE else -1), strict=True):
+            for hashes in shortened(words, most) if most > 0 else ():
+                first, second = places(hashes)
+                found |= table[first] & table[second]
+        return found
+
+    def meet(self, words: set[str]) -> None:
+        """Match all new words of a run of texts."""
         if len(self.words) > CACHE:
             self.words.clear()
         if self.items > CACHE:
-            self.__post_init__()
+            self.forget()
+        for group in by_length(sorted(words - self.words.keys())).values():
+            for word, near in zip(group, self.may_be_near(group).tolist(), strict=True):
+                self.match(word, near)
+
+    def match(self, word: str, near: bool = True) -> tuple[float, int] | None:
+        """(weight, kind) of the best term near a word; kind: edits, 3 for a stem, 4 for a short term."""
         found = stem = None
         node = 0
         for letter in word if self.stems else "":
@@ -211,7 +290,7 @@ class Automaton:
                 break
             if node in self.stems:
                 stem = (self.stems[node], 3)
-        if len(word) <= self.longest and any(less in self.shortened for less in without(word, self.most)):
+        if near and len(word) <= self.longest:
             state = 0
             for letter in word:
                 after = self.steps[state].get(letter)
@@ -220,12 +299,12 @@ class Automaton:
                 state = after
                 if not self.states[state]:
                     break
-            near = []
+            ends = []
             for (node, due), edits in self.states[state]:
                 if not due and node in self.whole and edits <= self.whole[node][1]:
                     low = edits > 0 and node in self.short
-                    near.append((edits, -self.whole[node][0] * (SHORT if low else 1), 4 if low else edits))
-            best = min(near, default=None)
+                    ends.append((edits, -self.whole[node][0] * (SHORT if low else 1), 4 if low else edits))
+            best = min(ends, default=None)
             found = (-best[1], best[2]) if best else None
         if stem and (found is None or found[1]):
             found = stem
@@ -245,17 +324,18 @@ def allowed(term: str) -> int:
     return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
-def without(word: str, n: int) -> Iterator[str]:
-    """A word less up to ``n`` (2 at most) of its letters."""
-    yield word
-    if not n:
-        return
-    once = {word[:i] + word[i + 1 :] for i in range(len(word))}
-    yield from once
-    if n > 1:
-        for less in once:
-            for i in range(len(less)):
-                yield less[:i] + less[i + 1 :]
+#: The automata of this worker by their terms; jobs of one query have three of them.
+KEPT: dict[tuple, Automaton] = {}
+
+
+def automaton_of(terms: list[tuple[str, bool, float]]) -> Automaton:
+    """The automaton of some terms, kept by the worker with all that it has met."""
+    key = tuple(terms)
+    if key not in KEPT:
+        if len(KEPT) > 2:
+            KEPT.clear()
+        KEPT[key] = Automaton(terms)
+    return KEPT[key]
 
 
 # -- scores -----------------------------------------------------------------
@@ -275,8 +355,16 @@ def quoted_words(text: str) -> set[int]:
     return inside
 
 
-def features(text: str, automaton: Automaton) -> list[float]:
-    words = words_of(text)
+def features_of(texts: list[str], automaton: Automaton) -> list[list[float]]:
+    out = []
+    for start, end in runs([len(t) for t in texts], RUN):
+        listed = [words_of(t) for t in texts[start:end]]
+        automaton.meet(set().union(*listed))
+        out += [features(t, words, automaton) for t, words in zip(texts[start:end], listed, strict=True)]
+    return out
+
+
+def features(text: str, words: list[str], automaton: Automaton) -> list[float]:
     hits = automaton.find(words)
     if not hits:
         return [0.0] * (FEATURES - 1) + [math.log1p(len(words))]
@@ -370,9 +458,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
 def extractor(terms: list[tuple[str, bool, float]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(terms, anywhere=True)
+        automaton = automaton_of(terms)
         for batch in batches:
-            rows = [features(t, automaton) for t in batch[0].to_pylist()]
+            rows = features_of(batch[0].to_pylist(), automaton)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.list_(pa.float64())), batch[1]], ["features", "toxic"]
             )
@@ -382,12 +470,9 @@ def extractor(terms: list[tuple[str, bool, float]]):
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with _score, the probability of the toxic label."""
-    kept: dict[str, Automaton] = {}
-
     def run(texts: pa.Array) -> pa.Array:
-        automaton = kept.setdefault("", None) or Automaton(model.terms, anywhere=True)
-        kept[""] = automaton
-        rows = np.array([features(t, automaton) for t in texts.to_pylist()])
+        automaton = automaton_of(model.terms)
+        rows = np.array(features_of(texts.to_pylist(), automaton))
         return pa.array(model.scores(rows.reshape(-1, FEATURES)))
 
     return docs.withColumn("_score", F.arrow_udf(run, "double")(text_of()))
