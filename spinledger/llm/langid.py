@@ -94,7 +94,10 @@ def words_of(text: str) -> Words:
     letters, lower, scripts = tables()
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     near = np.minimum(points, TABLE - 1)
-    is_letter = np.where(points < TABLE, letters[near], True)
+    is_letter = letters[near]
+    if (high := points >= TABLE).any():
+        some, inverse = np.unique(points[high], return_inverse=True)
+        is_letter[high] = np.array([chr(p).isalpha() for p in some])[inverse]
     folded = np.where(is_letter, np.where(points < TABLE, lower[near], points), 0).astype(np.uint64)
     padded = np.r_[np.zeros(1, np.uint64), folded, np.zeros(3, np.uint64)]
     at = np.nonzero(is_letter)[0]
