@@ -30,9 +30,11 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,12 +52,10 @@ WIDTHS = np.array([max(n.bit_length(), 1) for n in range(ESCAPE + 1)], np.uint8)
 TEXT_RUN = 1 << 20
 SEGMENT = 1 << 19
 CUT = re.compile(r"\S(?= \S)")
-SPACE = 32
-#: Bytes that are hashed together.
-HASHED = 1 << 21
-#: Slots of an encoder's memory of pieces, at most half of them filled.
-SLOTS_HELD = 1 << 21
-MASK = np.uint64(SLOTS_HELD - 1)
+#: White space of any script inside a piece.
+BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+#: An encoder's memory begins anew beyond so many pieces or signs of them.
+PIECES_HELD, SIGNS_HELD = 1 << 20, 1 << 24
 #: Entry of the line feed among lines, of a piece not met before, and of a dependent piece.
 NEWLINE, UNKNOWN, ODD = 0, -1, -2
 ROWS = 1000
@@ -96,14 +96,15 @@ def packed(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
 
 def selectors(bits: np.ndarray) -> np.ndarray:
     """Per position the densest selector whose ids from there on all fit."""
-    best = np.full(len(bits), len(SLOTS) - 1)
+    best = np.full(len(bits), len(SLOTS) - 1, np.int8)
     for s in range(len(SLOTS) - 1, -1, -1):
         n, wide = int(SLOTS[s]), bits > LANES[s]
         if len(bits) - np.count_nonzero(wide) < n:
             continue
         misfits = np.concatenate([[0], np.cumsum(wide, dtype=np.int32)])
-        ends = np.minimum(np.arange(len(bits)) + n, len(bits))
-        best[misfits[ends] == misfits[:-1]] = s
+        full = max(len(bits) - n, 0)
+        np.putmask(best[:full], misfits[n : n + full] == misfits[:full], s)
+        np.putmask(best[full:], misfits[full:-1] == misfits[-1], s)
     return best
 
 
@@ -179,43 +180,23 @@ def block(payload: bytes, number: int) -> np.ndarray:
 
 
 class Memory:
-    """Ids of pieces by a 128-bit hash: an open table of a fixed size, filled up to one half."""
+    """Ids of pieces by their text: those that begin a text, and those behind a space."""
 
     def __init__(self):
-        self.keys = np.zeros(SLOTS_HELD, np.uint64)
-        self.checks = np.zeros(SLOTS_HELD, np.uint64)
-        self.entries = np.zeros(SLOTS_HELD, np.int32)
-        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
-
-    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        """Entries of distinct pieces, UNKNOWN where there is none."""
-        out = np.full(len(keys), UNKNOWN, np.int32)
-        active, slots = np.arange(len(keys)), (keys & MASK).astype(np.int64)
-        while len(active):
-            held = self.keys[slots]
-            same = (held == keys[active]) & (self.checks[slots] == checks[active])
-            out[active[same]] = self.entries[slots[same]]
-            on = ~same & (held != 0)
-            active, slots = active[on], (slots[on] + 1) & int(MASK)
-        return out
+        # an empty beginning stands before a leading space
+        self.entries: tuple[dict[str, int], dict[str, int]] = ({"": 0}, {})
+        self.signs = 0
+        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(2, np.int64)
 
-    def add(self, keys: np.ndarray, checks: np.ndarray, entries: np.ndarray) -> None:
-        active, slots = np.arange(len(keys)), (keys & MASK).astype(np.int64)
-        while len(active):
-            free = self.keys[slots] == 0
-            at = slots[free]
-            self.keys[at], self.checks[at] = keys[active[free]], checks[active[free]]
-            # of several pieces for one slot the last stays, the others go on
-            placed = free & (self.keys[slots] == keys[active]) & (self.checks[slots] == checks[active])
-            self.entries[slots[placed]] = entries[active[placed]]
-            active, slots = active[~placed], (slots[~placed] + 1) & int(MASK)
+    def full(self) -> bool:
+        return self.signs > SIGNS_HELD or sum(map(len, self.entries)) > PIECES_HELD
 
     def keep(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Store the ids of new pieces; their entries."""
         first = len(self.starts) - 1
         self.ids = np.concatenate([self.ids, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        return np.arange(first, first + len(lengths), dtype=np.int32)
+        return np.arange(first, first + len(lengths))
 
 
 def gathered_ids(ids: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,31 +206,6 @@ def gathered_ids(ids: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[n
     return ids[flat], counts
 
 
-@cache
-def hash_tables() -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each hash: a number per byte, and powers of an odd base and of its inverse."""
-    rng, out = np.random.default_rng(11), []
-    for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-        powers = np.full(HASHED + 1, base, np.uint64)
-        back = np.full(HASHED + 1, pow(base, -1, 1 << 64), np.uint64)
-        powers[0] = back[0] = 1
-        numbers = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-        out.append((numbers, np.cumprod(powers), np.cumprod(back)))
-    return out
-
-
-def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """Two 64-bit hashes of every piece, as differences of running sums."""
-    found = []
-    for numbers, powers, back in hash_tables():
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(numbers[data] * powers[: len(data)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * back[starts]
-        found.append((h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
-    found[0] ^= found[0] >> np.uint64(29)
-    return [np.maximum(found[0], np.uint64(1)), found[1] ^ (ends - starts).astype(np.uint64)]
-
-
 class Encoder:
     """The tokenizers library with a bounded memory of pieces between single spaces.
 
@@ -275,15 +231,16 @@ class Encoder:
             out += [np.array(e.ids, np.uint32) for e in found]
         return out
 
-    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids and lengths of unknown pieces, and which of them are not independent."""
+    def learn(self, pieces: list[str], lead: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and lengths of unknown pieces behind ``lead``, and which are not independent."""
         lines: dict[str, int] = {}
         at, counts = [], []
         for piece in pieces:
-            own = piece.split("\n") if "\n" in piece else (piece,)
-            if any(uneven(x[x.startswith(" ") and not n :]) for n, x in enumerate(own)):
+            own = piece.split("\n")
+            if any(map(uneven, own)):
                 counts.append(0)
                 continue
+            own[0] = lead + own[0]
             for n, line in enumerate(own):
                 if n:
                     at.append(NEWLINE)
@@ -293,7 +250,7 @@ class Encoder:
         store = np.concatenate([[self.newline], ids]).astype(np.uint32)
         starts = np.concatenate([[0, 1], 1 + np.cumsum(lengths)])
         flat, sizes = gathered_ids(store, starts, np.array(at, np.int64))
-        upto, counts = np.concatenate([[0], np.cumsum(sizes)]), np.array(counts)
+        upto, counts = np.concatenate([[0], np.cumsum(sizes)]), np.array(counts, np.int64)
         ends = np.cumsum(counts)
         return flat, upto[ends] - upto[ends - counts], counts == 0
 
@@ -323,49 +280,47 @@ class Encoder:
             by_text[n].append(ids)
         return [np.concatenate(own) for own in by_text]
 
-    def encode_parts(self, texts: list[str]) -> list[np.ndarray]:
-        raw = [t.encode() for t in texts]
-        sizes = np.array([len(r) for r in raw])
-        joined = b"".join(raw)
-        data, first = np.frombuffer(joined, np.uint8), np.cumsum(sizes) - sizes
-        if len(data) > HASHED:
-            if len(texts) == 1:
-                return self.plain(texts)  # one unbroken run of signs, longer than the tables
-            half = len(texts) // 2
-            return self.encode_parts(texts[:half]) + self.encode_parts(texts[half:])
-        begins = data == SPACE
-        begins[first[sizes > 0]] = True
-        starts = np.nonzero(begins)[0]
-        ends = np.append(starts[1:], len(data))
-        keys, checks = piece_hashes(data, starts, ends)
-        keys, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        checks = checks[at]
-        if len(self.memory.starts) + len(keys) > SLOTS_HELD // 2:
-            self.memory = Memory()
-        entries = self.memory.find(keys, checks)
+    def entries_of(self, pieces: pa.StringArray, lead: str) -> np.ndarray:
+        """The memory's entry of every piece behind ``lead``; unknown pieces are learned."""
+        found = pieces.dictionary_encode()
+        texts, held = found.dictionary.to_numpy(zero_copy_only=False), self.memory.entries[len(lead)]
+        entries = np.fromiter(map(held.get, texts, repeat(UNKNOWN)), np.int64, len(texts))
         fresh = np.nonzero(entries == UNKNOWN)[0]
         if len(fresh):
-            spans = zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist(), strict=True)
-            ids, lengths, odd = self.learn([joined[a:b].decode() for a, b in spans])
-            entries[fresh] = np.where(odd, ODD, self.memory.keep(ids, lengths))
-            self.memory.add(keys[fresh], checks[fresh], entries[fresh])
-        per_piece = entries[inverse]
+            new = found.dictionary.take(pa.array(fresh))
+            blank = pc.or_(pc.match_substring_regex(new, BLANK), pc.equal(new, ""))
+            blank = blank.to_numpy(zero_copy_only=False)
+            one = fresh[~blank]  # one line each
+            ids, lengths = self.lines_of([lead + t for t in texts[one]])
+            entries[one] = self.memory.keep(ids, lengths)
+            several = fresh[blank]
+            ids, lengths, odd = self.learn(texts[several].tolist(), lead)
+            entries[several] = np.where(odd, ODD, self.memory.keep(ids, lengths))
+            held.update(zip(texts[fresh], entries[fresh].tolist(), strict=True))
+            self.memory.signs += pc.sum(pc.utf8_length(new)).as_py()
+        return entries[found.indices.to_numpy()]
+
+    def encode_parts(self, texts: list[str]) -> list[np.ndarray]:
+        if self.memory.full():
+            self.memory = Memory()
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        bounds, pieces = split.offsets.to_numpy(), split.values
+        begins = np.zeros(len(pieces), bool)
+        begins[bounds[:-1]] = True
+        per_piece = np.empty(len(pieces), np.int64)
+        for lead, here in (("", begins), (" ", ~begins)):
+            per_piece[here] = self.entries_of(pieces.filter(pa.array(here)), lead)
         ids, counts = gathered_ids(self.memory.ids, self.memory.starts, np.maximum(per_piece, 0))
-        upto, bounds = np.concatenate([[0], np.cumsum(counts)]), np.searchsorted(starts, first)
-        out = np.split(ids, upto[bounds[1:]])
-        odd_at = np.searchsorted(first, starts[per_piece == ODD], side="right") - 1
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        out = np.split(ids, upto[bounds[1:-1]])
+        odd = np.searchsorted(bounds, np.nonzero(per_piece == ODD)[0], side="right") - 1
         special = [n for n, t in enumerate(texts) if any(s in t for s in self.special)]
-        whole = sorted({*owners_of(odd_at, sizes, first), *special})
+        whole = sorted({*odd.tolist(), *special})
         for n, own in zip(whole, self.plain([texts[n] for n in whole]), strict=True):
             out[n] = own
         return out
 
 
-def owners_of(at: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> list[int]:
-    """Texts by the last of those that begin at one place, as empty ones before it do."""
-    return [n for n in np.unique(at).tolist() if sizes[n]] if len(first) else []
-
-
 def segments(text: str) -> list[str]:
     """Cut a long text at single spaces between other signs."""
     out, low = [], 0
@@ -388,10 +343,6 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def uneven(line: str) -> bool:
-    return not line or line[0].isspace() or line[-1].isspace()
-
-
 def encoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = encoder_of(path), 0

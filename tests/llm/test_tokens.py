@@ -47,7 +47,7 @@ def test_pieces_encode_like_whole_texts():
 def test_long_texts_are_cut_at_safe_places(monkeypatch):
     plain = Tokenizer.from_file(PATH)
     monkeypatch.setattr(tokens, "SEGMENT", 50)
-    monkeypatch.setattr(tokens, "HASHED", 400)
+    monkeypatch.setattr(tokens, "SIGNS_HELD", 400)
     encoder = tokens.Encoder(PATH)
     texts = ["word, and  two\nlines. " * 40, "x" * 300, "日本語 " * 90, "", "a b " * 100 + "\n\n"]
     for _ in range(2):
@@ -57,14 +57,23 @@ def test_long_texts_are_cut_at_safe_places(monkeypatch):
 
 def test_full_memory_starts_anew(monkeypatch):
     plain = Tokenizer.from_file(PATH)
-    monkeypatch.setattr(tokens, "SLOTS_HELD", 64)
-    monkeypatch.setattr(tokens, "MASK", np.uint64(63))
+    monkeypatch.setattr(tokens, "PIECES_HELD", 32)
     encoder = tokens.Encoder(PATH)
     for n in range(30):
         text = " ".join(f"w{n * k % 37}x{k}" for k in range(20))
         assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_are_told_apart_by_text():
+    plain = Tokenizer.from_file(PATH)
+    bits = [n.bit_count() & 1 for n in range(1024)]
+    texts = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+    encoder = tokens.Encoder(PATH)
+    for batch in (texts, [f"x {t} y" for t in texts], texts[::-1]):
+        want = [plain.encode(t, add_special_tokens=False).ids for t in batch]
+        assert [ids.tolist() for ids in encoder.encode(batch)] == want
+
+
 def test_files_hold_every_document(odd, none, clashing):
     plain = Tokenizer.from_file(PATH)
     rows = sorted(
