@@ -1,18 +1,21 @@
 """Main text of web pages by composite text density.
 
-The page is read into a tree of elements. Parts that are named as something else (menus, page
-headers and footers, sidebars, notices, adverts, scripts, comments, hidden parts) are left out. A
-name that is only a piece of a class or id, and a form, may also stand around the article: these are
-measured with the rest, and left out only where they do not hold its core; pieces of names inside
-the core also only where their density is below the threshold. A page of which nothing is left is
+The page is read into a tree of elements. Elements that never hold article text (scripts, menus,
+form controls, hidden parts) and reader comments are left out. Other names of menus, page headers
+and footers, sidebars, notices and adverts are only names: a named part that alone holds the page's
+article, main or first-rank heading, and in it the core by density, stands around the article and
+stays; the others go. A name that is only a piece of a class or id, and a form, are measured with
+the rest, and left out only where they do not hold the core; pieces of names inside the core also
+only where their density is below the threshold. A page of which nothing is left is
 read again with all names taken as pieces. Every remaining node has its characters and tags and
 those of its links, and from them a composite density: characters per tag, raised where little of
 them is link text. The node whose
 children's densities have the greatest sum is the core of the article; the least density on the
 path from the body down to it is the threshold that its surroundings must reach to belong to the
-article as well. An ``article`` or ``main`` element around the core bounds the article.
+article as well. An ``article`` or ``main`` element around the core bounds the article; lists of
+links inside it that lie below the threshold are left out.
 
-Text comes out as blocks: character references decoded, white space made one space, ends trimmed,
+Text comes out as blocks: character references decoded within each run of text, white space made one space, ends trimmed,
 blocks joined by a line feed in page order. Nothing is cut or limited in number.
 
 Defined cases: a null page or one without text has empty text; unclosed or stray tags, unclosed
@@ -52,20 +55,25 @@ BLOCKS = frozenset(
 #: Elements that never hold article text.
 DROPPED = frozenset(
     "script style noscript template iframe title head nav footer aside form button select option "
-    "input textarea svg canvas object embed audio video map menu dialog noframes xmp".split()
+    "input textarea label output legend datalist meter progress svg canvas object embed audio video "
+    "map menu dialog noframes xmp".split()
 )
 #: Words in class, id or role that name such a part.
 NAMED = frozenset(
     "ad ads adv advert adverts advertisement advertising adsbygoogle adbox sponsor sponsored promo "
     "promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidenav aside "
-    "complementary widget widgets footer contentinfo header masthead topbar toolbar comment comments "
-    "commentlist disqus respond reply replies cookie cookies consent gdpr notice notices notification "
+    "complementary widget widgets footer contentinfo header masthead topbar toolbar cookie cookies consent gdpr notice notices notification "
     "newsletter subscribe subscription signup login modal popup overlay share sharing social related "
     "recommended pagination pager skip search form alert paywall copyright".split()
 )
+#: The same for reader comments, and words beside them that tell a state of the page.
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+STATES = frozenset("no has with open closed enabled disabled".split())
 KEPT_ANYWAY = frozenset("html body article main".split())
+MARKS = frozenset("article main h1".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | frozenset("p blockquote pre ul ol dl table figure".split())
+LISTS = frozenset("ul ol dl div section table tbody tr td".split())
 #: An open element of the first kind ends where one of the second kind begins.
 ENDS = {
     "p": BLOCKS,
@@ -163,12 +171,27 @@ def ended(node: Node, tag: str) -> Node:
     return node
 
 
-def dropped(node: Node, names: set[str]) -> bool:
-    """By its tag, or by these of its names."""
-    if node.tag in KEPT_ANYWAY:
-        return node.tag == "article" and not names.isdisjoint({"comment", "comments", "reply"})
-    if node.tag in DROPPED and node.tag != "form" or hidden(node.attributes):
+def removed(node: Node) -> bool:
+    """By its tag or hidden, or as reader comments."""
+    if node.tag not in KEPT_ANYWAY and (
+        node.tag in DROPPED and node.tag != "form" or hidden(node.attributes)
+    ):
         return True
+    return bool(node.attributes) and node.tag not in ("html", "body", "main") and commented(node)
+
+
+def commented(node: Node) -> bool:
+    """A class, id or role speaks of comments, not of whether a page has any."""
+    if node.tag == "article":
+        return not names_of(node).isdisjoint(COMMENTS)
+    pieces = [set(re.split("[^a-z]+", name)) for name in names_of(node)]
+    return any(not p.isdisjoint(COMMENTS) and p.isdisjoint(STATES) for p in pieces)
+
+
+def named(node: Node, names: set[str]) -> bool:
+    """By these of its names it is something else than the article."""
+    if node.tag in KEPT_ANYWAY:
+        return False
     header = node.tag == "header" or "header" in names
     if header and in_article(node) and titled(node):
         return False  # the article's own head
@@ -203,7 +226,13 @@ def in_article(node: Node) -> bool:
 
 
 def titled(node: Node) -> bool:
-    return any(c.tag in HEADINGS or titled(c) for c in node.children())
+    waiting = [node]
+    while waiting:
+        children = list(waiting.pop().children())
+        if any(c.tag in HEADINGS for c in children):
+            return True
+        waiting += children
+    return False
 
 
 def pruned(root: Node, out: Callable[[Node], bool]) -> list[Node]:
@@ -217,16 +246,32 @@ def pruned(root: Node, out: Callable[[Node], bool]) -> list[Node]:
     return kept
 
 
+def around(nodes: list[Node], others: set[Node]) -> set[Node]:
+    """Named nodes that hold the only article of the page and its core: they stay."""
+    marks = [n for n in nodes if n.tag in MARKS and n not in others]
+    held = {m: others.intersection(m.above()) for m in marks} if others else {}
+    if not any(held.values()):
+        return set()
+    measure(nodes)
+    if any(m.chars and not names for m, names in held.items()):
+        return set()
+    best = max((n for n in nodes if n.tag not in ("html", "body")), key=lambda n: n.total)
+    return set().union(*held.values()).intersection((best, *best.above()))
+
+
 def article_nodes(page: str) -> list[Node]:
     """The measured nodes of a page without what surely, or by its density, is something else."""
     root = parse(page)
-    nodes = pruned(root, lambda n: dropped(n, names_of(n)))
+    nodes = pruned(root, removed)
+    others = {n for n in nodes[1:] if named(n, names_of(n))}
+    others -= around(nodes, others)
+    nodes = pruned(root, others.__contains__)
     measure(nodes)
     if not root.chars:
         root = parse(page)
-        nodes = pruned(root, lambda n: dropped(n, set()))
+        nodes = pruned(root, lambda n: removed(n) or named(n, set()))
         measure(nodes)
-    doubtful = {n for n in nodes[1:] if n.tag == "form" or dropped(n, pieces_of(n))}
+    doubtful = {n for n in nodes[1:] if n.tag == "form" or named(n, pieces_of(n))}
     inner = [n for n in nodes if n.tag not in ("html", "body") and n.chars]
     if not doubtful or not inner:
         return nodes
@@ -277,11 +322,12 @@ def core(nodes: list[Node]) -> list[Node | str]:
         return nodes[:1]
     best = max(inner, key=lambda n: n.total)
     path = [best, *(n for n in best.above() if n.tag not in ("html", "body"))]
+    threshold = min(n.density for n in path)
     for tag in ("article", "main"):
         bounds = [n for n in path if n.tag == tag]
         if bounds:
+            pruned(bounds[-1], lambda n: n not in path and link_list(n) and n.density < threshold)
             return bounds[-1:]
-    threshold = min(n.density for n in path)
     top = best
     while top.parent is not None and top.parent.tag not in ("html", "body"):
         beside = [c for c in top.parent.children() if c is not top and c.chars]
@@ -297,6 +343,10 @@ def core(nodes: list[Node]) -> list[Node | str]:
     ]
 
 
+def link_list(node: Node) -> bool:
+    return node.tag in LISTS and node.link_tags > 1 and node.link_chars * 2 > node.chars
+
+
 def belongs(node: Node, threshold: float) -> bool:
     return node.tag in PROSE and node.link_chars * 2 <= node.chars or node.density >= threshold
 
@@ -309,7 +359,7 @@ def blocks(node: Node | str, out: list[list[str]]) -> None:
         if part is None:
             out.append([])
         elif isinstance(part, str):
-            out[-1].append(part)
+            out[-1].append(html.unescape(part))
         elif part.tag == "br":
             out.append([])
         else:
@@ -325,7 +375,7 @@ def main_text(page: str) -> str:
     out: list[list[str]] = [[]]
     for node in core(nodes):
         blocks(node, out)
-    lines = (" ".join(html.unescape("".join(block)).split()) for block in out)
+    lines = (" ".join("".join(block).split()) for block in out)
     return "\n".join(line for line in lines if line)
 
 

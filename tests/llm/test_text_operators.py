@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from spinledger.llm import htmltext, langid, maxent, toxicity
 
@@ -267,6 +268,50 @@ def test_article_is_kept_whole():
     assert htmltext.main_text(nested).endswith("Last.")
 
 
+LONG = "A long sentence of the page, with many words in it and no link at all. " * 3
+
+
+@pytest.mark.parametrize("name", ["search", "related", "promo", "alert", "sidebar"])
+def test_named_wrapper_of_the_only_article_stays(name):
+    article = f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></article>"
+    want = "\n".join(["Title", LONG.strip(), LONG.strip()])
+    for after in ("<p>Contact us</p>", "<div><p>Contact us</p><p>Or come by</p></div>"):
+        assert htmltext.main_text(f'<body><div class="{name}">{article}</div>{after}</body>') == want
+    side = f'<div class="{name}"><article><p>{LONG * 9}</p></article></div>'
+    assert htmltext.main_text(f"<body>{article}{side}</body>") == want
+
+
+def test_lists_of_links_in_an_article_go():
+    links = "".join(f'<li><a href="/{n}">Another page {n}</a></li>' for n in range(6))
+    body = f'<h1>Title</h1><p>{LONG}</p><p>{LONG} <a href="x">one</a> <a href="y">two</a></p>'
+    kept = "<ul><li>One step with words</li><li>Another step</li></ul>"
+    for tag in ("article", "main"):
+        text = htmltext.main_text(f"<body><{tag}>{body}{kept}<ul>{links}</ul></{tag}></body>")
+        assert text.endswith("One step with words\nAnother step") and "one two" in text
+
+
+def test_reader_comments_and_controls_go():
+    remark = "<p>I liked this article very much, thank you for the long text</p>" * 4
+    for name in ("comment-list", "post-comments", "reply", "comments"):
+        page = f'<body><article><p>Short.</p><div class="{name}">{remark}</div></article></body>'
+        assert htmltext.main_text(page) == "Short."
+    page = f'<body><div class="no-comments"><h2>Title</h2><p>{LONG}</p></div></body>'
+    assert htmltext.main_text(page) == f"Title\n{LONG.strip()}"
+    page = "<article><p>Text here.</p><label>Name</label> <output>7</output><legend>Field</legend></article>"
+    assert htmltext.main_text(page) == "Text here."
+
+
+def test_references_are_decoded_within_a_run_of_text():
+    assert htmltext.main_text("<p>a &am<b>p;</b> &amp;amp; &lt;b&gt;</p>") == "a &amp; &amp; <b>"
+
+
+def test_headers_in_deep_articles():
+    deep = "<div>" * 1500 + "deep" + "</div>" * 1500
+    assert htmltext.main_text(f"<article><header>Top{deep}</header><p>Text.</p></article>") == "Text."
+    page = f"<article><header><h1>Top</h1>{deep}</header><p>Text.</p></article>"
+    assert htmltext.main_text(page) == "Top\ndeep\nText."
+
+
 def test_broken_pages_are_read():
     assert htmltext.main_text("") == ""
     assert htmltext.main_text("plain &lt; text") == "plain < text"
@@ -285,3 +330,5 @@ def test_page_rows(spark):
     assert sorted(r.n_chars for r in got)[:2] == [0, 0]
     assert len(got) == 4 and all(len(r.text) == r.n_chars for r in got)
     assert htmltext.extracted(pages.filter("false")).count() == 0
+    clashing = pages.selectExpr("*", "'x' AS text", "1 AS n_chars")
+    assert sorted(r.text for r in htmltext.extracted(clashing).collect()) == sorted(r.text for r in got)
