@@ -15,7 +15,8 @@ smallest ids, all that a result can show of them, so a vector with a third of al
 
 Defined cases: vectors that are null, zero, of another length than most, or hold a null or
 non-finite component take no part, nor do rows without id; an id that occurs twice with one vector
-is queried once and finds its other row; fewer candidates than k are all returned; an empty table
+is queried once and finds its other row; one that occurs with several vectors is a query of its own
+with each, told apart by ``query_key``, and finds its other vectors; fewer candidates than k are all returned; an empty table
 gives an empty table; other columns are not read.
 """
 
@@ -42,6 +43,8 @@ HELD = 0.97
 ROUNDS = 40
 CELL_ROWS = 8192
 BLOCK_QUERIES = 4096
+#: A query is an id and its vector, told by a 64-bit hash among the vectors of that id.
+QUERY = ["query_id", "query_key"]
 MAX_BITS = 64
 
 
@@ -169,9 +172,10 @@ def search(
     ends = np.r_[starts[1:], len(keys)]
     size = sum(np.prod(np.arange(bits - n + 1, bits + 1)) / np.prod(np.arange(1, n + 1)) for n in range(near + 1))
     masks = np.array(ball(bits, near), np.uint64) if size < len(values) else None
-    out: dict[str, list] = {"query_id": [], "score": [], "ids": []}
+    out: dict[str, list] = {"query_id": [], "query_key": [], "score": [], "ids": []}
     own_codes, own = asked["code"].to_numpy().view(np.uint64), matrix(asked["v"])
-    for q, query_id in enumerate(asked["query_id"].to_pylist()):
+    names = zip(asked["query_id"].to_pylist(), asked["query_key"].to_pylist(), strict=True)
+    for q, (query_id, query_key) in enumerate(names):
         key = (own_codes[q] >> np.uint64(first)) & np.uint64((1 << bits) - 1)
         if masks is None:
             hit = np.nonzero(np.bitwise_count(values ^ key) <= near)[0]
@@ -190,11 +194,13 @@ def search(
         scores = np.sqrt(((vectors[held] - own[q]) ** 2).sum(1))
         best = np.lexsort((least[held], scores))[: k + 1]
         out["query_id"] += [query_id] * len(best)
+        out["query_key"] += [query_key] * len(best)
         out["score"] += scores[best].tolist()
         out["ids"] += [ids[i] for i in held[best]]
     return pa.table(
         {
             "query_id": pa.array(out["query_id"], asked["query_id"].type),
+            "query_key": pa.array(out["query_key"], pa.int64()),
             "score": pa.array(out["score"], pa.float64()),
             "ids": pa.array(out["ids"], pa.list_(asked["query_id"].type)),
         }
@@ -207,7 +213,7 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def probe(index: DataFrame, asked: DataFrame, plan: Layout, radius: int, k: int) -> DataFrame:
-    """Rows (query_id, score, vec_id): the k nearest within the radius for every query."""
+    """Rows (query_id, query_key, score, vec_id): the k nearest within the radius for every query."""
     each = F.explode(F.array(*[
         F.struct(F.lit(n).alias("part"), cell(p, plan.cell_bits).alias("cell"))
         for n, p in enumerate(plan.parts)
@@ -232,10 +238,10 @@ def probe(index: DataFrame, asked: DataFrame, plan: Layout, radius: int, k: int)
         for n, p in enumerate(plan.parts)
     ]))
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("query_id", "query_key"), F.lit(blocks)).cast("int")
     sent = (
-        asked.select("query_id", "code", "v", block.alias("block"), touched.alias("c"))
-        .select("query_id", "code", "v", "block", "c.part", "c.cell")
+        asked.select(*QUERY, "code", "v", block.alias("block"), touched.alias("c"))
+        .select(*QUERY, "code", "v", "block", "c.part", "c.cell")
         .join(slices.toDF("part", "cell", "slices"), ["part", "cell"])
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     )
@@ -249,27 +255,28 @@ def probe(index: DataFrame, asked: DataFrame, plan: Layout, radius: int, k: int)
     found = (
         spread.groupBy(*keys)
         .cogroup(sent.groupBy(*keys))
-        .applyInArrow(run, f"query_id {kind}, score double, ids array<{kind}>")
+        .applyInArrow(run, f"query_id {kind}, query_key long, score double, ids array<{kind}>")
     )
     # the query's own row: one place of its id among the vectors at distance zero
     own = F.when(F.col("score") == 0, F.array_position("ids", F.col("query_id"))).otherwise(0)
     others = F.filter("ids", lambda _, i: i + 1 != F.col("own"))
     near = found.withColumn("own", own).select(
-        "query_id", "score", F.explode(others).alias("vec_id")
+        *QUERY, "score", F.explode(others).alias("vec_id")
     )
-    return top_per_group(near, ["query_id"], [F.col("score"), F.col("vec_id")], k)
+    return top_per_group(near, QUERY, [F.col("score"), F.col("vec_id")], k)
 
 
 def neighbours(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
-    """Rows (query_id, rank, vec_id, score) for the ids divisible by ``every``."""
+    """Rows (query_id, rank, vec_id, score, query_key) for the ids divisible by ``every``."""
     rows = usable(vectors)
     plain = written(entries(rows, k), "entries")
     count = plain.count()
     share = F.pmod(F.xxhash64("v"), F.lit(1 << 20)) / float(1 << 20)
     sample = plain.filter(share < min(1.0, SAMPLE / max(count, 1))).select("v").limit(2 * SAMPLE).toArrow()
-    asked = rows.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v").distinct()
+    query = [F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("query_key")]
+    asked = rows.filter(F.col("vec_id") % every == 0).select(*query, "v").distinct()
     if not sample.num_rows:
-        none = rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
+        none = rows.select(query[0], F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"), query[1])
         return none.filter("false")
     codes = fit(matrix(sample["v"]), k)
     code = F.arrow_udf(coder(codes), "long")
@@ -280,12 +287,12 @@ def neighbours(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     while True:
         plan = layout(codes.bits, radius, count)
         found = written(probe(index, left, plan, radius, k), "found")
-        full = found.groupBy("query_id").count().filter(F.col("count") >= others)
+        full = found.groupBy(*QUERY).count().filter(F.col("count") >= others)
         complete = radius >= codes.bits
-        kept = found if complete else found.join(full, "query_id", "left_semi")
+        kept = found if complete else found.join(full, QUERY, "left_semi")
         done = kept if done is None else done.union(kept)
         if not complete:
-            left = written(left.join(full, "query_id", "left_anti"), "queries")
+            left = written(left.join(full, QUERY, "left_anti"), "queries")
         if complete or left.isEmpty():
-            return done.select("query_id", "rank", "vec_id", "score")
+            return done.select("query_id", "rank", "vec_id", "score", "query_key")
         radius = min(codes.bits, max(radius + 2, radius * 3 // 2))

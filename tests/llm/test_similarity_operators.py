@@ -145,6 +145,21 @@ def test_neighbours_of_odd_vectors(spark):
     assert mih.neighbours(table.filter("vec_id IN (100, 200)")).count() == 4
 
 
+def test_one_id_with_several_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).round(3).tolist()) for i in [100, 100, 100, 200, *range(1, 30)]]
+    table = spark.createDataFrame([*rows, rows[0]], "vec_id long, embedding array<double>")
+    got = {}
+    for r in mih.neighbours(table).collect():
+        got.setdefault((r.query_id, r.query_key), []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    want = []
+    for n, (i, v) in enumerate(rows[:4]):
+        others = [*rows[:n], *rows[n + 1 :], rows[0]]
+        near = sorted((round(math.dist(v, w), 9), j) for j, w in others)[:10]
+        want.append((i, [(k, j, d) for k, (d, j) in enumerate(near, 1)]))
+    assert sorted((q, sorted(own)) for (q, _), own in got.items()) == sorted(want)
+
+
 def test_pipeline_stages_take_effect(spark, folder):
     before = spark.read.parquet(f"{folder}/documents.parquet")
     columns, docs = before.columns, before
