@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from spinledger.operators import factors, feeds, flatten, silver, vectors
 from spinledger.operators.features import genre_interactions
+from spinledger.plans import refresh
 from spinledger.plans.catalogue import joined_text, query, rounded
 from spinledger.plans.features_queries import track_features
 from spinledger.plans.oracle import half_up, sql
+from spinledger.plans.recommend_queries import FINAL, HOUR, WEEKEND
 from spinledger.sources import landing, tables
 from spinledger.streaming import ingest
 
@@ -486,6 +488,48 @@ def listening_cycle(t):
     )
 
 
+def liked_above_average(plays, day):
+    rows = genre_interactions(plays, day)
+    return rows.filter(F.col("weighted_preference") > rows.agg(F.avg("weighted_preference")).scalar())
+
+
+@query(
+    "s11_refresh_changed_only",
+    sql(
+        f"""SELECT track_id, playlist_position, {FINAL} AS final_recommendation_score,
+  recommendation_strategies, 19 AS built_first, '' AS built_again,
+  'track_features,rec_collaborative,rec_content,rec_temporal,rec_discovery,playlist,playlist_analytics'
+    AS built_after_catalog, 'playlist' AS built_after_loss FROM playlist""",
+        "playlist",
+    ),
+)
+def refresh_changed_only(t):
+    """The playlist of a refresh, after others that changed the catalog and lost a table."""
+    path = t.scratch + "/layers"
+    sources = {"plays": t.plays_events, "artists": t.artists, "catalog": t.catalog}
+    graph = refresh.layers(hour=HOUR, weekend=WEEKEND)
+    graph["genre_interactions"] = refresh.Layer(("silver_plays",), liked_above_average, dated=True)
+
+    def run(**changed):
+        marks = {"plays": "1", "artists": "1"}  # known to their writer; the catalog is read
+        return refresh.refresh({**sources, **changed}, path, marks, graph=graph)
+
+    first, again = run(), run()
+    fewer = run(catalog=t.catalog.filter("track_popularity < 50"))
+    # a write that broke off leaves no mark of success
+    for file in first.tables["playlist"].inputFiles()[:1]:
+        tables.remove(t.spark, file.rsplit("/", 1)[0])
+    last = run()
+    built = {
+        "built_first": F.lit(len(first.rewritten)),
+        "built_again": F.lit(",".join(again.rewritten)),
+        "built_after_catalog": F.lit(",".join(fewer.rewritten)),
+        "built_after_loss": F.lit(",".join(last.rewritten)),
+    }
+    columns = ["track_id", "playlist_position", "final_recommendation_score", "recommendation_strategies"]
+    return rounded(last.tables["playlist"].select(*columns).withColumns(built))
+
+
 @query(
     "s12_backup",
     sql(

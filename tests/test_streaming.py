@@ -177,7 +177,10 @@ def test_partition_replacement_keeps_other_dates(spark, tmp_path):
 def test_refresh_writes_all_layers_and_views(spark, tables, tmp_path):
     from spinledger.plans.refresh import refresh_layers, register_views
 
-    layers = refresh_layers(tables.landed_star, tables.artists, tables.catalog, str(tmp_path))
+    marks = dict.fromkeys(("plays", "artists", "catalog"), "1")
+    layers = refresh_layers(
+        tables.landed_star, tables.artists, tables.catalog, str(tmp_path), marks=marks
+    )
     assert layers["silver_plays"].count() == tables.plays_star.count()
     register_views(layers, local_prefix="home", prefix="v_")
     total = spark.sql("SELECT sum(total_plays) FROM v_daily_summary").head()[0]
@@ -185,3 +188,24 @@ def test_refresh_writes_all_layers_and_views(spark, tables, tmp_path):
     assert (total, dates) == (layers["silver_plays"].count(), layers["daily_summary"].count())
     scan = spark.sql("SELECT track_id FROM v_silver_plays WHERE home_date = DATE'1997-01-05'")
     assert "PartitionFilters: [isnotnull(local_date" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_refresh_rewrites_what_changed(spark, tmp_path):
+    from spinledger.plans.refresh import Layer, content_mark, refresh, remove_versions
+
+    graph = {
+        "doubled": Layer(("plays",), lambda df: df.selectExpr("id * 2 AS id")),
+        "small": Layer(("catalog",), lambda df: df.filter("id < 3")),
+        "both": Layer(("doubled", "small"), lambda a, b: a.join(b, "id")),
+    }
+    few, many = spark.range(5), spark.range(9)
+    assert content_mark(many) == content_mark(many.orderBy(-many.id)) != content_mark(few)
+    path = str(tmp_path)
+    first = refresh({"plays": many, "catalog": few}, path, graph=graph)
+    assert first.rewritten == ["doubled", "small", "both"]
+    assert refresh({"plays": many, "catalog": few}, path, graph=graph).rewritten == []
+    other = refresh({"plays": many, "catalog": many}, path, graph=graph)
+    assert other.rewritten == ["small", "both"]
+    remove_versions(other, path)
+    assert sorted(r.id for r in other.tables["both"].collect()) == [0, 2]
+    assert [len(list((tmp_path / n).iterdir())) for n in graph] == [1, 1, 1]
