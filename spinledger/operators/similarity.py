@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spinledger.functions.joins import join_dimension
@@ -22,25 +23,62 @@ def genre_sessions(silver: DataFrame, as_of: Column, window: int = TRACK_WINDOW)
     )
 
 
+SESSION_BLOCK = 4096
+
+
+def merged_runs(runs: DataFrame, keys: list[str], gap: Column) -> DataFrame:
+    """Runs (_first, _last, _n) of the same keys joined where one starts within ``gap`` of another.
+
+    The window meets the runs of one key in one task: ``keys`` must bound how many there are.
+    """
+    in_order = W.partitionBy(*keys).orderBy("_first")
+    fresh = F.coalesce(F.col("_first") - F.lag("_last").over(in_order) >= gap, F.lit(True))
+    return (
+        runs.withColumn("_fresh", fresh.cast("int"))
+        .withColumn("_run", F.sum("_fresh").over(in_order))
+        .groupBy(*keys, "_run")
+        .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))
+        .drop("_run")
+    )
+
+
 def gap_sessions(
-    plays: DataFrame, gap: str = "60 minutes", user: str = "user_id", ts: str = "played_at"
+    plays: DataFrame,
+    gap: str = "60 minutes",
+    user: str = "user_id",
+    ts: str = "played_at",
+    block: int = SESSION_BLOCK,
 ) -> DataFrame:
     """Start, last second and plays of every run of a user's plays paused less than ``gap``.
 
-    Plays are counted per user and second first, so that sessions merge seconds, not plays.
+    ``gap`` is a number of whole seconds. Plays that share a slot of the clock as long as the gap
+    lie in one run, so map tasks add up plays per user and slot, and a user's plays never meet.
+    Slots are merged inside blocks of ``block`` slots; only runs that touch the border of
+    their block are merged once more per user, two rows a block at most. What one task holds of a
+    user therefore follows the length of the history, 1/``block`` of its slots, not the plays. Plays
+    without a time are left out; plays without a user are one user's.
     """
-    end = F.col("session.end").cast("timestamp_ntz") - F.expr(f"INTERVAL {gap}")
-    return (
-        plays.groupBy(user, F.date_trunc("second", ts).alias("_at"))
-        .agg(F.count("*").alias("n"))
-        .groupBy(user, F.session_window("_at", gap).alias("session"))
-        .agg(F.sum("n").alias("plays"))
-        .select(
-            user,
-            F.col("session.start").cast("timestamp_ntz").alias("session_start"),
-            end.alias("last_play"),
-            "plays",
-        )
+    zero = "TIMESTAMP'1970-01-01 00:00:00'"
+    length = F.expr(f"timestampdiff(SECOND, {zero}, {zero} + INTERVAL {gap})")
+    at = F.unix_seconds(F.date_trunc("second", ts))
+    slots = (
+        plays.filter(F.col(ts).isNotNull())
+        .select(F.col(user), at.alias("_at"))
+        .groupBy(user, F.floor(F.col("_at") / length).alias("_slot"))
+        .agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count("*").alias("_n"))
+        .withColumn("_block", F.floor(F.col("_slot") / block))
+    )
+    runs = merged_runs(slots, [user, "_block"], length)
+    start = F.col("_block") * block * length
+    at_border = (F.col("_first") < start + length) | (F.col("_last") >= start + (block - 1) * length)
+    found = [user, "_first", "_last", "_n"]
+    inside = runs.filter(~at_border).select(*found)
+    across = merged_runs(runs.filter(at_border).select(*found), [user], length)
+    return inside.unionByName(across).select(
+        user,
+        F.timestamp_seconds("_first").cast("timestamp_ntz").alias("session_start"),
+        F.timestamp_seconds("_last").cast("timestamp_ntz").alias("last_play"),
+        F.col("_n").alias("plays"),
     )
 
 

@@ -221,6 +221,36 @@ def cosine_neighbours(t):
     return vectors.neighbours_of_favourites(track_features(t))
 
 
+def scaled_columns() -> str:
+    """The features as a list of standard scores; a constant feature counts as 0."""
+    scores = [
+        f"coalesce((x{i} - avg(x{i}) OVER ()) / nullif(stddev_samp(x{i}) OVER (), 0), 0)"
+        for i in range(len(vectors.FEATURE_COLUMNS))
+    ]
+    return "[" + ", ".join(scores) + "]"
+
+
+@query(
+    "r23_all_neighbours",
+    sql(
+        f"""WITH filled AS (SELECT track_id, {", ".join(
+            f"coalesce(CAST({c} AS DOUBLE), 0) AS x{i}" for i, c in enumerate(vectors.FEATURE_COLUMNS)
+        )} FROM features),
+scaled AS (SELECT track_id, {scaled_columns()} AS z FROM filled),
+unit AS MATERIALIZED (SELECT track_id, sqrt(list_dot_product(z, z)) AS size, z FROM scaled)
+SELECT a.track_id AS seed_track_id, b.track_id,
+  round(CASE WHEN a.size * b.size = 0 THEN 0 ELSE list_dot_product(a.z, b.z) / (a.size * b.size) END, 9)
+    AS similarity_score,
+  CAST(row_number() OVER (PARTITION BY a.track_id ORDER BY similarity_score DESC, b.track_id) AS INTEGER)
+    AS similarity_rank
+FROM unit a JOIN unit b ON a.track_id <> b.track_id QUALIFY similarity_rank <= 10""",
+        "features",
+    ),
+)
+def all_neighbours(t):
+    return vectors.nearest_tracks(vectors.track_vectors(track_features(t)))
+
+
 RANK, UPDATES = 3, 4
 
 

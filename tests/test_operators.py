@@ -14,6 +14,7 @@ from spinledger.operators import (
     silver,
     similarity,
     strategies,
+    vectors,
 )
 from spinledger.sources import landing
 
@@ -285,6 +286,63 @@ def test_fuzzy_names_against_all_pairs(spark):
     assert difflib.SequenceMatcher(None, "coldplay", "coldplaz").ratio() > 0.8
 
 
+@pytest.mark.parametrize("block", [3, 4096])
+def test_gap_sessions_of_a_hot_user(spark, block):
+    import random
+
+    rng = random.Random(8)
+    base, gap, plays = dt.datetime(2023, 12, 31, 22), 60, []
+    for user, count in [("hot", 600), ("b", 90), (None, 60), ("lone", 1)]:
+        second = 0
+        for _ in range(count):
+            second += rng.choice([0, 1, 7, 30, 59, 60, 61, 500])
+            plays.append((user, base + dt.timedelta(seconds=second, microseconds=rng.randrange(10**6))))
+    plays += [("b", None)]
+    rng.shuffle(plays)
+    want = set()
+    for user in {u for u, _ in plays}:
+        times = sorted(at.replace(microsecond=0) for u, at in plays if u == user and at)
+        run = []
+        for at in [*times, None]:
+            if run and (at is None or (at - run[-1]).total_seconds() >= gap):
+                want.add((user, run[0], run[-1], len(run)))
+                run = []
+            run.append(at)
+    table = spark.createDataFrame(plays, "user_id string, played_at timestamp_ntz")
+    got = similarity.gap_sessions(table, "60 seconds", block=block)
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(want) > 50 and set(rows) == want
+    assert similarity.gap_sessions(table.limit(0), "1 hour").count() == 0
+    # plays are added up per user and slot in the map tasks; no operator gathers a user's plays
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count(1)" in plan and "MergingSessions" not in plan
+
+
+@pytest.mark.parametrize("block, cells", [(7, 9), (2048, 1024), (50, 1)])
+def test_nearest_tracks_against_all_pairs(spark, block, cells):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 5))
+    points = [centres[i % 6] + rng.normal(scale=0.1, size=5) for i in range(150)]
+    points += [points[0]] * 80 + [np.zeros(5)] * 2
+    unit = [p / (np.linalg.norm(p) or 1.0) for p in points]
+    ids = [f"t{i:03}" for i in range(len(unit))]
+    table = spark.createDataFrame(
+        [(t, [float(x) for x in v]) for t, v in zip(ids, unit)] + [(None, [0.0] * 5)],
+        "track_id string, vector array<double>",
+    )
+    scores = np.round(np.array(unit) @ np.array(unit).T, 9) + 0.0
+    want = set()
+    for i, t in enumerate(ids):
+        order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (-scores[i, j], ids[j]))
+        want |= {(t, ids[j], scores[i, j], r) for r, j in enumerate(order[:4], 1)}
+    got = vectors.nearest_tracks(table, 4, cells, block)
+    assert {(a, b, c + 0.0, d) for a, b, c, d in got.collect()} == want
+    assert vectors.nearest_tracks(table.limit(0)).count() == 0
+    assert vectors.nearest_tracks(table.limit(3), 10).count() == 6
+
+
 def test_deploy_rollback_history(spark):
     day = dt.datetime
     log = spark.createDataFrame(
