@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import difflib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from spinledger.functions.joins import salted_dimension_join
 
 MIN_RATIO = 0.8
 MIN_FUZZY_LENGTH = 4
@@ -18,11 +24,12 @@ def page_texts(pages: DataFrame) -> DataFrame:
 
 
 def link_names(pages: DataFrame) -> DataFrame:
-    """Names to look for: distinct link targets, and the first two words of page titles."""
-    links = F.regexp_extract_all("html", F.lit('<a href="/([a-zA-Z]+)"'), F.lit(1))
-    titles = F.regexp_extract_all("html", F.lit("<title>([a-zA-Z]+ [a-zA-Z]+)"), F.lit(1))
+    """Names to look for, lower-cased with blanks collapsed: whole link targets and page titles."""
+    links = F.regexp_extract_all("html", F.lit('<a href="/([^"]+)"'), F.lit(1))
+    titles = F.regexp_extract_all("html", F.lit("<title>([^<]+)"), F.lit(1))
     found = pages.select(F.explode(F.concat(links, titles)).alias("name"))
-    return found.select(F.lower("name").alias("name")).distinct()
+    name = F.lower(F.trim(F.regexp_replace("name", r"\s+", " ")))
+    return found.select(name.alias("name")).filter(F.col("name") != "").distinct()
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
@@ -42,8 +49,10 @@ def contained_names(texts: DataFrame, names: DataFrame, size: int = 4) -> DataFr
 
     A name without a blank can only lie inside one word: distinct words and names meet through
     the name's first letters (up to ``size``). A name with a blank lies across a word border:
-    the letters around its first blank are looked up among the borders of the page, and the
-    candidates are then checked against the whole text.
+    the letters around its first blank are looked up among the borders of the page, or, where it
+    has five words or more, its second to fourth word among the page's runs of three words. The
+    candidates are then checked against the whole text. Words and borders that many pages share
+    are dealt to several tasks by page.
     """
     lone = names.filter(~F.col("name").contains(" ") & (F.col("name") != ""))
     spaced = names.filter(F.col("name").contains(" "))
@@ -70,93 +79,125 @@ def words_with(words: DataFrame, names: DataFrame, size: int) -> DataFrame:
         .select("word", "name")
         .distinct()
     )
-    return words.join(matched, "word").select("page_id", "name").distinct()
+    return pages_with(words, "word", matched).select("page_id", "name").distinct()
+
+
+def pages_with(found: DataFrame, key: str, matched: DataFrame) -> DataFrame:
+    """Pages joined to what matched their words; a key of many pages is split by page."""
+    other = matched.withColumnRenamed(key, "_matched")
+    joined = salted_dimension_join(found, other, key, "_matched", ["page_id"], "inner")
+    return joined.drop("_matched")
 
 
 BORDER = 3
+INNER = 3
 
 
 def across_words(texts: DataFrame, names: DataFrame) -> DataFrame:
     parts = F.split("name", " ")
+    around = F.concat(F.right(parts[0], F.lit(BORDER)), F.lit(" "), F.left(parts[1], F.lit(BORDER)))
+    inner = F.array_join(F.slice(parts, 2, INNER), " ")
+    long = F.size(parts) >= INNER + 2
     keyed = names.select(
-        "name",
-        F.concat(F.right(parts[0], F.lit(BORDER)), F.lit(" "), F.left(parts[1], F.lit(BORDER))).alias(
-            "_border"
-        ),
+        "name", F.when(long, F.concat(F.lit("="), inner)).otherwise(around).alias("_border")
     )
     split = texts.select("page_id", F.split("body", " ").alias("_w"))
-    count = F.size("_w") - 1
-    pairs = F.zip_with(
-        F.slice("_w", F.lit(1), count),
-        F.slice("_w", F.lit(2), count),
-        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+    starts = F.sequence(F.lit(0), F.size("_w") - 1)
+    following = F.explode(
+        F.array_distinct(F.transform(starts, lambda i: F.slice("_w", i + 1, F.lit(INNER))))
     )
-    pairs = split.select("page_id", F.explode(F.array_distinct(pairs)).alias("_p"))
-    borders = F.array(
-        *[
-            F.concat(F.right("_p.a", F.lit(k)), F.lit(" "), F.left("_p.b", F.lit(n)))
-            for k in range(1, BORDER + 1)
-            for n in range(1, BORDER + 1)
-        ]
+    runs = split.select("page_id", following.alias("_run")).filter(F.size("_run") > 1)
+    borders = [
+        F.concat(F.right(F.col("_run")[0], F.lit(k)), F.lit(" "), F.left(F.col("_run")[1], F.lit(n)))
+        for k in range(1, BORDER + 1)
+        for n in range(1, BORDER + 1)
+    ]
+    whole = F.when(F.size("_run") == INNER, F.concat(F.lit("="), F.array_join("_run", " ")))
+    probes = (
+        runs.select("page_id", F.explode(F.array_distinct(F.array(*borders, whole))).alias("_border"))
+        .filter(F.col("_border").isNotNull())
+        .distinct()
     )
-    probes = pairs.select("page_id", F.explode(F.array_distinct(borders)).alias("_border"))
-    candidates = probes.join(keyed, "_border").select("page_id", "name").distinct()
+    candidates = pages_with(probes, "_border", keyed).select("page_id", "name").distinct()
     checked = candidates.join(texts, "page_id").filter(F.col("body").contains(F.col("name")))
     return checked.select("page_id", "name")
 
 
-def similarity_ratio(left: Column, right: Column) -> Column:
-    """1 minus the edit distance over the longer length."""
-    return 1 - F.levenshtein(left, right) / F.greatest(F.length(left), F.length(right))
+@F.pandas_udf(DoubleType())
+def matching_ratio(names: pd.Series, words: pd.Series) -> pd.Series:
+    """Twice the letters in matching blocks over the letters of both texts."""
+    ratios = [difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(names, words)]
+    return pd.Series(ratios, dtype="float64")
 
 
 def fuzzy_names(texts: DataFrame, names: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     """Page, name and closest word where no exact hit exists but a similar word does.
 
-    At a ratio above ``min_ratio`` two texts differ by fewer than ``(1 - min_ratio)`` of the
-    longer length in edits. Cutting the name into more pieces than edits leaves one piece
-    untouched, so name and word share that piece at nearly the same place; the equi-join is on
-    piece, its place and the word's length. Only distinct words take part.
+    A word of at least ``MIN_FUZZY_LENGTH`` letters is similar if its ``matching_ratio`` is above
+    ``min_ratio``; ties go to the greatest word. Matching blocks are a common subsequence, so at
+    most ``(1 - min_ratio)`` of the letters of both stay unmatched: letters left out of the name
+    (all its blanks are) and letters put in. Cutting the name into more pieces than there can be such
+    letters leaves one piece whole in the word, moved by no more than the letters before it;
+    name and word meet in an equi-join on the word's length and the piece and its place. Pairs
+    beyond that number of edits go before the ratio is taken, once per distinct word and name.
     """
     exact = contained_names(texts, names)
     words = vocabulary(texts).filter(F.length("word") >= MIN_FUZZY_LENGTH)
     distinct = words.select("word").distinct()
-    n = F.length("name")
-    # edits e satisfy e < (1 - r) * max(len); max(len) <= len / r
-    edits = F.floor((1 - min_ratio) * n / min_ratio).cast("int")
-    piece = F.greatest(F.lit(1), F.floor(n / (edits + 1)).cast("int"))
-    pieces = F.transform(
-        F.sequence(F.lit(0), edits),
-        lambda i: F.struct((i * piece + 1).alias("at"), F.substring("name", i * piece + 1, piece).alias("part")),
+    n, m = F.length("name"), F.col("_length")
+    lengths = distinct.select(F.length("word").alias("_length")).distinct()
+    widest = (2 - min_ratio) / min_ratio
+    low, high = F.ceil(n / widest).cast("int"), F.floor(n * widest).cast("int")
+    unmatched = F.floor((1 - min_ratio) * (n + m) + 1e-9).cast("int")
+    blanks = n - F.length(F.replace("name", F.lit(" "), F.lit("")))
+    left_out = F.floor((F.col("_edits") + n - m) / 2).cast("int")
+    put_in = F.floor((F.col("_edits") - n + m) / 2).cast("int")
+    pairs = (
+        names.filter(n > 0)
+        .withColumn("_length", F.explode(F.sequence(low, high)))
+        .join(lengths, "_length", "left_semi")
+        .withColumn("_edits", unmatched)
+        .withColumns({"_out": left_out, "_in": put_in})
+        .filter((F.col("_out") >= blanks) & (F.col("_in") >= 0))
+        .withColumn("_count", F.col("_out") + F.col("_in") + 1)
+        .withColumn("_size", F.greatest(F.lit(1), F.floor(n / F.col("_count")).cast("int")))
     )
-    keyed = names.filter(n >= MIN_FUZZY_LENGTH).select(
-        "name", edits.alias("_edits"), piece.alias("_size"), F.explode(pieces).alias("_p")
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.col("_count") - 1),
+        lambda i: F.struct(
+            (i * F.col("_size") + 1).alias("at"),
+            F.substring("name", i * F.col("_size") + 1, F.col("_size")).alias("part"),
+        ),
     )
-    shifts = F.sequence(-F.col("_edits"), F.col("_edits"))
-    keyed = keyed.select("name", "_edits", "_size", "_p", F.explode(shifts).alias("_shift")).select(
-        "name",
-        "_size",
-        F.col("_p.part").alias("_part"),
-        (F.col("_p.at") + F.col("_shift")).alias("_at"),
+    shared = ["_length", "_size", "_at", "_part"]
+    keyed = (
+        pairs.withColumn("_p", F.explode(pieces))
+        .filter(~F.col("_p.part").contains(" "))
+        .withColumn("_move", F.explode(F.sequence(-F.col("_out"), F.col("_in"))))
+        .select("name", "_edits", "_length", "_size", F.col("_p.part").alias("_part"), (F.col("_p.at") + F.col("_move")).alias("_at"))
+        .filter((F.col("_at") >= 1) & (F.col("_at") + F.col("_size") - 1 <= F.col("_length")))
     )
-    # the piece sizes in use are few: they follow from the name lengths
-    sizes = keyed.select("_size").distinct().agg(F.collect_set("_size")).scalar()
-    sized = distinct.withColumn("_sizes", sizes).select("word", F.explode("_sizes").alias("_size"))
-    last = F.length("word") - F.col("_size") + 1
-    places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    probes = sized.select("word", "_size", F.explode(places).alias("_at")).withColumn(
-        "_part", F.substring("word", F.col("_at"), F.col("_size"))
+    # lengths and piece sizes in use: bounded by the square of the longest name
+    sizes = pairs.select("_length", "_size").distinct()
+    last = F.col("_length") - F.col("_size") + 1
+    probes = (
+        distinct.withColumn("_length", F.length("word"))
+        .join(sizes, "_length")
+        .filter(last >= 1)
+        .withColumn("_at", F.explode(F.sequence(F.lit(1), last)))
+        .withColumn("_part", F.substring("word", F.col("_at"), F.col("_size")))
     )
     near = (
-        probes.join(keyed, ["_size", "_at", "_part"])
+        probes.join(keyed, shared)
+        .filter(F.levenshtein("word", "name") <= F.col("_edits"))
         .select("word", "name")
         .distinct()
-        .withColumn("ratio", similarity_ratio(F.col("word"), F.col("name")))
+        .withColumn("ratio", matching_ratio("name", "word"))
         .filter(F.col("ratio") > min_ratio)
     )
     best = F.max_by("word", F.struct("ratio", "word"))
     return (
-        words.join(near, "word")
+        pages_with(words, "word", near)
         .join(exact, ["page_id", "name"], "left_anti")
         .groupBy("page_id", "name")
         .agg(best.alias("similar_word"), F.round(F.max("ratio"), 6).alias("ratio"))

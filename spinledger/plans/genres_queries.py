@@ -340,9 +340,10 @@ define(
 )
 define(
     "page_names",
-    """SELECT DISTINCT lower(unnest(list_concat(
-  regexp_extract_all(html, '<a href="/([a-zA-Z]+)"', 1),
-  regexp_extract_all(html, '<title>([a-zA-Z]+ [a-zA-Z]+)', 1)))) AS name FROM pages""",
+    """SELECT DISTINCT name FROM (SELECT lower(trim(regexp_replace(unnest(list_concat(
+  regexp_extract_all(html, '<a href="/([^"]+)"', 1),
+  regexp_extract_all(html, '<title>([^<]+)', 1))), '\\s+', ' ', 'g'))) AS name FROM pages)
+WHERE name <> ''""",
 )
 
 
@@ -359,7 +360,7 @@ def page_membership(t):
     return hits.select("page_id", "name")
 
 
-# The oracle's edit distance counts bytes, not letters; checked against brute force in the tests.
+# SQL has no ratio of matching blocks; checked against brute force in the tests.
 @query("j20_page_fuzzy_names")
 def page_fuzzy_names(t):
     texts, names = pages.page_texts(t.read("pages")), pages.link_names(t.read("pages"))

@@ -257,33 +257,48 @@ def test_pages_against_brute_force(spark):
     assert fuzzy == {(3, "coldplay"): "coldplaz"}
 
 
+def test_long_names_across_words(spark):
+    body = "we saw the quick brown fox jump over it and a b c d e, the end"
+    texts = spark.createDataFrame([(1, body), (2, "the quick"), (3, "")], "page_id bigint, body string")
+    names = ["aw the quick brown fo", "he quick brown fox jump ov", "the slow brown fox jump", "a b c d e",
+             "the quick", "quick brown fox", "and a b c d e, the end", "b", "e en", "fox  jump"]
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    hits = {(r.page_id, r.name) for r in pages.contained_names(texts, table).collect()}
+    assert hits == {(p, n) for p, b in [(1, body), (2, "the quick")] for n in names if n in b}
+
+
+def test_names_of_links_and_titles(spark):
+    html = '<title>Sigur\n  Rós &amp; Co</title><a href="/Björk">x</a><a href="/東京 事変">y</a><a href="/">z</a>'
+    rows = spark.createDataFrame([(1, html), (2, None)], "page_id bigint, html string")
+    assert {r.name for r in pages.link_names(rows).collect()} == {"sigur rós &amp; co", "björk", "東京 事変"}
+
+
 def test_fuzzy_names_against_all_pairs(spark):
     import random
 
     rng = random.Random(5)
-    words = ["".join(rng.choice("abc") for _ in range(rng.randint(4, 12))) for _ in range(150)]
-    names = ["".join(rng.choice("abc") for _ in range(rng.randint(4, 12))) for _ in range(40)]
+
+    def text(letters, low, high):
+        return "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
+
+    words = [text("abé", 1, 12) for _ in range(200)] + [text("ab", 25, 40) for _ in range(20)]
+    names = [text("abé", 1, 12) for _ in range(60)] + [text("ab", 4, 6) + " " + text("ab", 3, 6) for _ in range(30)]
+    names += [w[:k] + "é" + w[k + 2 :] for k, w in enumerate(words[-20:])]
+    names += [w[:2] + " " + w[2:] for w in words[:60] if len(w) > 5] + [w[1:] + w[0] for w in words[:40]]
     texts = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "page_id bigint, body string")
     table = spark.createDataFrame([(n,) for n in sorted(set(names))], "name string")
 
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-            row = new
-        return row[-1]
+    def ratio(name, word):
+        return difflib.SequenceMatcher(None, name, word).ratio()
 
     want = {
-        (i, n)
+        (i, n, w, round(ratio(n, w), 6))
         for i, w in enumerate(words)
         for n in set(names)
-        if n not in w and 1 - distance(w, n) / max(len(w), len(n)) > 0.8 + 1e-12
+        if n not in w and len(w) > 3 and ratio(n, w) > 0.8
     }
-    got = {(r.page_id, r.name) for r in pages.fuzzy_names(texts, table).collect()}
-    assert got == want
-    assert difflib.SequenceMatcher(None, "coldplay", "coldplaz").ratio() > 0.8
+    got = {tuple(r) for r in pages.fuzzy_names(texts, table).select("page_id", "name", "similar_word", "ratio").collect()}
+    assert got == want and len(want) > 100
 
 
 @pytest.mark.parametrize("block", [3, 4096])
