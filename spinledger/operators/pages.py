@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from spinledger.functions.joins import salted_dimension_join
-
 MIN_RATIO = 0.8
 MIN_FUZZY_LENGTH = 4
 
@@ -34,7 +32,8 @@ def link_names(pages: DataFrame) -> DataFrame:
 
 def vocabulary(texts: DataFrame) -> DataFrame:
     """Distinct page-word pairs."""
-    return texts.select("page_id", F.explode(F.split("body", " ")).alias("word")).distinct()
+    words = F.array_distinct(F.split("body", " "))
+    return texts.select("page_id", F.explode(words).alias("word"))
 
 
 def grams(text: Column, size: Column) -> Column:
@@ -52,7 +51,8 @@ def contained_names(texts: DataFrame, names: DataFrame, size: int = 4) -> DataFr
     the letters around its first blank are looked up among the borders of the page, or, where it
     has five words or more, its second to fourth word among the page's runs of three words. The
     candidates are then checked against the whole text. Words and borders that many pages share
-    are dealt to several tasks by page.
+    are left to adaptive execution, which splits such partitions of a join where they are hot.
+    Each page (``page_id``) is one row of ``texts``.
     """
     lone = names.filter(~F.col("name").contains(" ") & (F.col("name") != ""))
     spaced = names.filter(F.col("name").contains(" "))
@@ -79,46 +79,49 @@ def words_with(words: DataFrame, names: DataFrame, size: int) -> DataFrame:
         .select("word", "name")
         .distinct()
     )
-    return pages_with(words, "word", matched).select("page_id", "name").distinct()
-
-
-def pages_with(found: DataFrame, key: str, matched: DataFrame) -> DataFrame:
-    """Pages joined to what matched their words; a key of many pages is split by page."""
-    other = matched.withColumnRenamed(key, "_matched")
-    joined = salted_dimension_join(found, other, key, "_matched", ["page_id"], "inner")
-    return joined.drop("_matched")
+    return words.join(matched, "word").select("page_id", "name").distinct()
 
 
 BORDER = 3
 INNER = 3
 
 
+def border_of(left: Column, right: Column, before: Column, after: Column) -> Column:
+    return F.xxhash64(F.right(left, before), F.left(right, after))
+
+
+def run_of(words: Column, start: Column) -> Column:
+    return F.xxhash64(F.array_join(F.slice(words, start, F.lit(INNER)), " "))
+
+
 def across_words(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """Keys are hashes, distinct per page before any exchange; a collision is one more candidate.
+
+    A border takes ``BORDER`` letters of each side, or one where the name has fewer.
+    """
     parts = F.split("name", " ")
-    around = F.concat(F.right(parts[0], F.lit(BORDER)), F.lit(" "), F.left(parts[1], F.lit(BORDER)))
-    inner = F.array_join(F.slice(parts, 2, INNER), " ")
+
+    def letters(part: Column) -> Column:
+        return F.when(F.length(part) >= BORDER, F.lit(BORDER)).otherwise(F.least(F.length(part), F.lit(1)))
+
+    around = border_of(parts[0], parts[1], letters(parts[0]), letters(parts[1]))
     long = F.size(parts) >= INNER + 2
-    keyed = names.select(
-        "name", F.when(long, F.concat(F.lit("="), inner)).otherwise(around).alias("_border")
-    )
-    split = texts.select("page_id", F.split("body", " ").alias("_w"))
-    starts = F.sequence(F.lit(0), F.size("_w") - 1)
-    following = F.explode(
-        F.array_distinct(F.transform(starts, lambda i: F.slice("_w", i + 1, F.lit(INNER))))
-    )
-    runs = split.select("page_id", following.alias("_run")).filter(F.size("_run") > 1)
-    borders = [
-        F.concat(F.right(F.col("_run")[0], F.lit(k)), F.lit(" "), F.left(F.col("_run")[1], F.lit(n)))
-        for k in range(1, BORDER + 1)
-        for n in range(1, BORDER + 1)
-    ]
-    whole = F.when(F.size("_run") == INNER, F.concat(F.lit("="), F.array_join("_run", " ")))
+    keyed = names.select("name", F.when(long, run_of(parts, F.lit(2))).otherwise(around).alias("_key"))
+    words = F.col("_w")
+
+    def keys_at(i: Column) -> Column:
+        here, after = F.get(words, i), F.get(words, i + 1)
+        sizes = [F.lit(1), F.lit(BORDER)]
+        return F.array(run_of(words, i + 1), *[border_of(here, after, k, n) for k in sizes for n in sizes])
+
+    starts = F.sequence(F.lit(0), F.size(words) - 2)
+    keys = F.array_distinct(F.flatten(F.transform(starts, keys_at)))
     probes = (
-        runs.select("page_id", F.explode(F.array_distinct(F.array(*borders, whole))).alias("_border"))
-        .filter(F.col("_border").isNotNull())
-        .distinct()
+        texts.select("page_id", F.split("body", " ").alias("_w"))
+        .filter(F.size(words) > 1)
+        .select("page_id", F.explode(keys).alias("_key"))
     )
-    candidates = pages_with(probes, "_border", keyed).select("page_id", "name").distinct()
+    candidates = probes.join(keyed, "_key").select("page_id", "name").distinct()
     checked = candidates.join(texts, "page_id").filter(F.col("body").contains(F.col("name")))
     return checked.select("page_id", "name")
 
@@ -197,7 +200,7 @@ def fuzzy_names(texts: DataFrame, names: DataFrame, min_ratio: float = MIN_RATIO
     )
     best = F.max_by("word", F.struct("ratio", "word"))
     return (
-        pages_with(words, "word", near)
+        words.join(near, "word")
         .join(exact, ["page_id", "name"], "left_anti")
         .groupBy("page_id", "name")
         .agg(best.alias("similar_word"), F.round(F.max("ratio"), 6).alias("ratio"))
