@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from spinledger.functions.joins import BROADCAST_MAX_BYTES, BROADCAST_SETTING
+
 MIN_RATIO = 0.8
 MIN_FUZZY_LENGTH = 4
 
@@ -86,6 +88,13 @@ BORDER = 3
 INNER = 3
 
 
+def small(names: DataFrame) -> DataFrame:
+    """Names to broadcast where their measured size allows it, else to be exchanged."""
+    limit = int(names.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_MAX_BYTES)))
+    size = names.agg(F.sum(F.octet_length("name") + 64)).first()[0] or 0
+    return F.broadcast(names) if size <= limit else names
+
+
 def border_of(left: Column, right: Column, before: Column, after: Column) -> Column:
     return F.xxhash64(F.right(left, before), F.left(right, after))
 
@@ -121,7 +130,7 @@ def across_words(texts: DataFrame, names: DataFrame) -> DataFrame:
         .filter(F.size(words) > 1)
         .select("page_id", F.explode(keys).alias("_key"))
     )
-    candidates = probes.join(keyed, "_key").select("page_id", "name").distinct()
+    candidates = probes.join(small(keyed), "_key").select("page_id", "name").distinct()
     checked = candidates.join(texts, "page_id").filter(F.col("body").contains(F.col("name")))
     return checked.select("page_id", "name")
 

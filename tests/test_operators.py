@@ -263,8 +263,14 @@ def test_long_names_across_words(spark):
     names = ["aw the quick brown fo", "he quick brown fox jump ov", "the slow brown fox jump", "a b c d e",
              "the quick", "quick brown fox", "and a b c d e, the end", "b", "e en", "fox  jump"]
     table = spark.createDataFrame([(n,) for n in names], "name string")
-    hits = {(r.page_id, r.name) for r in pages.contained_names(texts, table).collect()}
-    assert hits == {(p, n) for p, b in [(1, body), (2, "the quick")] for n in names if n in b}
+    want = {(p, n) for p, b in [(1, body), (2, "the quick")] for n in names if n in b}
+    try:
+        for limit in ["1000000", "0"]:
+            spark.conf.set("spinledger.broadcast.maxBytes", limit)
+            hits = {(r.page_id, r.name) for r in pages.contained_names(texts, table).collect()}
+            assert hits == want
+    finally:
+        spark.conf.unset("spinledger.broadcast.maxBytes")
 
 
 def test_names_of_links_and_titles(spark):
