@@ -3,10 +3,10 @@ r"""Chat formatting by prefix-target expansion, in DataFrame operations only.
 Every turn becomes ``<|im_start|>role``, a line end, the text, ``<|im_end|>`` and a line end, and a
 conversation is its turns in order. Every assistant turn is exploded into an example of its own:
 all preceding turns are its context, and only the reply is trainable. The context of an example
-is a prefix of the conversation, and the prefix of a later one holds those of all before. So the
-written form keeps the formatted turns once, with their places, and an example is a row with the
-length of its prefix and the span of its reply: n turns give n rows of text, not n * n / 4.
-``expanded`` writes the prefixes out for readers that want every example as a text of its own.
+is a prefix of the conversation. ``expanded`` writes every example with its prefix and its reply,
+which the query reads back: n turns give up to n * n / 4 turns of text, by the method's nature.
+Conversations of so many turns that this is too much can be kept as ``formatted`` turns, once
+and with their places, and ``examples``, rows with the length of the prefix and the reply.
 
 Control strings inside roles and texts are broken by a backslash after their first character,
 one more for each that stands there already, which ``unescaped`` takes away again:
@@ -138,77 +138,107 @@ def examples(turns: DataFrame) -> DataFrame:
     )
 
 
-def expanded(turns: DataFrame) -> DataFrame:
+def expanded(turns: DataFrame, rest: bool = False) -> DataFrame:
     """Every example with its whole text: conv_id, position, prompt, reply.
 
     A conversation's pieces meet in one row, and every assistant turn gets its prefix of it. The
-    output grows with the square of a conversation's turns; meant for conversations that fit
-    a model's context.
+    output grows with the square of a conversation's turns, a row at a time. With ``rest`` a
+    conversation that does not end in an example has a row more, all of its text as a prompt
+    without reply, so that the rows hold every turn; ``whole`` marks the row up to the last turn.
     """
     listed = F.sort_array(F.collect_list(F.struct("position", "piece", "loss_start", "loss_end")))
     whole = turns.groupBy("conv_id").agg(listed.alias("turns")).select(
         "conv_id",
         F.array_join(F.col("turns.piece"), "").alias("text"),
+        F.size("turns").alias("n_turns"),
         F.explode("turns").alias("turn"),
     )
-    size = F.col("turn.loss_end") - F.col("turn.loss_start")
-    return whole.filter(F.col("turn.loss_start").isNotNull()).select(
+    start, size = F.col("turn.loss_start"), F.col("turn.loss_end") - F.col("turn.loss_start")
+    trained, last = start.isNotNull(), F.col("turn.position") == F.col("n_turns") - 1
+    prompt = F.when(trained, F.substring("text", F.lit(1), start.cast("int"))).otherwise(F.col("text"))
+    columns = [
         "conv_id",
         F.col("turn.position").alias("position"),
-        F.substring("text", F.lit(1), F.col("turn.loss_start").cast("int")).alias("prompt"),
-        F.substring("text", (F.col("turn.loss_start") + 1).cast("int"), size.cast("int")).alias("reply"),
-    )
+        prompt.alias("prompt"),
+        F.substring("text", (start + 1).cast("int"), size.cast("int")).alias("reply"),
+    ]
+    if rest:
+        return whole.filter(trained | last).select(*columns, last.alias("whole"))
+    return whole.filter(trained).select(*columns)
+
+
+def turn_of(piece: Column) -> Column:
+    """The role and text of a formatted turn, as a struct."""
+    line_end = F.position(F.lit(MIDDLE), piece)
+    role = F.substring(piece, F.lit(len(START) + 1), line_end - len(START) - 1)
+    body = F.substring(piece, line_end + 1, F.length(piece) - line_end - len(END))
+    return F.struct(unescaped_role(role).alias("role"), unescaped(body).alias("text"))
 
 
 def parsed(turns: DataFrame) -> DataFrame:
     """Formatted turns back as turns: conv_id, position, role, text."""
-    line_end = F.position(F.lit(MIDDLE), F.col("piece"))
-    role = F.substring("piece", F.lit(len(START) + 1), line_end - len(START) - 1)
-    size = F.length("piece") - line_end - len(END)
-    body = F.substring("piece", line_end + 1, size)
-    return turns.select(
-        "conv_id",
-        "position",
-        unescaped_role(role).alias("role"),
-        unescaped(body).alias("text"),
+    return turns.select("conv_id", "position", turn_of(F.col("piece")).alias("turn")).select(
+        "conv_id", "position", "turn.role", "turn.text"
     )
 
 
+def pieces_of(text: Column) -> Column:
+    """The formatted turns of a whole text; no other place of it holds the mark of a start."""
+    parts = F.split(text, START.replace("|", r"\|"))
+    return F.transform(F.slice(parts, 2, F.size(parts)), lambda part: F.concat(F.lit(START), part))
+
+
 def digest(turns: DataFrame) -> DataFrame:
-    """What formatted turns say, per conversation, read back from them and from their examples."""
-    said = parsed(turns).groupBy("conv_id").agg(
-        F.count("*").alias("n_turns"),
-        F.sort_array(F.collect_list(F.struct("position", "role", "text"))).alias("said"),
-    )
-    lengths = turns.groupBy("conv_id").agg(F.sum(F.length("piece")).cast("long").alias("formatted_chars"))
-    reply = unescaped(F.col("reply")).alias("reply")
-    trained = examples(turns).withColumn("reply", reply).groupBy("conv_id").agg(
-        F.count("*").alias("n_examples"),
-        F.sum("loss_end").alias("example_chars"),
-        F.sum(F.length("reply")).cast("long").alias("loss_chars"),
-        F.sort_array(F.collect_list(F.struct("position", "reply"))).alias("replies"),
-    )
+    """What formatted turns say, per conversation, read back from their examples."""
+    return digest_of_examples(expanded(turns, rest=True))
+
+
+def digest_of_examples(rows: DataFrame) -> DataFrame:
+    """What the rows of ``expanded`` with the rest say, per conversation.
+
+    Losses come from the replies of all examples, turns from the text of the row up to the last.
+    """
 
     def sha(parts: Column) -> Column:
         return F.sha2(F.array_join(parts, "").cast("binary"), 256)
 
+    text = F.concat("prompt", F.coalesce(F.concat("reply", F.lit(END)), F.lit("")))
+    said = F.transform(pieces_of(F.col("text")), turn_of)
     lines = F.transform("said", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    replies = F.coalesce(F.col("replies.reply"), F.array().cast("array<string>"))
-    trained, lengths = trained.withColumnRenamed("conv_id", "_c1"), lengths.withColumnRenamed("conv_id", "_c2")
-    return (
-        said.join(trained, F.col("conv_id").eqNullSafe(F.col("_c1")), "left")
-        .join(lengths, F.col("conv_id").eqNullSafe(F.col("_c2")))
+    read = (
+        rows.withColumn("text", F.when(F.col("whole"), text))
+        .withColumn("said", said)
         .select(
             "conv_id",
-            "n_turns",
+            F.size("said").cast("long").alias("n_turns"),
             sha(lines).alias("turns_sha256"),
-            F.coalesce("loss_chars", F.lit(0)).alias("loss_chars"),
-            sha(replies).alias("loss_sha256"),
-            "formatted_chars",
-            F.coalesce("n_examples", F.lit(0)).alias("n_examples"),
-            F.coalesce("example_chars", F.lit(0)).alias("example_chars"),
+            F.length("text").cast("long").alias("formatted_chars"),
+            F.length("prompt").cast("long").alias("prompt_chars"),
+            "position",
+            "reply",
         )
     )
+    reply = unescaped(F.col("reply"))
+    has = F.col("reply").isNotNull()
+    replies = F.sort_array(F.collect_list(F.when(has, F.struct("position", reply.alias("reply")))))
+    example = F.when(has, F.col("prompt_chars") + F.length("reply"))
+    return (
+        read.groupBy("conv_id")
+        .agg(
+            F.max("n_turns").alias("n_turns"),
+            F.max("turns_sha256").alias("turns_sha256"),
+            F.coalesce(F.sum(F.length(reply)), F.lit(0)).cast("long").alias("loss_chars"),
+            replies.alias("replies"),
+            F.max("formatted_chars").alias("formatted_chars"),
+            F.count("reply").alias("n_examples"),
+            F.coalesce(F.sum(example), F.lit(0)).cast("long").alias("example_chars"),
+        )
+        .withColumn("loss_sha256", sha(F.col("replies.reply")))
+        .select(
+            "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
+            "n_examples", "example_chars",
+        )
+    )
 
 
 ORACLE = r"""

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from spinledger.llm import chat, phrases, search
+from spinledger.llm import chat, phrases, queries, search
 from spinledger.llm.words import cut
 
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
@@ -112,6 +112,28 @@ def test_chat_digest(turns):
         assert (row.loss_chars, row.formatted_chars) == (len(loss), len(whole[conv][0]))
 
 
+def test_chat_query_reads_expanded_examples(turns, monkeypatch, spark, tmp_path):
+    """The written rows are the examples with their whole prefixes, and a rest that has no reply."""
+    want = brute_chat(TURNS)
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = df.cache()
+        return kept[name]
+
+    monkeypatch.setattr(queries, "written", keep)
+    spark.createDataFrame(TURNS, CONVERSATIONS).write.parquet(f"{tmp_path}/conversations.parquet")
+    assert {row.conv_id for row in queries.op11_prefix_target(spark, str(tmp_path)).collect()} == {*want, -7}
+    (rows,) = [df.collect() for df in kept.values()]
+    got = defaultdict(list)
+    for row in rows:
+        got[row.conv_id].append((row.position, row.prompt, row.reply))
+    for conv, (text, found) in want.items():
+        ends = bool(found) and text == found[-1][1] + found[-1][2] + "<|im_end|>\n"
+        rest = [] if ends else [(text.count("<|im_start|>") - 1, text, None)]
+        assert sorted(got[conv]) == found + rest
+
+
 def test_chat_spreads_a_long_conversation(spark):
     rows = spark.range(20_000).select(
         F.lit(1).cast("long").alias("conv_id"),
