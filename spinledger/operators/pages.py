@@ -5,14 +5,20 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from spinledger.functions.joins import BROADCAST_MAX_BYTES, BROADCAST_SETTING
+from spinledger.sources.tables import materialise, scratch_folder
 
 MIN_RATIO = 0.8
 MIN_FUZZY_LENGTH = 4
+#: Of a 64-bit key in a broadcast table.
+KEY_BYTES = 32
+#: Sizes of pieces that words of a length are expected to be cut into.
+SIZES = 8
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
@@ -38,11 +44,15 @@ def vocabulary(texts: DataFrame) -> DataFrame:
     return texts.select("page_id", F.explode(words).alias("word"))
 
 
-def grams(text: Column, size: Column) -> Column:
-    """All distinct substrings of a length."""
-    last = F.length(text) - (size - 1)
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, size)))
+def counted_words(texts: DataFrame) -> DataFrame:
+    """Distinct words with the number of pages that hold them, written once."""
+    counted = vocabulary(texts).groupBy("word").agg(F.count("*").alias("_pages"))
+    return materialise(counted, scratch_folder(texts.sparkSession) + "/words")
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes of rows sent to all tasks at once; a quarter, as a query holds several such tables."""
+    return int(spark.conf.get(BROADCAST_SETTING, str(BROADCAST_MAX_BYTES))) // 4
 
 
 def contained_names(texts: DataFrame, names: DataFrame, size: int = 4) -> DataFrame:
@@ -52,59 +62,96 @@ def contained_names(texts: DataFrame, names: DataFrame, size: int = 4) -> DataFr
     the name's first letters (up to ``size``). A name with a blank lies across a word border:
     the letters around its first blank are looked up among the borders of the page, or, where it
     has five words or more, its second to fourth word among the page's runs of three words. The
-    candidates are then checked against the whole text. Words and borders that many pages share
-    are left to adaptive execution, which splits such partitions of a join where they are hot.
+    candidates are then checked against the whole text. A name without a blank that lies in
+    more pairs of a page and a word than there are pages is looked for in the texts themselves,
+    where it is soon found; the others meet the pages through the words that hold them.
     Each page (``page_id``) is one row of ``texts``.
     """
     lone = names.filter(~F.col("name").contains(" ") & (F.col("name") != ""))
     spaced = names.filter(F.col("name").contains(" "))
-    words = vocabulary(texts)
-    return words_with(words, lone, size).unionByName(across_words(texts, spaced)).distinct()
+    return within_words(texts, lone, size).unionByName(across_words(texts, spaced)).distinct()
 
 
-def words_with(words: DataFrame, names: DataFrame, size: int) -> DataFrame:
+def words_with(vocabulary: DataFrame, names: DataFrame, size: int) -> DataFrame:
+    """Each word of a vocabulary with each name that it holds, once: taken at its first place."""
     length = F.least(F.length("name"), F.lit(size))
     keyed = names.select("name", length.alias("_size")).withColumn(
         "_gram", F.substring("name", F.lit(1), F.col("_size"))
     )
-    lengths = F.explode(F.sequence(F.lit(1), F.lit(size))).alias("_size")
+    last = F.length("word") - F.col("_size") + 1
     probes = (
-        words.select("word")
-        .distinct()
-        .select("word", lengths)
+        vocabulary.withColumn("_size", F.explode(F.sequence(F.lit(1), F.lit(size))))
         .join(F.broadcast(keyed.select("_size").distinct()), "_size", "left_semi")
-        .select("word", "_size", F.explode(grams(F.col("word"), F.col("_size"))).alias("_gram"))
+        .filter(last >= 1)
+        .withColumn("_at", F.explode(F.sequence(F.lit(1), last)))
+        .withColumn("_gram", F.substring("word", F.col("_at"), F.col("_size")))
     )
-    matched = (
-        probes.join(keyed, ["_size", "_gram"])
-        .filter(F.col("word").contains(F.col("name")))
-        .select("word", "name")
-        .distinct()
+    held = probes.join(small(keyed), ["_size", "_gram"])
+    return held.filter(F.position(F.col("name"), F.col("word")) == F.col("_at")).select(
+        "word", "_pages", "name"
     )
-    return words.join(matched, "word").select("page_id", "name").distinct()
+
+
+def with_keys(rows: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """Rows whose 64-bit key is among ``keys`` where these can be broadcast, else all rows."""
+    keys = keys.select(key.alias("_wanted")).distinct()
+    if keys.count() * KEY_BYTES > broadcast_limit(rows.sparkSession):
+        return rows
+    kept = rows.withColumn("_found", key).join(F.broadcast(keys), F.col("_found") == F.col("_wanted"), "left_semi")
+    return kept.drop("_found")
+
+
+def within_words(texts: DataFrame, names: DataFrame, size: int) -> DataFrame:
+    """Pages of names without a blank."""
+    folder, counted = scratch_folder(texts.sparkSession), counted_words(texts)
+    pages = texts.agg(F.count("*").alias("_all"))
+    # at most as many names as a page has pairs of a word and a name on average
+    common = (
+        words_with(counted, names, size)
+        .groupBy("name")
+        .agg(F.sum("_pages").alias("_pairs"))
+        .join(F.broadcast(pages), F.col("_pairs") > F.col("_all"), "left_semi")
+        .select("name")
+    )
+    common = F.broadcast(materialise(common, folder + "/common"))
+    often = texts.join(common, F.col("body").contains(F.col("name"))).select("page_id", "name")
+    rare = names.join(common, "name", "left_anti")
+    held = materialise(words_with(counted, rare, size).select("word", "name"), folder + "/held")
+    words = with_keys(vocabulary(texts), held, F.xxhash64("word"))
+    return often.unionByName(words.join(held, "word").select("page_id", "name"))
 
 
 BORDER = 3
 INNER = 3
+#: Letters of each side of a border.
+BORDERS = [(1, 1), (1, BORDER), (BORDER, 1), (BORDER, BORDER)]
+
+
+def tasks_of(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def fits(rows: DataFrame) -> bool:
+    """Whether the measured size of names allows to broadcast them."""
+    size = rows.agg(F.sum(F.octet_length("name") + 64)).first()[0] or 0
+    return size <= broadcast_limit(rows.sparkSession)
 
 
 def small(names: DataFrame) -> DataFrame:
     """Names to broadcast where their measured size allows it, else to be exchanged."""
-    limit = int(names.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_MAX_BYTES)))
-    size = names.agg(F.sum(F.octet_length("name") + 64)).first()[0] or 0
-    return F.broadcast(names) if size <= limit else names
+    return F.broadcast(names) if fits(names) else names
 
 
 def border_of(left: Column, right: Column, before: Column, after: Column) -> Column:
     return F.xxhash64(F.right(left, before), F.left(right, after))
 
 
-def run_of(words: Column, start: Column) -> Column:
-    return F.xxhash64(F.array_join(F.slice(words, start, F.lit(INNER)), " "))
+def run_of(*words: Column) -> Column:
+    return F.xxhash64(F.concat_ws(" ", *words))
 
 
 def across_words(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """Keys are hashes, distinct per page before any exchange; a collision is one more candidate.
+    """Keys are hashes; a collision is one more candidate. Only kinds of keys in use are made.
 
     A border takes ``BORDER`` letters of each side, or one where the name has fewer.
     """
@@ -113,26 +160,35 @@ def across_words(texts: DataFrame, names: DataFrame) -> DataFrame:
     def letters(part: Column) -> Column:
         return F.when(F.length(part) >= BORDER, F.lit(BORDER)).otherwise(F.least(F.length(part), F.lit(1)))
 
-    around = border_of(parts[0], parts[1], letters(parts[0]), letters(parts[1]))
+    before, after = letters(parts[0]), letters(parts[1])
+    around = border_of(parts[0], parts[1], before, after)
     long = F.size(parts) >= INNER + 2
-    keyed = names.select("name", F.when(long, run_of(parts, F.lit(2))).otherwise(around).alias("_key"))
-    words = F.col("_w")
-
-    def keys_at(i: Column) -> Column:
-        here, after = F.get(words, i), F.get(words, i + 1)
-        sizes = [F.lit(1), F.lit(BORDER)]
-        return F.array(run_of(words, i + 1), *[border_of(here, after, k, n) for k in sizes for n in sizes])
-
-    starts = F.sequence(F.lit(0), F.size(words) - 2)
-    keys = F.array_distinct(F.flatten(F.transform(starts, keys_at)))
+    keyed = names.select(
+        "name",
+        F.when(long, run_of(*[F.get(parts, F.lit(k)) for k in range(1, INNER + 1)])).otherwise(around).alias("_key"),
+        F.when(long, F.lit(0)).otherwise(before).alias("_before"),
+        F.when(long, F.lit(0)).otherwise(after).alias("_after"),
+    )
+    used = {tuple(row) for row in keyed.select("_before", "_after").distinct().collect()}  # five at most
+    # each word with those after it; missing ones are null
+    shifted = [F.slice("_w", k + 1, F.size("_w")) for k in range(INNER + 1)]
+    here, after = F.col("_z.w0"), F.col("_z.w1")
+    run = run_of(*[F.col(f"_z.w{k}") for k in range(1, INNER + 1)])
+    keys = [run] if (0, 0) in used else []
+    keys += [border_of(here, after, F.lit(k), F.lit(n)) for k, n in BORDERS if (k, n) in used]
     probes = (
-        texts.select("page_id", F.split("body", " ").alias("_w"))
-        .filter(F.size(words) > 1)
-        .select("page_id", F.explode(keys).alias("_key"))
+        texts.withColumn("_w", F.split("body", " "))
+        .withColumn("_z", F.explode(F.arrays_zip(*[w.alias(f"w{k}") for k, w in enumerate(shifted)])))
+        .filter(F.col("_z.w1").isNotNull())
+        .withColumn("_key", F.explode(F.array(*keys or [F.lit(None).cast("long")])))
     )
-    candidates = probes.join(small(keyed), "_key").select("page_id", "name").distinct()
-    checked = candidates.join(texts, "page_id").filter(F.col("body").contains(F.col("name")))
-    return checked.select("page_id", "name")
+    keyed = keyed.select("name", "_key")
+    held = F.col("body").contains(F.col("name"))
+    if fits(keyed):
+        return probes.select("page_id", "body", "_key").join(F.broadcast(keyed), "_key").filter(held).select("page_id", "name")
+    candidates = probes.select("page_id", "_key").join(keyed, "_key").select("page_id", "name").distinct()
+    same = candidates["page_id"].eqNullSafe(texts["page_id"])
+    return candidates.join(texts, same).filter(held).select(candidates["page_id"], "name")
 
 
 @F.pandas_udf(DoubleType())
@@ -146,71 +202,107 @@ def fuzzy_names(texts: DataFrame, names: DataFrame, min_ratio: float = MIN_RATIO
     """Page, name and closest word where no exact hit exists but a similar word does.
 
     A word of at least ``MIN_FUZZY_LENGTH`` letters is similar if its ``matching_ratio`` is above
-    ``min_ratio``; ties go to the greatest word. Matching blocks are a common subsequence, so at
-    most ``(1 - min_ratio)`` of the letters of both stay unmatched: letters left out of the name
-    (all its blanks are) and letters put in. Cutting the name into more pieces than there can be such
-    letters leaves one piece whole in the word, moved by no more than the letters before it;
-    name and word meet in an equi-join on the word's length and the piece and its place. Pairs
-    beyond that number of edits go before the ratio is taken, once per distinct word and name.
+    ``min_ratio``; ties go to the greatest word. Matching blocks are a common subsequence, so
+    less than ``(1 - min_ratio)`` of the letters of both stay unmatched: letters left out of the name
+    (all its blanks are, and go first) and letters put in. Cutting the name into more pieces than
+    there can be such letters leaves one piece whole in the word, with no more of them before it
+    than pieces before it and no more after it than pieces after it, which bounds how far it moved;
+    name and word meet in an equi-join on a hash of the word's length and the piece and its
+    place. Pairs beyond that number of edits go before the ratio is taken, once per distinct word
+    and name. Only pages and names with a similar word are looked at for an exact hit.
     """
-    exact = contained_names(texts, names)
-    words = vocabulary(texts).filter(F.length("word") >= MIN_FUZZY_LENGTH)
-    distinct = words.select("word").distinct()
+    distinct = counted_words(texts).filter(F.length("word") >= MIN_FUZZY_LENGTH).select("word")
+    near = materialise(similar(distinct, names, min_ratio), scratch_folder(texts.sparkSession) + "/near")
+    best = F.max_by("word", F.struct("ratio", "word"))
+    exact = (F.col("page_id") == F.col("_page")) & F.col("body").contains(F.col("name"))
+    return (
+        with_keys(vocabulary(texts), near, F.xxhash64("word"))
+        .join(near, "word")
+        .groupBy("page_id", "name")
+        .agg(best.alias("similar_word"), F.round(F.max("ratio"), 6).alias("ratio"))
+        .join(texts.withColumnRenamed("page_id", "_page"), exact, "left_anti")
+    )
+
+
+def pairs_of(names: DataFrame, lengths: DataFrame, min_ratio: float) -> DataFrame:
+    """Names with the lengths of words that may be similar, edits (out and in) and size of pieces."""
     n, m = F.length("name"), F.col("_length")
-    lengths = distinct.select(F.length("word").alias("_length")).distinct()
     widest = (2 - min_ratio) / min_ratio
     low, high = F.ceil(n / widest).cast("int"), F.floor(n * widest).cast("int")
-    unmatched = F.floor((1 - min_ratio) * (n + m) + 1e-9).cast("int")
-    blanks = n - F.length(F.replace("name", F.lit(" "), F.lit("")))
-    left_out = F.floor((F.col("_edits") + n - m) / 2).cast("int")
-    put_in = F.floor((F.col("_edits") - n + m) / 2).cast("int")
-    pairs = (
+    most = F.floor((1 - min_ratio) * (n + m) + 1e-9).cast("int")
+    unmatched = most - F.when((n + m - most) / (n + m) > min_ratio, 0).otherwise(1)
+    plain = F.replace("name", F.lit(" "), F.lit(""))
+    blanks = n - F.length("_plain")
+    left_out = F.floor((F.col("_unmatched") + n - m) / 2).cast("int") - blanks
+    put_in = F.floor((F.col("_unmatched") - n + m) / 2).cast("int")
+    return (
         names.filter(n > 0)
+        .withColumn("_plain", plain)
         .withColumn("_length", F.explode(F.sequence(low, high)))
-        .join(lengths, "_length", "left_semi")
-        .withColumn("_edits", unmatched)
+        .join(F.broadcast(lengths), "_length", "left_semi")
+        .withColumn("_unmatched", unmatched)
         .withColumns({"_out": left_out, "_in": put_in})
-        .filter((F.col("_out") >= blanks) & (F.col("_in") >= 0))
-        .withColumn("_count", F.col("_out") + F.col("_in") + 1)
-        .withColumn("_size", F.greatest(F.lit(1), F.floor(n / F.col("_count")).cast("int")))
-    )
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.col("_count") - 1),
-        lambda i: F.struct(
-            (i * F.col("_size") + 1).alias("at"),
-            F.substring("name", i * F.col("_size") + 1, F.col("_size")).alias("part"),
-        ),
+        .filter((F.col("_out") >= 0) & (F.col("_in") >= 0))
+        .withColumn("_edits", F.col("_out") + F.col("_in"))
+        .withColumn("_size", F.greatest(F.lit(1), F.floor(F.length("_plain") / (F.col("_edits") + 1)).cast("int")))
     )
-    shared = ["_length", "_size", "_at", "_part"]
-    keyed = (
-        pairs.withColumn("_p", F.explode(pieces))
-        .filter(~F.col("_p.part").contains(" "))
+
+
+def pieces_of(names: DataFrame, lengths: DataFrame, min_ratio: float) -> DataFrame:
+    """Places (_length, _size, _at, _part) where pieces of a name lie in similar words."""
+    pairs = pairs_of(names, lengths, min_ratio).drop("_unmatched")
+    pairs = pairs.repartition(tasks_of(names.sparkSession), "name", "_length")  # few rows, made many
+    m, count = F.col("_length"), F.col("_edits") + 1
+    move, i = F.col("_move"), F.col("_i")
+    enough = F.length("_plain") >= count
+    near = (F.abs(move) <= i) & (F.abs(m - F.length("_plain") - move) <= F.col("_edits") - i)
+    start = i * F.col("_size") + 1
+    return (
+        pairs.withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(count, F.length("_plain")) - 1)))
         .withColumn("_move", F.explode(F.sequence(-F.col("_out"), F.col("_in"))))
-        .select("name", "_edits", "_length", "_size", F.col("_p.part").alias("_part"), (F.col("_p.at") + F.col("_move")).alias("_at"))
-        .filter((F.col("_at") >= 1) & (F.col("_at") + F.col("_size") - 1 <= F.col("_length")))
+        .filter(~enough | near)
+        .withColumns({"_at": start + move, "_part": F.substring("_plain", start, F.col("_size"))})
+        .filter((F.col("_at") >= 1) & (F.col("_at") + F.col("_size") - 1 <= m))
+        .select("name", "_plain", "_edits", "_length", "_size", "_at", "_part")
+    )
+
+
+def similar(distinct: DataFrame, names: DataFrame, min_ratio: float) -> DataFrame:
+    """Distinct words and names whose ``matching_ratio`` is above ``min_ratio``."""
+    spark = distinct.sparkSession
+    folder, m = scratch_folder(spark), F.length("word")
+    # as many rows as the longest word has letters
+    counts = distinct.groupBy(m.alias("_length")).agg(F.count("*").alias("_words"))
+    upto = F.sum(F.col("_words") * F.col("_length")).over(W.orderBy("_words", "_length"))
+    few = (upto * KEY_BYTES * SIZES <= broadcast_limit(spark)).alias("_few")
+    lengths = materialise(counts.select("_length", few), folder + "/lengths")
+    sizes = materialise(  # bounded by the square of the longest name
+        pairs_of(names, lengths, min_ratio).select("_length", "_size").distinct().join(lengths, "_length"),
+        folder + "/sizes",
     )
-    # lengths and piece sizes in use: bounded by the square of the longest name
-    sizes = pairs.select("_length", "_size").distinct()
+    place = F.xxhash64("_length", "_size", "_at", "_part").alias("_key")
     last = F.col("_length") - F.col("_size") + 1
     probes = (
-        distinct.withColumn("_length", F.length("word"))
-        .join(sizes, "_length")
-        .filter(last >= 1)
+        distinct.withColumn("_length", m)
+        .join(F.broadcast(sizes), "_length")
         .withColumn("_at", F.explode(F.sequence(F.lit(1), last)))
         .withColumn("_part", F.substring("word", F.col("_at"), F.col("_size")))
+        .select("word", place, "_few")
     )
-    near = (
-        probes.join(keyed, shared)
-        .filter(F.levenshtein("word", "name") <= F.col("_edits"))
+    rare, common = (lengths.filter(x) for x in (F.col("_few"), ~F.col("_few")))
+
+    def keyed_of(some: DataFrame) -> DataFrame:
+        return pieces_of(names, some, min_ratio).select("name", "_plain", "_edits", place)
+
+    # where words of a length are few, their places choose the pieces of names; else the other way
+    keyed = with_keys(keyed_of(rare), probes.filter("_few"), F.col("_key")).unionByName(keyed_of(common))
+    keyed = materialise(keyed.distinct(), folder + "/keyed")
+    return (
+        with_keys(probes, keyed, F.col("_key"))
+        .join(keyed, "_key")
+        .filter(F.levenshtein("word", "_plain") <= F.col("_edits"))
         .select("word", "name")
         .distinct()
         .withColumn("ratio", matching_ratio("name", "word"))
         .filter(F.col("ratio") > min_ratio)
     )
-    best = F.max_by("word", F.struct("ratio", "word"))
-    return (
-        words.join(near, "word")
-        .join(exact, ["page_id", "name"], "left_anti")
-        .groupBy("page_id", "name")
-        .agg(best.alias("similar_word"), F.round(F.max("ratio"), 6).alias("ratio"))
-    )

@@ -347,6 +347,12 @@ WHERE name <> ''""",
 )
 
 
+def texts_and_names(t):
+    """Texts and names of the pages, written once as several steps read them."""
+    texts = t.written("page_texts", lambda: pages.page_texts(t.read("pages")))
+    return texts, t.written("page_names", lambda: pages.link_names(t.read("pages")))
+
+
 @query(
     "j20_page_membership",
     sql(
@@ -356,15 +362,13 @@ WHERE name <> ''""",
     ),
 )
 def page_membership(t):
-    hits = pages.contained_names(pages.page_texts(t.read("pages")), pages.link_names(t.read("pages")))
-    return hits.select("page_id", "name")
+    return pages.contained_names(*texts_and_names(t)).select("page_id", "name")
 
 
 # SQL has no ratio of matching blocks; checked against brute force in the tests.
 @query("j20_page_fuzzy_names")
 def page_fuzzy_names(t):
-    texts, names = pages.page_texts(t.read("pages")), pages.link_names(t.read("pages"))
-    return pages.fuzzy_names(texts, names)
+    return pages.fuzzy_names(*texts_and_names(t))
 
 
 @query(

@@ -2,6 +2,7 @@ import datetime as dt
 import difflib
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from spinledger.operators import (
@@ -279,6 +280,30 @@ def test_names_of_links_and_titles(spark):
     assert {r.name for r in pages.link_names(rows).collect()} == {"sigur rós &amp; co", "björk", "東京 事変"}
 
 
+@pytest.mark.parametrize("limit", ["1000000", "0"])
+def test_names_on_pages_without_id_and_common_names(spark, limit):
+    bodies = [(None, "a daft punk show"), (None, "no hit"), (1, "a b a c"), (2, "banana daft")]
+    texts = spark.createDataFrame(bodies, "page_id bigint, body string")
+    names = ["daft punk", "a", "an", "b", "daft", "na"]
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    try:
+        spark.conf.set("spinledger.broadcast.maxBytes", limit)
+        hits = sorted(map(str, pages.contained_names(texts, table).collect()))
+    finally:
+        spark.conf.unset("spinledger.broadcast.maxBytes")
+    want = {(p, n) for p, b in bodies for n in names if n in b}
+    assert hits == sorted(str(Row(page_id=p, name=n)) for p, n in want)
+
+
+def test_a_title_has_few_pieces(spark):
+    title = "thshly theaoror anblest thtionnt ndedin lysh oned onerre. of"
+    names = spark.createDataFrame([(title,), ("coldplay",)], "name string")
+    lengths = spark.createDataFrame([(52,), (8,)], "_length int")
+    rows = pages.pieces_of(names, lengths, 0.8).groupBy("name").count().collect()
+    assert {r.name: r["count"] for r in rows}[title] <= 120
+    assert {r.name: r["count"] for r in rows}["coldplay"] <= 8
+
+
 def test_fuzzy_names_against_all_pairs(spark):
     import random
 
