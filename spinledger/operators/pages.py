@@ -168,24 +168,32 @@ def across_words(texts: DataFrame, names: DataFrame) -> DataFrame:
         F.when(long, run_of(*[F.get(parts, F.lit(k)) for k in range(1, INNER + 1)])).otherwise(around).alias("_key"),
         F.when(long, F.lit(0)).otherwise(before).alias("_before"),
         F.when(long, F.lit(0)).otherwise(after).alias("_after"),
+        parts[0].alias("_first"),
+        parts[1].alias("_second"),
+        (F.size(parts) > 2).alias("_more"),
     )
     used = {tuple(row) for row in keyed.select("_before", "_after").distinct().collect()}  # five at most
     # each word with those after it; missing ones are null
     shifted = [F.slice("_w", k + 1, F.size("_w")) for k in range(INNER + 1)]
-    here, after = F.col("_z.w0"), F.col("_z.w1")
+    here, following = F.col("_z.w0"), F.col("_z.w1")
     run = run_of(*[F.col(f"_z.w{k}") for k in range(1, INNER + 1)])
     keys = [run] if (0, 0) in used else []
-    keys += [border_of(here, after, F.lit(k), F.lit(n)) for k, n in BORDERS if (k, n) in used]
+    keys += [border_of(here, following, F.lit(k), F.lit(n)) for k, n in BORDERS if (k, n) in used]
     probes = (
         texts.withColumn("_w", F.split("body", " "))
         .withColumn("_z", F.explode(F.arrays_zip(*[w.alias(f"w{k}") for k, w in enumerate(shifted)])))
         .filter(F.col("_z.w1").isNotNull())
         .withColumn("_key", F.explode(F.array(*keys or [F.lit(None).cast("long")])))
     )
-    keyed = keyed.select("name", "_key")
+    keyed = keyed.drop("_before", "_after")
     held = F.col("body").contains(F.col("name"))
+    # the words of the place first, as a text is long
+    second = F.when(F.col("_more"), F.col("_w1") == F.col("_second")).otherwise(F.col("_w1").startswith(F.col("_second")))
+    there = F.when(F.col("_w0").endswith(F.col("_first")) & second, held).otherwise(False)
     if fits(keyed):
-        return probes.select("page_id", "body", "_key").join(F.broadcast(keyed), "_key").filter(held).select("page_id", "name")
+        placed = probes.select("page_id", "body", "_key", here.alias("_w0"), following.alias("_w1"))
+        return placed.join(F.broadcast(keyed), "_key").filter(there).select("page_id", "name")
+    keyed = keyed.select("name", "_key")
     candidates = probes.select("page_id", "_key").join(keyed, "_key").select("page_id", "name").distinct()
     same = candidates["page_id"].eqNullSafe(texts["page_id"])
     return candidates.join(texts, same).filter(held).select(candidates["page_id"], "name")
