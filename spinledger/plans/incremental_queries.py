@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -36,6 +38,15 @@ def nested_plays(t):
     )
 
 
+#: Plays to a landed file, about 100 MB, so that many tasks write and read a large batch.
+PLAYS_A_FILE = 1 << 18
+
+
+def files_a_batch(t, batches: int = 3) -> int:
+    """Files of a batch where all plays land in so many batches; one file for small tables."""
+    return max(1, math.ceil(t.read("events").count() / (batches * PLAYS_A_FILE)))
+
+
 FLAT_SQL = """SELECT played_at, played_at_timestamp, played_at_date, played_at_hour, track_id,
   track_name, track_duration_ms, track_popularity, track_explicit, primary_artist_id,
   primary_artist_name, album_id, album_name, album_type, album_release_date, album_total_tracks,
@@ -197,19 +208,19 @@ def not_processed(t):
     ),
 )
 def stream_to_silver(t):
-    """Nested JSON files through a stream, one file per batch; then read back.
+    """Nested JSON files through a stream, one file per batch (more for large tables); then read back.
 
     Every file mixes all dates, every play comes twice in different files, and one more file
     with a bad line is skipped whole.
     """
-    folder = t.scratch
+    folder, files = t.scratch, files_a_batch(t)
     plays = nested_plays(t)
-    plays.repartition(4).write.json(folder + "/raw")
-    plays.repartition(2).write.mode("append").json(folder + "/raw")
+    plays.repartition(4 * files).write.json(folder + "/raw")
+    plays.repartition(2 * files).write.mode("append").json(folder + "/raw")
     good = plays.limit(1).select(F.to_json(F.struct(F.struct("track.*").alias("track"))).alias("value"))
     bad = t.spark.createDataFrame([("{\"played_at\": ",)], "value string")
     good.union(bad).coalesce(1).write.mode("append").text(folder + "/raw")
-    lines = ingest.stream_lines(t.spark, folder + "/raw", files_per_batch=1)
+    lines = ingest.stream_lines(t.spark, folder + "/raw", files_per_batch=files)
     step = ingest.append_plays(folder + "/silver", t.artists)
     ingest.start(lines, folder + "/checkpoint", step, "silver").awaitTermination()
     rows = t.spark.read.parquet(folder + "/silver")
@@ -436,19 +447,21 @@ sums AS (
 SELECT sums.*, top FROM sums LEFT JOIN tops USING (mart, part)"""
 
 
-def streamed_plays(t, folder: str) -> None:
-    """Nested JSON files in which every play comes twice, in different files."""
+def streamed_plays(t, folder: str, files: int) -> None:
+    """Nested JSON files, three times ``files``, and as many in which every play comes again."""
     plays = nested_plays(t)
-    plays.repartition(3).write.json(folder)
-    plays.repartition(3, "track.id").write.mode("append").json(folder)
+    plays.repartition(3 * files).write.json(folder)
+    spread = F.pmod(F.xxhash64("played_at"), F.lit(files))  # or a track would be one task's
+    plays.repartition(3 * files, "track.id", spread).write.mode("append").json(folder)
 
 
 @query("st5_incremental_marts", sql(MART_SQL, "silver"))
 def incremental_marts(t):
     """Six batches through the listening cycle; the daily, genre and monthly marts it keeps."""
     folder = t.scratch
-    streamed_plays(t, folder + "/marts_raw")
-    lines = ingest.stream_lines(t.spark, folder + "/marts_raw", files_per_batch=1)
+    files = files_a_batch(t)
+    streamed_plays(t, folder + "/marts_raw", files)
+    lines = ingest.stream_lines(t.spark, folder + "/marts_raw", files_per_batch=files)
     step = ingest.silver_and_gold(folder + "/marts_silver", folder + "/marts", t.artists)
     ingest.start(lines, folder + "/marts_checkpoint", step, "marts").awaitTermination()
     tables = ingest.open_marts(t.spark, folder + "/marts")
@@ -487,9 +500,10 @@ def listening_cycle(t):
     """
     folder = t.scratch + "/cycle"
     raw, silver_path, files = folder + "/raw", folder + "/silver", folder + "/quarantine"
+    share = files_a_batch(t)
     bad = t.spark.createDataFrame([('{"played_at": ',)], "value string")
     bad.coalesce(1).write.text(raw)
-    lines = ingest.stream_lines(t.spark, raw, files_per_batch=1)
+    lines = ingest.stream_lines(t.spark, raw, files_per_batch=share)
     step, failed = ingest.append_plays(silver_path, t.artists, files), []
 
     def once_failing(batch, number):
@@ -500,7 +514,7 @@ def listening_cycle(t):
 
     ingest.run_cycle(lines, folder + "/checkpoint", once_failing, "cycle", target=silver_path)
     plays = nested_plays(t)
-    plays.repartition(3).write.mode("append").json(raw)
+    plays.repartition(3 * share).write.mode("append").json(raw)
     ingest.run_cycle(lines, folder + "/checkpoint", once_failing, "cycle", target=silver_path)
     ingest.compact(t.spark, silver_path)
     ingest.vacuum(t.spark, silver_path)

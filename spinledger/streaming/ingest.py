@@ -9,7 +9,9 @@ twice.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spinledger import schema
 from spinledger.functions.joins import join_dimension
+from spinledger.functions.timeparts import add_local_time
 from spinledger.operators import gold, marts
 from spinledger.operators.feeds import reduce_ml_source, upsert_ml_discoveries
 from spinledger.operators.flatten import flatten_plays
@@ -124,7 +127,8 @@ def append_plays(path: str, artists: DataFrame, quarantine: str | None = None) -
     A file with a bad line is skipped whole, as in a batch read; ``quarantine`` names a table that
     remembers it (see ``with_retries``). A play is new if no earlier batch wrote it, however late
     it comes: the play key fixes the local date, so only the dates of the batch are read for
-    that. The batch's own number is left out, so that a repeated batch repeats itself.
+    that. The batch's own number is left out, so that a repeated batch repeats itself. Known plays
+    go where the keys of the batch meet, before the others are enriched and written.
     """
     append = append_by_date(path)
 
@@ -134,16 +138,15 @@ def append_plays(path: str, artists: DataFrame, quarantine: str | None = None) -
         rows = staged(lines, schema.RAW_PLAY, folder + "/staged")
         if quarantine is not None:
             remember_files(rows, quarantine, number)
-        plays = with_play_key(flatten_plays(good_files(rows).drop("file_name")))
-        silver = enrich_plays(plays.dropDuplicates(["unique_play"]), artists)
-        silver = materialise(silver, folder + "/silver")
+        landed = with_play_key(flatten_plays(good_files(rows).drop("file_name")))
+        plays = landed.dropDuplicates(["unique_play"])
         written = live_plays(spark, path)
         if written is not None:
-            dates = silver.select("local_date").distinct()
+            dates = add_local_time(landed.select("played_at")).select("local_date").distinct()
             keys = written.filter(F.col("batch") < number).select("unique_play", "local_date")
             keys = join_dimension(keys, dates, "local_date", "left_semi")
-            silver = silver.join(keys, ["unique_play", "local_date"], "left_anti")
-        append(silver, number)
+            plays = plays.join(keys, "unique_play", "left_anti")
+        append(enrich_plays(plays, artists), number)
         remove(spark, folder)
 
     return step
@@ -273,9 +276,11 @@ def refresh_marts(state_path: str, gold_path: str) -> Step:
 
     def step(plays: DataFrame, number: int) -> None:
         folder = scratch_folder(plays.sparkSession)
-        for name, (mart, finish) in MARTS.items():
 
-            def merge(old: DataFrame | None, new: DataFrame, mart=mart, name=name) -> DataFrame:
+        def refreshed(name: str) -> None:
+            mart, finish = MARTS[name]
+
+            def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
                 both = new if old is None else old.unionByName(new)
                 return mart.merge(both.drop("part")).withColumn("part", part_of(name))
 
@@ -285,6 +290,10 @@ def refresh_marts(state_path: str, gold_path: str) -> Step:
             rows = join_dimension(plays.sparkSession.read.parquet(states), touched, "part", "left_semi")
             done = finish(rows.drop("part", "batch")).withColumn("part", part_of(name))
             replace_partitions(done, f"{gold_path}/{name}", ["part"])
+
+        # side by side: most of their jobs are too short to fill a cluster
+        with ThreadPoolExecutor(len(MARTS)) as pool:
+            list(pool.map(inheritable_thread_target(plays.sparkSession)(refreshed), MARTS))
         remove(plays.sparkSession, folder)
 
     return step
@@ -311,7 +320,9 @@ def silver_and_gold(
         append(batch, number)
         written = stored(batch.sparkSession, silver_path)
         if written is not None:
-            refresh(written.filter(F.col("batch") == number).drop("batch"), number)
+            added = written.filter(F.col("batch") == number).drop("batch")
+            if not added.isEmpty():  # else no mart changes
+                refresh(added, number)
 
     return step
 

@@ -1,11 +1,14 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from spinledger.operators import gold
+from spinledger.plans import incremental_queries
 from spinledger.plans.incremental_queries import nested_plays
 from spinledger.sources import tables as stored
+from spinledger.sources.driver_tables import Tables
 from spinledger.streaming import ingest
 
 
@@ -52,6 +55,37 @@ def test_stream_skips_files_with_a_bad_line(spark, tables, tmp_path):
     assert rows.filter("unique_play IS NULL").count() == 0
 
 
+def test_silver_is_written_once_and_a_batch_of_known_plays_touches_no_mart(spark, tables, tmp_path, monkeypatch):
+    """Silver rows are not put aside before they are appended; without new plays the marts rest."""
+    raw, silver, daily = str(tmp_path / "raw"), str(tmp_path / "silver"), str(tmp_path / "daily")
+    aside, merged = [], []
+    put, merge = ingest.materialise, ingest.merge_partitions
+    monkeypatch.setattr(ingest, "materialise", lambda df, path, *a: aside.append(path) or put(df, path, *a))
+    monkeypatch.setattr(ingest, "merge_partitions", lambda d, p, *a: merged.append(p) or merge(d, p, *a))
+    step = ingest.silver_and_gold(silver, daily, tables.artists)
+    plays = nested_plays(tables).limit(40).localCheckpoint()
+    for number in range(2):
+        plays.coalesce(1).write.mode("append").json(raw)
+        lines = ingest.stream_lines(spark, raw)
+        ingest.start(lines, str(tmp_path / "c"), step, f"once{number}").awaitTermination()
+    assert aside == []
+    assert sorted(p.rsplit("/", 1)[1] for p in merged) == ["day", "genre", "month"]
+    rows = spark.read.parquet(silver)
+    assert (rows.count(), {r.batch for r in rows.select("batch").distinct().collect()}) == (40, {0})
+
+
+def test_files_of_a_batch_follow_the_plays(spark, folder, monkeypatch):
+    tables = Tables(spark, folder)
+    plays = tables.read("events").count()
+    assert incremental_queries.files_a_batch(tables) == 1
+    monkeypatch.setattr(incremental_queries, "PLAYS_A_FILE", 100)
+    assert incremental_queries.files_a_batch(tables) == -(-plays // 300)
+    monkeypatch.setattr(incremental_queries, "PLAYS_A_FILE", plays // 6)
+    got = incremental_queries.stream_to_silver(tables)
+    assert len(list(Path(tables.scratch, "raw").glob("part-*"))) > 7
+    assert got.count() == tables.silver.count()
+
+
 def test_upsert_touches_few_partitions_and_repeats_nothing(spark, tables, tmp_path):
     path = tmp_path / "t"
     step = ingest.upsert_ml(str(path), F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz"))
