@@ -68,7 +68,11 @@ def average(name: str) -> Column:
 
 @dataclass(frozen=True)
 class Mart:
-    """What a mart groups by and counts, as SQL on a play; ``masked`` is the kind with the mask."""
+    """What a mart groups by and counts, as SQL on a play; ``masked`` is the kind with the mask.
+
+    ``summed`` is false where a kind tells the plays apart: then cells are plays, and summing them
+    first would exchange every play once more for nothing.
+    """
 
     group: tuple[str, ...]
     kinds: dict[str, str]
@@ -76,6 +80,7 @@ class Mart:
     masked: str
     measures: Measures
     keep: str = "true"
+    summed: bool = True
 
     def merged(self, rows: DataFrame, keys: list[str]) -> DataFrame:
         """Rows with plays, mask and measures, added up per key."""
@@ -93,6 +98,8 @@ class Mart:
             f"{self.mask} AS mask",
             *[f"{value} AS {name}" for name, (value, _) in self.measures.items()],
         )
+        if not self.summed:
+            return rows
         return self.merged(rows, [*self.group, *[f"_{kind}" for kind in self.kinds]])
 
     def states(self, plays: DataFrame) -> DataFrame:
@@ -169,7 +176,7 @@ DAY = Mart(
     },
 )
 #: For plays whose keys may repeat.
-DAY_WITH_KEYS = replace(DAY, kinds=DAY.kinds | {"play": "unique_play"})
+DAY_WITH_KEYS = replace(DAY, kinds=DAY.kinds | {"play": "unique_play"}, summed=False)
 
 MONTH = Mart(
     group=("local_year", "local_month", "local_quarter"),

@@ -1,5 +1,6 @@
 import datetime as dt
 import difflib
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import Row
@@ -10,6 +11,7 @@ from spinledger.operators import (
     flatten,
     genres,
     gold,
+    marts,
     modellog,
     pages,
     silver,
@@ -457,3 +459,22 @@ def test_factorisation_follows_the_updates_and_falls(spark):
     assert [r.genre for r in best] == [names[i] for i in order]
     empty = factors.factorise(spark.createDataFrame([], schema), 2, 2)
     assert factors.best_genres(empty).count() == 0
+
+
+def test_daily_states_with_play_keys_exchange_each_play_once(spark):
+    """Plays told apart by their key are not summed into cells first; repeated keys count once."""
+    plays = spark.sql(
+        """SELECT date'2024-01-01' + int(id % 3) AS local_date, false AS is_weekend, 1 AS local_quarter,
+  2024 AS local_year, string(id % 7) AS track_id, string(id % 5) AS primary_artist_id, 'a' AS album_id,
+  CASE WHEN id % 2 = 0 THEN 'pop' END AS primary_genre, string(id % 30) AS unique_play,
+  timestamp_ntz'2024-01-01 10:00:00' AS local_timestamp, 10 AS local_hour, 1.5D AS track_duration_minutes,
+  false AS is_multi_genre_artist, 'album' AS listening_source, 50 AS track_popularity,
+  40 AS artist_popularity, timestamp_ntz'2024-01-02 00:00:00' AS ingested_at FROM range(60)"""
+    )
+    states = marts.DAY_WITH_KEYS.states(plays)
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    summed = replace(marts.DAY_WITH_KEYS, summed=True).states(plays)
+    assert sorted(map(str, states.collect())) == sorted(map(str, summed.collect()))
+    for row in gold.daily_summary(plays, top="min", plays_unique=False).collect():
+        assert (row.total_plays, row.repeat_play_percentage, row.top_genre) == (20, 50.0, "pop")
