@@ -451,8 +451,9 @@ def streamed_plays(t, folder: str, files: int) -> None:
     """Nested JSON files, three times ``files``, and as many in which every play comes again."""
     plays = nested_plays(t)
     plays.repartition(3 * files).write.json(folder)
-    spread = F.pmod(F.xxhash64("played_at"), F.lit(files))  # or a track would be one task's
-    plays.repartition(3 * files, "track.id", spread).write.mode("append").json(folder)
+    # with more files, a track is dealt over them, or it would be one task's
+    spread = [F.pmod(F.xxhash64("played_at"), F.lit(files))] if files > 1 else []
+    plays.repartition(3 * files, "track.id", *spread).write.mode("append").json(folder)
 
 
 @query("st5_incremental_marts", sql(MART_SQL, "silver"))
