@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spinledger.llm import htmltext, langid, maxent, toxicity
@@ -206,6 +207,73 @@ def test_language_model_follows_the_vocabulary():
     assert rows(100) <= 1 << 13 < rows(600_000) <= 1 << 14 < rows(2_000_000)
 
 
+def small_vocabulary():
+    endings = {b"ab": 1 + maxent.SINGLES, b"c": 2 + maxent.SINGLES}
+    hot = [*(f"h{n}".encode() for n in range(maxent.SINGLES)), b"xab", b"c"]
+    counts = np.arange(len(hot), 0, -1)
+    some = np.arange(maxent.CLASSES, dtype=float) % 9 + 1
+    return maxent.Vocabulary(999, 99, hot, counts, endings, some, some, some * 0)
+
+
+def test_classes_go_by_groups_with_the_gradient_of_all_their_logits():
+    vocab, rng = small_vocabulary(), np.random.default_rng(5)
+    assert sorted(vocab.slots) == list(range(maxent.CLASSES))
+    rows = rng.integers(0, 40, (50, maxent.FEATURES)).astype(np.uint16)
+    rows[:, 0] = maxent.CONSTANT
+    rows[:, 5] += 100 * rng.integers(1, 9, 50).astype(np.uint16)
+    slots = rng.integers(0, maxent.CLASSES // 2, 50)  # the other groups are never met
+    weights = maxent.first_weights(vocab) + rng.normal(0, 1, (1 << vocab.bits, maxent.WIDTH)).astype(np.float32)
+    want, squares, met = weights.astype(float), np.zeros(weights.shape), np.zeros(len(weights))
+
+    def softmaxes(row, slot):
+        """Columns and probabilities of the groups, and of the members of the slot's group."""
+        logits = want[row].sum(0)
+        low = maxent.GROUPS + slot // maxent.MEMBERS * maxent.MEMBERS
+        for part, own in (((0, maxent.GROUPS), slot // maxent.MEMBERS), ((low, low + maxent.MEMBERS), slot % maxent.MEMBERS)):
+            exps = np.exp(logits[slice(*part)])
+            yield slice(*part), own, exps / exps.sum()
+
+    found = maxent.log_probabilities(weights, rows, slots)
+    brute = [sum(np.log(p[own]) for _, own, p in softmaxes(r, s)) for r, s in zip(rows, slots, strict=True)]
+    assert np.allclose(found, brute, atol=1e-4)
+    every = maxent.log_probabilities(weights, np.repeat(rows[:1], maxent.CLASSES, 0), np.arange(maxent.CLASSES))
+    assert math.isclose(np.exp(every).sum(), 1, abs_tol=1e-4)
+
+    errors = np.zeros((len(rows), maxent.WIDTH))
+    for error, row, slot in zip(errors, rows, slots, strict=True):
+        for part, own, p in softmaxes(row, slot):
+            error[part] = p
+            error[part.start + own] -= 1
+    for n in range(maxent.FEATURES):
+        for row in np.unique(rows[:, n]):
+            own = rows[:, n] == row
+            sums = errors[own].sum(0)
+            squares[row] += sums**2
+            want[row] -= maxent.RATE * sums / np.sqrt(squares[row] + 1e-6)
+            met[row] += own.sum()
+    tokens = maxent.Tokens(np.array([50]), slots, slots, slots, rows, None, slots, slots)
+    before, count = weights.copy(), np.zeros(len(weights))
+    maxent.gradient_steps(weights, np.zeros_like(weights), count, tokens)
+    assert np.allclose(weights, want, atol=2e-3) and (count == met).all()
+    unmet = maxent.GROUPS + maxent.CLASSES // 2
+    assert (weights[:, unmet:] == before[:, unmet:]).all()
+
+
+def test_tokens_of_odd_texts():
+    vocab = small_vocabulary()
+    texts = ["H0 xAB\x0bc\tq", "", " \r\n", "zzab\x00 \x85h1", "É é zzab"]
+    got = maxent.tokens_of(pa.array(texts), vocab)
+    hot = [*(f"h{n}".encode() for n in range(maxent.SINGLES)), b"xab", b"c"]
+    split = [t.encode().lower().split() for t in texts]
+    assert got.lengths.tolist() == [len(w) + 1 for w in split]
+    assert got.hot.tolist() == [n for w in split for n in [*(hot.index(x) if x in hot else -1 for x in w), -1]]
+    classes = {x: n + 1 for n, x in enumerate(hot[: maxent.SINGLES])}
+    assert got.classes.tolist() == [n for w in split for n in [*(classes.get(x, vocab.tail_class(x)) for x in w), 0]]
+    rare = [[x for x in w if x not in hot] for w in split]
+    assert got.tails.to_pylist() == sum(rare, []) and got.tail_lengths.tolist() == [len(r) for r in rare]
+    assert got.tail_classes.tolist() == [vocab.tail_class(x) for x in sum(rare, [])]
+
+
 def test_code_points_above_the_table_are_letters_only_by_category(spark):
     texts = [EN] * 10 + ["\U000F0000" * 3 + "123", "\U000E0041 \U0010FFFD", "\U00020000\U0002A6D6"]
     docs = many(spark, texts, ["en"] * len(texts))
