@@ -114,6 +114,17 @@ def test_large_dimension_is_not_broadcast(spark):
     assert not joins.fits_broadcast(dim, max_bytes=10)
 
 
+def test_dimension_is_measured_by_its_rows_not_by_its_files(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(3_000_000).selectExpr("id % 7 AS key", "'a name of some length' AS name").write.parquet(path)
+    dim = spark.read.parquet(path)
+    assert joins.planned_bytes(dim) < 1 << 20 and not joins.fits_broadcast(dim)
+    assert not joins.fits_broadcast(dim.groupBy("key").agg(F.max("name").alias("name")))
+    assert joins.fits_broadcast(dim, max_bytes=1 << 30)
+    joined = joins.join_dimension(spark.range(10).withColumnRenamed("id", "key"), dim, "key")
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().analyzed().toString()
+
+
 def test_exact_row_number_is_gap_free_and_ordered(spark):
     rows = spark.range(500).selectExpr("id % 3 AS a", "string(id) AS b")
     got = ranking.exact_row_number(rows, ["a", "b"], "n").collect()
