@@ -259,6 +259,106 @@ def test_classes_go_by_groups_with_the_gradient_of_all_their_logits():
     assert (weights[:, unmet:] == before[:, unmet:]).all()
 
 
+def tree_vocabulary():
+    """Two classes of words, one with 40 leaves and one with one, after SINGLES frequent words."""
+    hot = [*(f"h{n}" for n in range(maxent.SINGLES)), *(f"w{n}ab" for n in range(40)), "xc", "yc", "zab"]
+    counts = np.r_[np.arange(maxent.SINGLES, 0, -1) + 900, np.arange(40, 0, -1) * 20, 2, 1, 1]
+    endings = {b"ab": 1 + maxent.SINGLES, b"xc": 2 + maxent.SINGLES, b"yc": 2 + maxent.SINGLES}
+    tokens, words, cut = np.zeros((3, maxent.CLASSES))
+    tokens[: 1 + maxent.SINGLES] = np.r_[50, counts[: maxent.SINGLES]]
+    words[: 1 + maxent.SINGLES] = 1
+    tokens[1 + maxent.SINGLES : 3 + maxent.SINGLES] = counts[maxent.SINGLES : -3].sum() + 1, 3
+    words[1 + maxent.SINGLES : 3 + maxent.SINGLES] = 41, 2
+    cut[1 + maxent.SINGLES :] = 0.5
+    return maxent.Vocabulary(9999, 99, [w.encode() for w in hot], counts, endings, tokens, words, cut), hot
+
+
+def test_words_of_a_class_go_by_the_history_and_sum_to_one():
+    vocab, hot = tree_vocabulary()
+    rng = np.random.default_rng(3)
+    weights = rng.normal(0, 1, maxent.first_node_weights().shape).astype(np.float32)
+    own = [w for w in hot if w.endswith("ab") and w != "zab"]
+
+    def logs(before, words):
+        tokens = maxent.tokens_of(pa.array([f"{before} {w}" for w in words]), vocab)
+        return maxent.word_logs(weights, tokens, vocab)[np.cumsum(tokens.lengths) - 2]
+
+    for before in ("h1", "h2", "w3ab", "unseen"):
+        # the words without a leaf, seen once or never, have one leaf together
+        found = logs(before, [*own, "zab"])
+        assert math.isclose(np.exp(found).sum(), 1, abs_tol=1e-4)
+        assert math.isclose(logs(before, ["newab"])[0], found[-1], abs_tol=1e-4)
+        assert (logs(before, ["h3"]) == 0).all()
+    assert not np.allclose(logs("h1", own), logs("h2", own), atol=0.01)
+    kind = vocab.tail_class(b"zab")
+    rare = 10 ** vocab.share_logs(np.array([1, 0]), np.array([kind, kind]), rare=True)
+    assert math.isclose(rare.sum(), 1)
+    # without features met, a word has its share of the class by counts
+    start = maxent.first_node_weights()
+    tokens = maxent.tokens_of(pa.array(["w0ab w39ab"]), vocab)
+    shares = vocab.share_logs(np.array([800, 20]), np.array([kind, kind])) * math.log(10)
+    assert np.allclose(maxent.word_logs(start, tokens, vocab)[:2], shares, atol=1e-4)
+
+
+def test_nodes_are_trained_by_the_gradient_of_their_children():
+    vocab, _ = tree_vocabulary()
+    tokens = maxent.tokens_of(pa.array(["h1 w0ab w1ab h2 w30ab yc", "w0ab h1 w0ab unseenab xc"] * 5), vocab)
+    rng = np.random.default_rng(4)
+    weights = rng.normal(0, 1, maxent.first_node_weights().shape).astype(np.float32)
+    _, nodes, rows, children = maxent.visits(tokens, vocab)
+    assert len(np.unique(nodes)) > 2 and len(nodes) > 30
+    want, sums = weights.astype(float), np.zeros((2, 1 << maxent.NODE_BITS, maxent.FAN))
+    want = want.reshape(sums.shape)
+    met = np.zeros(sums.shape[:2])
+    for node, own, child in zip(nodes, rows.T, children, strict=True):
+        p = np.exp(vocab.tree.shares[node] + want[0, own[0]] + want[1, own[1]])
+        p /= p.sum()
+        p[child] -= 1
+        for n, row in enumerate(own):
+            sums[n, row] += p
+            met[n, row] += 1
+    want -= maxent.RATE * sums / np.sqrt(sums**2 + 1e-6)
+    count = np.zeros(len(weights))
+    maxent.node_steps(weights, np.zeros_like(weights), count, tokens, vocab)
+    assert np.allclose(weights, want.reshape(weights.shape), atol=2e-3) and (count == met.ravel()).all()
+
+
+def test_ways_are_shorter_for_frequent_words():
+    shares = np.sort(1 / np.arange(1, 2001))
+    tree = maxent.Tree.of(np.r_[np.zeros(2000), 1, 2, 2].astype(int), np.r_[shares, 1, 0.5, 0.5])
+    assert tree.depth[1999] == 1 and tree.depth[2000] == 0 and tree.depth[2001:].tolist() == [1, 1]
+    assert (np.diff(tree.depth[:2000]) <= 0).all() and tree.depth.max() <= 5
+    used = tree.shares > -100
+    assert math.isclose(np.exp(tree.shares[used]).sum(), len(tree.shares), rel_tol=1e-5)
+    ways = {tuple(zip(tree.nodes[:d, i], tree.children[:d, i])) for i, d in enumerate(tree.depth[:2000])}
+    assert len(ways) == 2000
+
+
+def test_hot_words_are_found_by_their_bytes():
+    vocab, hot = tree_vocabulary()
+    words = pa.array([b"zab", b"h0", b"none", b"h0x", b"w39ab"], pa.large_binary())
+    want = [hot.index("zab"), 0, -1, -1, hot.index("w39ab")]
+    assert vocab.numbers(words).tolist() == want
+    vocab.hot_hashes = np.zeros_like(vocab.hot_hashes)  # two hot words with the same hash
+    assert vocab.numbers(words).tolist() == want
+
+
+def test_score_knows_which_word_of_a_class_follows(spark):
+    rng = np.random.default_rng(8)
+    filler = [f"f{n}" for n in range(70)]
+    rows = []
+    for i in range(300):
+        words = rng.choice(filler, 30).tolist()
+        for at in rng.integers(0, 30, 4):
+            words[at] += " before kab" if rng.integers(2) else " after mab"
+        rows.append((i, " ".join(words)))
+    pairs = ["before kab", "before mab", "after mab", "after kab"]
+    rows += [(1000 + i, f"f1 {p} f2") for i, p in enumerate(pairs)]
+    found = maxent.scores(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id >= 1000")
+    score = {r.doc_id - 1000: r.score for r in found.collect()}
+    assert score[0] - score[1] > 0.3 and score[2] - score[3] > 0.3
+
+
 def test_tokens_of_odd_texts():
     vocab = small_vocabulary()
     texts = ["H0 xAB\x0bc\tq", "", " \r\n", "zzab\x00 \x85h1", "É é zzab"]
